@@ -74,8 +74,8 @@ def powers(n: int) -> np.ndarray:
 
 
 #: Bytes that end a word: space, tab, line feed, vertical tab, form feed, carriage return.
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 class Words:
@@ -89,7 +89,7 @@ class Words:
     def __init__(self, texts: list[bytes]):
         self.data = b" ".join(texts) + b" "
         buf = np.frombuffer(self.data, dtype=np.uint8)
-        gap = _SPACE[buf]
+        gap = SPACE[buf]
         inside = np.zeros(len(buf) + 1, dtype=np.int8)
         inside[1:] = ~gap
         step = np.diff(inside)
@@ -148,3 +148,40 @@ def utf8(column) -> list[bytes]:
     import pyarrow.compute as pc
 
     return [b"" if x is None else x for x in pc.cast(column, pa.binary()).to_pylist()]
+
+
+class Table:
+    """A map from non-negative int64 keys to ints that looks up whole arrays (open addressing)."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(8 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.full(1 << self.bits, -1, dtype=np.int64)
+        left, probe = np.arange(len(keys)), 0
+        while len(left):
+            slot = (self._slot(keys[left]) + probe) & ((1 << self.bits) - 1)
+            free = np.flatnonzero(self.keys[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.keys[slot[put]], self.values[slot[put]] = keys[left[put]], values[left[put]]
+            left, probe = np.delete(left, put), probe + 1
+        self.probes = probe
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * WORD_BASE) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The values, -1 for keys that aren't there."""
+        slot = self._slot(keys)
+        held = self.keys[slot]
+        out = np.where(held == keys, self.values[slot], -1)
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        for probe in range(1, self.probes):
+            if not len(open_):
+                break
+            slot_ = (slot[open_] + probe) & ((1 << self.bits) - 1)
+            held = self.keys[slot_]
+            hit = held == keys[open_]
+            out[open_[hit]] = self.values[slot_[hit]]
+            open_ = open_[~hit & (held >= 0)]
+        return out

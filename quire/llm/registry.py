@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from quire.llm.bpe import op2_bpe_round_trip
+from quire.llm.language_id import op7_language_id
 
 QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op7_language_id": op7_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
