@@ -24,16 +24,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm._common import WORD_BASE, chunked
+from quire.llm._common import Table, chunked
 
 #: The pre-tokenisation pattern of byte-level BPE vocabularies (a fixed value).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Entries of a worker's word cache and of its pre-token cache, and the longest piece they keep.
-CACHE, KEEP = 400_000, 64
+CACHE, KEEP = 120_000, 40
 #: Longest piece (bytes) that is merged side by side with others.
 SHORT = 24
 #: Bytes of text that are encoded before an output batch is sent.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _NEVER = 1 << 40
 
 
@@ -44,43 +44,6 @@ def byte_letters() -> dict[str, int]:
     return {chr(b if b in own else next(spare)): b for b in range(256)}
 
 
-class Table:
-    """A map from non-negative int64 keys to ints that looks up whole arrays (open addressing)."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(8 * len(keys)).bit_length())
-        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
-        self.values = np.full(1 << self.bits, -1, dtype=np.int64)
-        left, probe = np.arange(len(keys)), 0
-        while len(left):
-            slot = (self._slot(keys[left]) + probe) & ((1 << self.bits) - 1)
-            free = np.flatnonzero(self.keys[slot] < 0)
-            _, first = np.unique(slot[free], return_index=True)
-            put = free[first]
-            self.keys[slot[put]], self.values[slot[put]] = keys[left[put]], values[left[put]]
-            left, probe = np.delete(left, put), probe + 1
-        self.probes = probe
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * WORD_BASE) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        """The values, -1 for keys that aren't there."""
-        slot = self._slot(keys)
-        held = self.keys[slot]
-        out = np.where(held == keys, self.values[slot], -1)
-        open_ = np.flatnonzero((held != keys) & (held >= 0))
-        for probe in range(1, self.probes):
-            if not len(open_):
-                break
-            slot_ = (slot[open_] + probe) & ((1 << self.bits) - 1)
-            held = self.keys[slot_]
-            hit = held == keys[open_]
-            out[open_[hit]] = self.values[slot_[hit]]
-            open_ = open_[~hit & (held >= 0)]
-        return out
-
-
 class Vocabulary:
     """A byte-level BPE vocabulary with the arrays that the pair test needs."""
 
@@ -351,11 +314,15 @@ class Shipped:
         return self.cast.value
 
 
-def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "token_ids") -> DataFrame:
-    """df with `out`, the token ids (array of int) of each row's whole text."""
+def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "token_ids", decoded: str | None = None) -> DataFrame:
+    """df with `out`, the token ids (array of int) of each row's whole text.
+
+    decoded: the name of a further column, the text that these ids decode to, made in the same pass.
+    """
     source = Shipped(df.sparkSession, vocabulary)
-    kept = [f for f in df.schema.fields if f.name != out]
-    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
+    kept = [f for f in df.schema.fields if f.name not in (out, decoded)]
+    more = [T.StructField(decoded, T.StringType(), False)] if decoded else []
+    schema = T.StructType([*kept, T.StructField(out, T.ArrayType(T.IntegerType(), False), False), *more])
     names, place = [f.name for f in kept], [f.name for f in df.schema.fields].index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,7 +335,8 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "token
                 np.cumsum([len(x) for x in ids], out=ends[1:])
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([part.column(batch.schema.names.index(n)) for n in names] + [lists], names=[*names, out])
+                back = [pa.array([known.decode(x.tolist()) for x in ids], type=pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([*[part.column(batch.schema.names.index(n)) for n in names], lists, *back], names=[*names, out, *[decoded] * bool(decoded)])
 
     return df.mapInArrow(run, schema)
 
@@ -394,11 +362,10 @@ def default_vocabulary() -> str:
 def op2_bpe_round_trip(spark, sf_dir: str) -> DataFrame:
     """Encode every whole text, decode it again, and return counts and digests."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    path = default_vocabulary()
-    coded = encode(docs, path).select("doc_id", "token_ids")
+    coded = encode(docs, default_vocabulary(), decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(decode(coded, "token_ids", path), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
