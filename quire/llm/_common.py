@@ -115,7 +115,7 @@ class Words:
         for i in np.flatnonzero(size > 24):
             piece = buf[self.start[i] + 24 : self.end[i]].astype(np.uint64) + np.uint64(1)
             p = powers(len(piece))
-            out[i] = out[i] * p[len(piece)] + (piece * p[: len(piece)][::-1]).sum(dtype=np.uint64)
+            out[i : i + 1] = out[i : i + 1] * p[len(piece)] + (piece * p[: len(piece)][::-1]).sum(dtype=np.uint64, keepdims=True)
         return mix(out ^ (size.astype(np.uint64) * MIX_A))
 
 

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from quire.llm.bpe import op2_bpe_round_trip
 from quire.llm.language_id import op7_language_id
+from quire.llm.quality import op10_quality
+from quire.llm.sharding import op1_sharding
+from quire.llm.simhash import op9_simhash
+from quire.llm.substring import op4_substring_dedup
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op4_substring_dedup": op4_substring_dedup,
     "op7_language_id": op7_language_id,
+    "op9_simhash": op9_simhash,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {}
