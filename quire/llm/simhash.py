@@ -4,9 +4,13 @@ A fingerprint has 64 bits, each the majority of that bit over the XXH64 values o
 link when they differ in RADIUS bits at most. The links come from a self-join of a binary trie: node pairs go down together
 one bit at a time, the differing bits so far are added up, and a pair is dropped as soon as its budget is exceeded.
 
-Of two fingerprints within r bits, either the first halves differ in r // 2 bits at most or the second halves in fewer. So two
-tries are walked, one over the bits in order with a budget of r // 2 in its first 32 levels, one with the halves exchanged
-and a budget of r - r // 2 - 1 there; that loses no link and visits far fewer node pairs than one walk with the whole budget.
+The 64 bits form a ring of r + 1 segments. For two fingerprints within r bits there is a segment to start from such that the
+first i segments hold at most i * r / (r + 1) of the differing bits, for every i (the pigeonring principle). So r + 1 tries are
+walked, one from each segment, with budgets that grow from 0 with depth; that loses no link and visits far fewer node pairs
+than one walk with the whole budget throughout.
+
+For similarities that need a large radius, a fingerprint can have further 64-bit words; a pair within the radius in the first
+word links only if all words together differ in `most` bits at most.
 
 Spark deals out the upper levels: a task gets the subtree below one prefix and the subtrees whose prefix is within the
 budget. It walks the rest in NumPy, in chunks of bounded size. Node pairs whose members are connected already are dropped
@@ -28,43 +32,48 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm._common import cut, drop_path, scratch
+from quire.llm._common import cut, drop_path, mix, scratch
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints below one prefix, roughly; node pairs in a chunk; member pairs at which a node pair is compared directly.
 SUBTREE, CHUNK, LEAF = 8192, 1 << 18, 32
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """The fingerprint as an unsigned number."""
+def fingerprint(text: bytes, shingle: int = SHINGLE, words: int = 1) -> list[int]:
+    """The fingerprint's words as unsigned numbers: the first of the XXH64 values, others of values mixed from them."""
     from xxhash import xxh64_intdigest
 
-    words = text.lower().split()  # of bytes: A-Z only, and exactly the white space \x20\x09-\x0D
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+    found = text.lower().split()  # of bytes: A-Z only, and exactly the white space \x20\x09-\x0D
+    if not found:
+        return [0] * words
+    joined = b" ".join(found)
+    ends = np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    if len(words) > shingle:
-        starts, ends = starts[: len(words) - shingle + 1], ends[shingle - 1 :]
+    if len(found) > shingle:
+        starts, ends = starts[: len(found) - shingle + 1], ends[shingle - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
     h = np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], dtype="<u8")
-    ones = np.zeros(64, dtype=np.int64)
-    for lo in range(0, len(h), 1 << 15):
-        ones += np.unpackbits(h[lo : lo + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return sum(1 << i for i in np.flatnonzero(2 * ones > len(h)).tolist())
+    out = []
+    for k in range(words):
+        values = mix(h + np.uint64(k << 56)) if k else h
+        ones = np.zeros(64, dtype=np.int64)
+        for lo in range(0, len(h), 1 << 15):
+            ones += np.unpackbits(values[lo : lo + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(sum(1 << i for i in np.flatnonzero(2 * ones > len(h)).tolist()))
+    return out
 
 
-def fingerprint_column(text: str | Column, shingle: int = SHINGLE) -> Column:
-    """The fingerprint of each whole text as a signed long."""
+def fingerprint_column(text: str | Column, shingle: int = SHINGLE, words: int = 1) -> Column:
+    """The fingerprint of each whole text, an array of signed longs."""
 
-    @F.arrow_udf(T.LongType())
+    @F.arrow_udf(T.ArrayType(T.LongType()))
     def run(column: pa.Array) -> pa.Array:
         import pyarrow.compute as pc
 
-        found = [fingerprint(x or b"", shingle) for x in pc.cast(column, pa.binary()).to_pylist()]
-        return pa.array(np.array(found, dtype=np.uint64).view(np.int64))
+        found = np.array([fingerprint(x or b"", shingle, words) for x in pc.cast(column, pa.binary()).to_pylist()], dtype=np.uint64)
+        ends = np.arange(0, len(column) * words + 1, words, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel().view(np.int64)))
 
     return run(text)
 
@@ -92,11 +101,26 @@ def unite(parent: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return parent
 
 
-def walk(keys: np.ndarray, home: int, radius: int, depth: int, early: int) -> np.ndarray:
+def segments(radius: int) -> list[int]:
+    """The sizes of the ring's segments."""
+    m = radius + 1
+    return [64 * (i + 1) // m - 64 * i // m for i in range(m)]
+
+
+def budgets(radius: int, first: int) -> list[int]:
+    """The budget after 0, 1, ... 64 levels of the trie that starts with segment `first`."""
+    size = segments(radius)
+    out = [0]
+    for i in range(radius + 1):
+        out += [(i + 1) * radius // (radius + 1)] * size[(first + i) % (radius + 1)]
+    return out
+
+
+def walk(keys: np.ndarray, home: int, radius: int, depth: int, budget: list[int], whole: np.ndarray | None = None, most: int = 64) -> np.ndarray:
     """Join the subtree below one prefix with itself and with the other subtrees: a root for each of `keys`.
 
-    keys: distinct and sorted; home: how many of them, in front, are below the home prefix of `depth` bits. Others have
-    greater prefixes. early: the budget within the first 32 levels.
+    keys: sorted; home: how many of them, in front, are below the home prefix of `depth` bits. Others have greater prefixes.
+    budget: by level. whole: all words of each fingerprint, of which `most` bits may differ.
     """
     n = len(keys)
     parent = np.arange(n)
@@ -118,28 +142,31 @@ def walk(keys: np.ndarray, home: int, radius: int, depth: int, early: int) -> np
         joined = (parent[alo] == parent[blo]) & (turn[ahi - 1] == turn[alo]) & (turn[bhi - 1] == turn[blo])
         on = ~joined
         alo, ahi, blo, bhi, err = alo[on], ahi[on], blo[on], bhi[on], err[on]
-        area = (ahi - alo) * (bhi - blo)
-        leaf = (area <= LEAF) | (d == 64)
+        leaf = (ahi - alo) * (bhi - blo) <= LEAF
         if leaf.any():
-            parent = compare(keys, parent, alo[leaf], ahi[leaf], blo[leaf], bhi[leaf], radius)
+            parent = compare(keys, parent, alo[leaf], ahi[leaf], blo[leaf], bhi[leaf], radius, whole, most)
         on = ~leaf
         alo, ahi, blo, bhi, err = alo[on], ahi[on], blo[on], bhi[on], err[on]
         if not len(alo):
             continue
-        shift = np.uint64(63 - d)
-        amid = np.searchsorted(keys, (keys[alo] >> shift | np.uint64(1)) << shift)
-        bmid = np.searchsorted(keys, (keys[blo] >> shift | np.uint64(1)) << shift)
-        same = alo == blo
-        ways = [(alo, amid, blo, bmid, err), (amid, ahi, bmid, bhi, err), (alo, amid, bmid, bhi, err + 1), tuple(np.where(same, x, y) if i < 2 else x for i, (x, y) in enumerate(((amid, amid), (amid, ahi), (blo, blo), (bmid, bmid), (err + 1, err + 1))))]
-        budget = early if d < 32 else radius
+        if d < 64:
+            shift = np.uint64(63 - d)
+            amid = np.searchsorted(keys, (keys[alo] >> shift | np.uint64(1)) << shift)
+            bmid = np.searchsorted(keys, (keys[blo] >> shift | np.uint64(1)) << shift)
+        else:  # equal keys with other words: halve the ranges
+            amid, bmid = (alo + ahi) // 2, (blo + bhi) // 2
+        same, more = alo == blo, int(d < 64)
+        cross = (amid, np.where(same, amid, ahi), blo, np.where(same, blo, bmid), err + more)  # once for a node with itself
+        ways = [(alo, amid, blo, bmid, err), (amid, ahi, bmid, bhi, err), (alo, amid, bmid, bhi, err + more), cross]
+        d = min(64, d + 1)
         alo, ahi, blo, bhi, err = (np.concatenate(x) for x in zip(*ways, strict=True))
-        on = (ahi > alo) & (bhi > blo) & (err <= budget)
-        stack.append((d + 1, alo[on], ahi[on], blo[on], bhi[on], err[on]))
+        on = (ahi > alo) & (bhi > blo) & (err <= budget[d])
+        stack.append((d, alo[on], ahi[on], blo[on], bhi[on], err[on]))
     return parent
 
 
-def compare(keys: np.ndarray, parent: np.ndarray, alo: np.ndarray, ahi: np.ndarray, blo: np.ndarray, bhi: np.ndarray, radius: int) -> np.ndarray:
-    """Compare all members of small node pairs and unite those within the radius."""
+def compare(keys: np.ndarray, parent: np.ndarray, alo: np.ndarray, ahi: np.ndarray, blo: np.ndarray, bhi: np.ndarray, radius: int, whole: np.ndarray | None, most: int) -> np.ndarray:
+    """Compare all members of small node pairs and unite those that link."""
     area = (ahi - alo) * (bhi - blo)
     for lo in range(0, len(area), 1 << 15):
         part = slice(lo, lo + (1 << 15))
@@ -148,28 +175,33 @@ def compare(keys: np.ndarray, parent: np.ndarray, alo: np.ndarray, ahi: np.ndarr
         place = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size)
         wide = (bhi[part] - blo[part])[pair]
         i, j = alo[part][pair] + place // wide, blo[part][pair] + place % wide
-        near = (i != j) & (np.bitwise_count(keys[i] ^ keys[j]) <= radius)
-        parent = unite(parent, i[near], j[near])
+        near = np.flatnonzero((i != j) & (np.bitwise_count(keys[i] ^ keys[j]) <= radius))
+        i, j = i[near], j[near]
+        if whole is not None and len(i):
+            near = np.bitwise_count(whole[i] ^ whole[j]).sum(axis=1, dtype=np.int64) <= most
+            i, j = i[near], j[near]
+        parent = unite(parent, i, j)
     return parent
 
 
-def links(vertices: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(vertices: DataFrame, radius: int = RADIUS, most: int | None = None) -> DataFrame:
     """A spanning forest (u, w: vertex numbers, u > w) of the links between distinct fingerprints.
 
-    vertices: fp long, v long, distinct in fp and small enough to scan once.
+    vertices: fp (array of longs, distinct) and v long. most: bits that may differ over all words; by default the first decides.
     """
     n = vertices.count()
-    depth = min(16, max(6, int(np.ceil(np.log2(max(n, 1) / SUBTREE)))))
-    early = (radius // 2, radius - radius // 2 - 1)
-    orders = (F.col("fp"), F.shiftleft("fp", 32).bitwiseOR(F.shiftrightunsigned("fp", 32)))
+    size = segments(radius)
+    depth = min(16, max(min(6, size[0]), int(np.ceil(np.log2(max(n, 1) / SUBTREE)))))
     dealt = None
-    for t, (key, budget) in enumerate(zip(orders, early, strict=True)):
-        if budget < 0:
-            continue
-        masks = [sum(1 << i for i in c) for k in range(budget + 1) for c in combinations(range(depth), k)]
+    for t in range(radius + 1):
+        turn = sum(size[:t])
+        word = F.col("fp")[0]
+        key = F.shiftleft(word, turn).bitwiseOR(F.shiftrightunsigned(word, 64 - turn)) if turn else word
+        budget = budgets(radius, t)
+        masks = [m for k in range(budget[depth] + 1) for c in combinations(range(depth), k) if all(sum(depth - 1 - b < d for b in c) <= budget[d] for d in range(depth + 1)) for m in [sum(1 << b for b in c)]]
         own = F.shiftrightunsigned("key", 64 - depth)
-        sent = vertices.select(key.alias("key"), "v", F.lit(t).cast("int").alias("trie")).withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-        sent = sent.withColumn("prefix", own.bitwiseXOR(F.col("mask")).cast("int")).where(F.col("prefix") <= own).select("trie", "prefix", "key", "v")
+        sent = vertices.select(key.alias("key"), "v", "fp", F.lit(t).cast("int").alias("trie")).withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
+        sent = sent.withColumn("prefix", own.bitwiseXOR(F.col("mask")).cast("int")).where(F.col("prefix") <= own).select("trie", "prefix", "key", "v", *["fp"] * (most is not None))
         dealt = sent if dealt is None else dealt.unionByName(sent)
 
     def join(table: pa.Table) -> pa.Table:
@@ -177,8 +209,11 @@ def links(vertices: DataFrame, radius: int = RADIUS) -> DataFrame:
         trie, prefix = table.column("trie")[0].as_py(), table.column("prefix")[0].as_py()
         order = np.argsort(keys)
         keys, v = keys[order], v[order]
+        whole = None
+        if most is not None:
+            whole = np.array(table.column("fp").combine_chunks().flatten()).view(np.uint64).reshape(len(v), -1)[order]
         home = int((keys >> np.uint64(64 - depth) == np.uint64(prefix)).sum())
-        root = walk(keys, home, radius, depth, early[trie])
+        root = walk(keys, home, radius, depth, budgets(radius, trie), whole, 64 if most is None else most)
         moved = np.flatnonzero(root != np.arange(len(root)))
         a, b = v[moved], v[root[moved]]
         return pa.table({"u": np.maximum(a, b), "w": np.minimum(a, b)})
@@ -212,17 +247,29 @@ def components(forest: DataFrame, folder: str) -> DataFrame:
     return now.select(F.col("u").alias("v"), F.col("w").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """Columns key, fp (signed long) and component (the smallest key reachable over links) for each row of docs."""
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1, most: int | None = None) -> DataFrame:
+    """Columns key, fp (the fingerprint's words, signed) and component (the smallest key reachable) for each row of docs."""
     folder = scratch(docs.sparkSession)
-    rows = cut(docs.select(F.col(key).alias("k"), fingerprint_column(F.col(text), shingle).alias("fp")), folder, "rows")
+    rows = cut(docs.select(F.col(key).alias("k"), fingerprint_column(F.col(text), shingle, words).alias("fp")), folder, "rows")
     vertices = cut(rows.groupBy("fp").agg(F.min("k").alias("v")), folder, "vertices")
-    found = components(links(vertices.where("v is not null"), radius), folder)
+    found = components(links(vertices.where("v is not null"), radius, most), folder)
     whole = cut(vertices.join(found, "v", "left").select("fp", F.coalesce("root", "v").alias("component")), folder, "components")
     return rows.join(whole, "fp").select(F.col("k").alias(key), "fp", "component")
 
 
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, radius: int = 14, words: int = 4, most: int = 50) -> DataFrame:
+    """The rows of docs that have the smallest key of their component.
+
+    By default texts link from a similarity of about 0.8 of their five-word shingles on: such texts differ in 39 of 256 bits
+    and in 10 of the first 64 on average.
+    """
+    found = near_duplicates(docs, text, key, shingle, radius, words, most)
+    gone = found.where(F.col(key) != F.col("component")).select(key)
+    return docs.join(gone, key, "left_anti")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return near_duplicates(docs).select("doc_id", hex_of("fp").alias("fingerprint"), F.col("component").alias("component_id"))
+    found = near_duplicates(docs).withColumn("word", F.col("fp")[0])
+    return found.select("doc_id", hex_of("word").alias("fingerprint"), F.col("component").alias("component_id"))
