@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quire.llm.bpe import op2_bpe_round_trip
+from quire.llm.decontaminate import op3_decontaminate
 from quire.llm.language_id import op7_language_id
 from quire.llm.quality import op10_quality
 from quire.llm.sharding import op1_sharding
@@ -12,6 +13,7 @@ from quire.llm.substring import op4_substring_dedup
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_decontaminate": op3_decontaminate,
     "op4_substring_dedup": op4_substring_dedup,
     "op7_language_id": op7_language_id,
     "op9_simhash": op9_simhash,
