@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quire.llm.bpe import op2_bpe_round_trip
 from quire.llm.decontaminate import op3_decontaminate
+from quire.llm.fingerprints import op5_fingerprints
 from quire.llm.language_id import op7_language_id
 from quire.llm.quality import op10_quality
 from quire.llm.sharding import op1_sharding
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_decontaminate": op3_decontaminate,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op7_language_id": op7_language_id,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
