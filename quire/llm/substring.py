@@ -162,18 +162,23 @@ class Gather:
             yield from self.send(*columns)
 
 
-def blocks_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, Words]]:
-    """Index ranges of a batch of (k, t, ...) with keys and words; rows with a null key have no words here."""
-    keys = np.array(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    known = batch.column(0).is_valid().to_pylist()
-    texts = [t if ok else b"" for t, ok in zip(utf8(batch.column(1)), known, strict=True)]
+def blocks_of(key: pa.Array, text: pa.Array, wanted: list[bool]) -> Iterator[tuple[int, int, np.ndarray, Words]]:
+    """Index ranges of a batch with keys and words; rows that aren't wanted have no words here."""
+    keys = np.array(key.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    texts = [t if ok else b"" for t, ok in zip(utf8(text), wanted, strict=True)]
     for lo, hi in chunked([len(t) + 1 for t in texts], BLOCK):
         yield lo, hi, keys[lo:hi], Words(texts[lo:hi])
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """k and `starts` (int32 bytes): the windows of each text, by first word, that also start earlier. docs: k long, t string."""
-    buckets = 4 * parts(docs.sparkSession)
+def repeats(docs: DataFrame, text: str, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+    """k and `starts` (int32 bytes): the windows of each text, by first word, that also start earlier.
+
+    docs: _k long (the key), the text and any other columns. The join below carries all of them and keeps rows without
+    spots, so that a join of docs by _k afterwards has the same exchange and Spark shuffles the texts once.
+    """
+    # Tasks send a row for each pair of a name bucket and a key bucket, so there are no more buckets than partitions.
+    buckets = parts(docs.sparkSession)
+    place = docs.columns.index(text), docs.columns.index("_k")
 
     def send_anchors(name, extra, doc, at):
         order, group, first = settle(name, extra, doc, at)
@@ -189,7 +194,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Data
     def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gather = Gather(send_anchors)
         for batch in batches:
-            for _, _, keys, words in blocks_of(batch):
+            for _, _, keys, words in blocks_of(batch.column(0), batch.column(1), batch.column(0).is_valid().to_pylist()):
                 starts, name, code = anchors(words, window, rounds)
                 if len(starts):
                     code, pick = np.unique(code, return_index=True)
@@ -225,8 +230,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Data
     def find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gather = Gather(send_windows)
         for batch in batches:
-            spots = batch.column(2).to_pylist()
-            for lo, _, keys, words in blocks_of(batch):
+            spots = batch.column(batch.num_columns - 1).to_pylist()
+            for lo, _, keys, words in blocks_of(batch.column(place[1]), batch.column(place[0]), [x is not None for x in spots]):
                 if not len(words.name):
                     continue
                 held = [np.frombuffer(s or b"", dtype="<i4") for s in spots[lo : lo + len(keys)]]
@@ -249,9 +254,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Data
         on = (doc != doc[first][group]) | (at != at[first][group])
         return pa.Table.from_batches(list(packed(of_doc(doc[on], buckets), name[:0], extra[:0], doc[on], at[on])), schema=table.schema)
 
-    found = docs.mapInArrow(find_anchors, _PACKED).groupBy("bucket").applyInArrow(twice, _PACKED)
+    found = docs.select("_k", text).mapInArrow(find_anchors, _PACKED).groupBy("bucket").applyInArrow(twice, _PACKED)
     spots = found.groupBy("bucket").applyInArrow(by_doc, "k long, spots binary")
-    candidates = docs.join(spots.hint("merge"), "k").select("k", "t", "spots")
+    candidates = docs.join(spots.withColumnRenamed("k", "_k").hint("merge"), "_k", "left").select(*docs.columns, "spots")
     again = candidates.mapInArrow(find_windows, _PACKED).groupBy("bucket").applyInArrow(later, _PACKED)
     return again.groupBy("bucket").applyInArrow(by_doc, "k long, spots binary").withColumnRenamed("spots", "starts")
 
@@ -264,9 +269,9 @@ def remove(df: DataFrame, text: str = "text", key: str = "doc_id", window: int =
     """
     made = ("n_words", "n_removed", "kept_words", "kept_text")
     rows = df.drop(*made)
-    docs = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
-    found = repeats(docs, window, rounds).select(F.col("k").alias("_k"), F.col("starts").alias("_starts"))
-    joined = rows.withColumn("_k", F.col(key).cast("long")).join(found.hint("merge"), "_k", "left").drop("_k")
+    docs = rows.withColumn("_k", F.col(key).cast("long"))
+    found = repeats(docs, text, window, rounds).select(F.col("k").alias("_k"), F.col("starts").alias("_starts"))
+    joined = docs.join(found.hint("merge"), "_k", "left")
     schema = T.StructType([*rows.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_words", T.StringType()), T.StructField("kept_text", T.StringType())])
     names, place = rows.columns, rows.columns.index(text)
 
