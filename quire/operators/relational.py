@@ -186,3 +186,44 @@ def status_histogram(rows: DataFrame, status: str, name: str) -> DataFrame:
 def batch_totals(batches: DataFrame, ok: str, failed: str, seconds: str) -> DataFrame:
     done = F.sum(F.size(ok))
     return batches.agg(done.alias("successful"), F.sum(F.size(failed)).alias("failed"), F.coalesce(F.try_divide(F.sum(seconds), done + F.sum(F.size(failed))), F.lit(0.0)).alias("mean_seconds"))
+
+
+# Media plans: artefacts, images and registries as tables
+
+
+def valid_artefact(exists: Column, size: Column, seconds: Column) -> Column:
+    return F.coalesce(exists & (size > 0) & (seconds > 0), F.lit(False))
+
+
+def eligible(status: Column, number: Column, allowed: list[int], found: Column) -> Column:
+    """Why a row is left out: null where it is unlisted or allowed by number, else the reason."""
+    return F.when(~found, "unresolved").when((status == "unlisted") | number.isin(*allowed), F.lit(None).cast("string")).otherwise("not unlisted")
+
+
+def official_images(files: DataFrame, file: str, bad: list[str]) -> DataFrame:
+    """Files named `<Name>_Official.(jpg|jpeg|png)`, with the name and whether a row of portraits can show them."""
+    kept = files.where(F.col(file).rlike(r"_Official\.(jpg|jpeg|png)$") & ~F.col(file).rlike(r"_Official_\((Crop|Cropped|Full)\)\."))
+    name = F.translate(F.regexp_extract(file, r"^(.+)_Official\.", 1), "_", " ")
+    viable = ~name.isin(*bad) & (F.coalesce("height", F.lit(0)) >= F.coalesce("width", F.lit(0)))
+    return kept.withColumn("name", name).withColumn("row_viable", viable)
+
+
+def registry_coverage(names: DataFrame, images: DataFrame, override: DataFrame) -> DataFrame:
+    """names (name) with the image found under the override's name (name, use) or their own, if any."""
+    use = names.join(override, "name", "left").withColumn("_n", F.coalesce("use", "name"))
+    return use.join(images.select(F.col("name").alias("_n"), "image").dropDuplicates(["_n"]), "_n", "left").select("name", "image", F.col("image").isNotNull().alias("has_image"))
+
+
+def first_source(rows: DataFrame, files: DataFrame, on: list[str], path: str) -> DataFrame:
+    """rows with the first file (by path) that has the same keys, null where there is none."""
+    return rows.join(files.groupBy(*on).agg(F.min(path).alias(path)), on, "left")
+
+
+def first_non_empty(sources: list[DataFrame], by: list[str]) -> DataFrame:
+    """The rows of the first source that has any for a group."""
+    rows = None
+    for i, s in enumerate(sources):
+        s = s.withColumn("_p", F.lit(i))
+        rows = s if rows is None else rows.unionByName(s)
+    best = rows.groupBy(*by).agg(F.min("_p").alias("_best"))
+    return rows.join(best, by).where("_p = _best").drop("_p", "_best")
