@@ -118,8 +118,9 @@ def threads(parents: DataFrame, folder: str) -> DataFrame:
     while now.where(~F.col("done")).limit(1).count():
         step += 1
         over = now.select("conv", F.col("turn").alias("top"), F.col("top").alias("top2"), F.col("depth").alias("depth2"), F.col("done").alias("done2"))
-        grown = now.join(over, ["conv", "top"], "left").select("conv", "turn", F.coalesce("top2", "top").alias("top"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"), F.coalesce("done2", F.lit(True)).alias("done"))
-        after = cut(grown, folder, f"tops{step}")
+        # Messages whose root is known are done; only the others are joined again.
+        grown = now.where(~F.col("done")).join(over, ["conv", "top"], "left").select("conv", "turn", F.coalesce("top2", "top").alias("top"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"), F.coalesce("done2", F.lit(True)).alias("done"))
+        after = cut(now.where("done").unionByName(grown), folder, f"tops{step}")
         drop_path(spark, f"{folder}/tops{step - 1}")
         now = after
     return now.select("conv", "turn", F.col("top").alias("thread"), "depth")
