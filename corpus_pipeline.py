@@ -24,7 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first document (by doc_id) of each group of near-duplicates: five-word shingles, similarity about 0.8 or more."""
+    """Keep the first document (by doc_id) of each group of near-duplicates: those that share 0.8 of their distinct five-word shingles."""
     return simhash.keep_one(docs).select(docs.columns)
 
 

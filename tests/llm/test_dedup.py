@@ -95,6 +95,49 @@ def test_keep_one(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 5]
 
 
+def plain_kept(rows, n=5):
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set())
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    return {rows[r][0] for r in root}
+
+
+def near_pairs():
+    """Pairs of given similarities, chains, texts that a repeated line dominates, and templated texts."""
+    rng = random.Random(4)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for same in (0.6, 0.7, 0.75, 0.79, 0.8, 0.82, 0.85, 0.95):
+        for _ in range(12):
+            base = fresh(404)
+            shared = round(2 * 400 * same / (1 + same) + 0.4)
+            texts += [base, base[: shared + 4] + fresh(400 - shared)]
+    for _ in range(5):
+        base = fresh(300)
+        texts += [base[i * 20 : i * 20 + 200] for i in range(5)]  # each like the next only
+        line = fresh(5)
+        texts += [line * 60 + fresh(30) for _ in range(3)]
+        texts += [base, base + base[-5:] * 80]
+    template = fresh(150)
+    return [*[" ".join(t) for t in texts], *[" ".join(template + fresh(40)) for _ in range(40)], None, "", " ", "A b c", "a  B c", "a b d"]
+
+
+@pytest.mark.parametrize("block", [None, 3000])
+def test_keep_one_is_exact(spark, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(simhash, "BLOCK", block)
+    rows = list(enumerate(near_pairs()))
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r["doc_id"] for r in kept.collect()} == plain_kept(rows)
+
+
 def plain_removal(rows, window=20):
     first, out = {}, {}
     docs = sorted((k, (t or "").encode().split()) for k, t in rows)
