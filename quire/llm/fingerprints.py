@@ -17,7 +17,7 @@ A sketch is a sorted array of its cells that aren't empty: number, count, key an
 peeling are one operation: entries are put together and those of one cell are summed up. Equal texts have equal sketches.
 
 Defined cases: null text is the empty text, which has no paragraphs; repeated paragraphs count once with their number;
-sketches of different grain have nothing in common. Other columns are kept; columns named like the outputs are
+texts of different grain are compared at the coarser one. Other columns are kept; columns named like the outputs are
 replaced. Looking up the next text needs keys that are unique and not null.
 """
 
@@ -41,8 +41,8 @@ ROUNDS = 12
 TABLE = 1024
 
 
-def grain_of(text: str) -> str:
-    cases = " ".join(f"WHEN length({text}) <= {most} THEN {g}" for g, most in GRAINS.items())
+def grain_of(length: str) -> str:
+    cases = " ".join(f"WHEN {length} <= {most} THEN {g}" for g, most in GRAINS.items())
     return f"CASE {cases} ELSE {LAST} END"
 
 
@@ -99,9 +99,9 @@ def peeled(cells: str, size: str) -> str:
     return f"aggregate(sequence(1, {ROUNDS}), {start}, (st, n) -> {bound(pure, 'p', f'IF(size(p) = 0, st, {step})')})"
 
 
-def with_keys(df: DataFrame, text: str, name: str) -> DataFrame:
-    """df with {name}_grain and {name}_keys, the sorted keys of the paragraphs of column `text`."""
-    out = df.withColumn("_t", F.expr(f"coalesce({text}, '')")).withColumn(f"{name}_grain", F.expr(grain_of("_t")))
+def with_keys(df: DataFrame, text: str, name: str, grain: str | None = None) -> DataFrame:
+    """df with {name}_grain and {name}_keys, the sorted keys of the paragraphs of column `text`. grain: SQL, by default by length."""
+    out = df.withColumn("_t", F.expr(f"coalesce({text}, '')")).withColumn(f"{name}_grain", F.expr(grain or grain_of("length(_t)")))
     out = out.withColumn("_h", F.expr(f"sort_array(transform({paragraphs('_t', f'{name}_grain')}, p -> xxhash64(p)))"))
     # Equal hashes stand together; a run's last place gives its paragraph, the distance from the run before its occurrences.
     out = out.withColumn("_e", F.expr("filter(transform(_h, (x, i) -> IF(get(_h, i + 1) <=> x, NULL, i + 1)), e -> e IS NOT NULL)"))
@@ -116,9 +116,29 @@ def with_sketch(df: DataFrame, name: str) -> DataFrame:
     return out.withColumn(f"{name}_fingerprint", F.expr(f"concat({name}_grain, ':', {name}_size, ':', size({name}_keys), ':', array_join(transform({name}_cells, x -> {cell}), ''))"))
 
 
+def recut(df: DataFrame, text: str, name: str, grain: str, out: str) -> DataFrame:
+    """df with {out}_grain and {out}_keys: the keys of {name} where it has the grain, else those of its text cut at that grain."""
+    other = f"{name}_grain <> ({grain})"
+    step = with_keys(df.withColumn("_r", F.expr(f"IF({other}, {text}, '')")), "_r", "_again", grain)
+    return step.withColumn(f"{out}_keys", F.expr(f"IF({other}, _again_keys, {name}_keys)")).withColumnRenamed("_again_grain", f"{out}_grain").drop("_r", "_again_keys")
+
+
+def with_cells(df: DataFrame, name: str, out: str) -> DataFrame:
+    """df with {out}_size and {out}_cells, those of {name} where both have one grain."""
+    step = df.withColumn(f"{out}_size", F.expr(f"IF({out}_grain = {name}_grain, {name}_size, {size_of(f'size({out}_keys)')})"))
+    return step.withColumn(f"{out}_cells", F.expr(f"IF({out}_grain = {name}_grain, {name}_cells, {sketch_of(f'{out}_keys', f'{out}_size')})"))
+
+
 def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     """df with `out`, the likeness of the sketches named a and b, and {out}_keys, the keys that only one has (c is 1: a has
-    it), null where they couldn't be recovered."""
+    it), null where they couldn't be recovered or the grains differ. Where the grains differ and df has {a}_text and {b}_text, the text of the finer
+    grain is cut again at the coarser one; without texts such sketches have nothing in common."""
+    if {f"{a}_text", f"{b}_text"} <= set(df.columns):
+        common, kept = f"greatest({a}_grain, {b}_grain)", df.columns
+        for x, o in ((a, "_a"), (b, "_b")):
+            df = with_cells(recut(df, f"{x}_text", x, common, o), x, o)
+        df = with_likeness(df, "_a", "_b", out).withColumn(f"{out}_keys", F.expr(f"IF({a}_grain = {b}_grain, {out}_keys, NULL)"))
+        return df.select(*[c for c in kept if c not in (out, f"{out}_keys")], out, f"{out}_keys")
     n = f"(size({a}_keys) + size({b}_keys))"
     step = df.withColumn("_s", F.expr(f"least({a}_size, {b}_size)"))
     step = step.withColumn("_one", F.expr(peeled(difference_of(f"{a}_cells", f"{b}_cells", "_s"), "_s")))
@@ -133,8 +153,8 @@ def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
 
 
 def fingerprint(df: DataFrame, text: str = "text", name: str = "text") -> DataFrame:
-    """df with the keys and the sketch of column `text`; with_likeness compares two such."""
-    return with_sketch(with_keys(df, text, name), name)
+    """df with the keys and the sketch of column `text`, and {name}_text for cutting it again; with_likeness compares two such."""
+    return with_sketch(with_keys(df, text, name), name).withColumn(f"{name}_text", F.col(text))
 
 
 def successors(rows: DataFrame, key: str) -> DataFrame:
@@ -160,10 +180,14 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The next text's first characters and keys go to the text before it; both joins share one shuffle of the texts.
     wanted = order.select(F.col("next_doc_id").alias("doc_id"), F.col("doc_id").alias("of"), "n_chars")
     sent = docs.hint("merge").join(wanted, "doc_id").withColumn("start", F.expr("substring(text, 1, n_chars div 4)"))
-    sent = with_keys(sent, "text", "next").select(F.col("of").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "start", "next_grain", "next_keys")
+    # Keys of the next text have the coarser grain of the two.
+    sent = with_keys(sent, "text", "next", f"greatest({grain_of('length(_t)')}, {grain_of('n_chars')})").select(F.col("of").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "start", "next_grain", "next_keys")
     rows = docs.hint("merge").join(sent, "doc_id").withColumn("edited", F.expr("concat(substring(text, 1, CAST(n_chars - n_chars div 4 AS INT)), start)")).drop("start")
-    rows = with_keys(with_keys(rows, "text", "text"), "edited", "edited").withColumn("edited_sha256", F.sha2("edited", 256)).drop("text", "edited")
+    rows = with_keys(with_keys(rows, "text", "text"), "edited", "edited").withColumn("edited_sha256", F.sha2("edited", 256))
+    # An edited text is never longer than its text, so only it is cut again for that pair; for the next text only the text is.
+    rows = recut(recut(rows, "edited", "edited", "text_grain", "again"), "text", "text", "next_grain", "wide").drop("text", "edited")
     for name in ("text", "edited", "next"):
         rows = with_sketch(rows, name)
-    rows = with_likeness(with_likeness(rows, "text", "edited", "near_edited"), "text", "next", "near_next")
+    rows = with_cells(with_cells(rows, "edited", "again"), "text", "wide")
+    rows = with_likeness(with_likeness(rows, "text", "again", "near_edited"), "wide", "next", "near_next")
     return rows.select("doc_id", "n_chars", "edited_sha256", F.col("text_fingerprint").alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next")

@@ -163,6 +163,39 @@ def test_fingerprint_query(spark):
     assert exact > 0.95 * len(docs)
 
 
+def at_grain(text, g):
+    return set(Counter(re.findall(rf"(?:[^\n.!?]{{1,{fingerprints.CUT}}}[.!?]*){{1,{g}}}\n*|[\n.!?]+", text)).items())
+
+
+def likeness_at_one_grain(a, b):
+    g = max(units(a)[0], units(b)[0])
+    x, y = at_grain(a, g), at_grain(b, g)
+    return 1 - len(x ^ y) / (len(x) + len(y))
+
+
+def test_fingerprints_across_grains(spark):
+    lines = "".join(f"Line {i} of a text. It has two sentences.\n" for i in range(700))
+    pairs = [(i, lines[:n], lines[:m]) for i, (n, m) in enumerate([(4090, 4100), (4100, 4090), (16380, 16390), (4328, 3940), (20000, 3000)])]
+    df = spark.createDataFrame(pairs, "id long, a string, b string")
+    made = fingerprints.fingerprint(fingerprints.fingerprint(df, "a", "a"), "b", "b")
+    got = {r["id"]: r["near"] for r in fingerprints.with_likeness(made, "a", "b", "near").collect()}
+    assert got == pytest.approx({k: likeness_at_one_grain(a, b) for k, a, b in pairs}, abs=1e-9)
+    assert min(got[k] for k in range(4)) > 0.8
+
+
+def test_fingerprint_query_across_grains(spark):
+    docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    got, crossed = {r["doc_id"]: r for r in fingerprints.op5_fingerprints(spark, SF).collect()}, 0
+    for i, (k, text) in enumerate(docs):
+        following = docs[(i + 1) % len(docs)][1]
+        edited = text[: len(text) - len(text) // 4] + following[: len(text) // 4]
+        for other, near in ((edited, got[k]["near_edited"]), (following, got[k]["near_next"])):
+            if units(text)[0] != units(other)[0]:
+                crossed += 1
+                assert near == pytest.approx(likeness_at_one_grain(text, other), abs=0.3), k
+    assert crossed > 2
+
+
 def test_quotations(spark):
     rows = [
         (1, 0, "u", "Hello there.\nHow are you today?\nBye"),
