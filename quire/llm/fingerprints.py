@@ -8,8 +8,9 @@ that only one text has. Peeling takes them out: a cell with one key (count 1 or
 then leaves its other cells. A sketch of a larger text is folded to the size of a smaller one first.
 
 If peeling ends with cells left, the pair is tried again with sketches RETRY times as large as the larger one, made from the
-keys. If that
-fails too, or the keys aren't at hand, the share of empty cells estimates how many keys differ (with no empty cell: all).
+keys, and
+then with sketches twice as large each time, until peeling succeeds or a table has twice as many cells as both texts have
+keys. Should even that fail, the keys are compared one by one, so a likeness is exact for texts of every length.
 
 The likeness of two sketches is (n1 + n2 - differing keys) / (n1 + n2), and 1 if both have no key.
 
@@ -39,6 +40,8 @@ LEAST, MOST, RETRY = 4, 64, 4
 ROUNDS = 12
 #: Distance of the tables in cell numbers: the cell of table t and slot s has number t * TABLE + s.
 TABLE = 1024
+#: The same for the sketches of further tries.
+WIDE = 1 << 28
 
 
 def grain_of(length: str) -> str:
@@ -61,9 +64,9 @@ def check_of(k: str) -> str:
     return f"shiftrightunsigned(xxhash64({k}, 7), 32)"
 
 
-def entries(k: str, c: str, size: str) -> str:
+def entries(k: str, c: str, size: str, table: int = TABLE) -> str:
     """SQL for a key's entries, one for each table."""
-    return "array(" + ", ".join(f"named_struct('i', CAST({t * TABLE} + (xxhash64({k}, {t}) & ({size} - 1)) AS INT), 'c', {c}, 'k', {k}, 'h', {check_of(k)})" for t in range(3)) + ")"
+    return "array(" + ", ".join(f"named_struct('i', CAST({t * table} + (xxhash64({k}, {t}) & ({size} - 1)) AS INT), 'c', {c}, 'k', {k}, 'h', {check_of(k)})" for t in range(3)) + ")"
 
 
 def bound(value: str, name: str, body: str) -> str:
@@ -80,20 +83,21 @@ def merged(cells: str) -> str:
     return bound(f"sort_array({cells})", "e", bound(heads, "r", f"filter(transform(r, (b, j) -> {fold}), x -> x.c <> 0 OR x.k <> 0 OR x.h <> 0)"))
 
 
-def sketch_of(keys: str, size: str) -> str:
-    return merged(f"flatten(transform({keys}, k -> {entries('k', '1', size)}))")
+def sketch_of(keys: str, size: str, table: int = TABLE) -> str:
+    return merged(f"flatten(transform({keys}, k -> {entries('k', '1', size, table)}))")
 
 
-def difference_of(a: str, b: str, size: str) -> str:
+def difference_of(a: str, b: str, size: str, table: int = TABLE) -> str:
     """SQL for sketch a minus sketch b, both folded to `size`."""
-    fold = lambda cells, sign: f"transform({cells}, x -> named_struct('i', x.i & ({3 * TABLE} | ({size} - 1)), 'c', {sign}x.c, 'k', x.k, 'h', x.h))"
+    fold = lambda cells, sign: f"transform({cells}, x -> named_struct('i', x.i & ({3 * table} | ({size} - 1)), 'c', {sign}x.c, 'k', x.k, 'h', x.h))"
     return merged(f"concat({fold(a, '')}, {fold(b, '-')})")
 
 
-def peeled(cells: str, size: str) -> str:
+def peeled(cells: str, size: str, table: int = TABLE) -> str:
     """SQL for a struct: the cells left, and the keys found with the sign of the side that has them."""
-    pure = f"array_distinct(transform(filter(st.cells, x -> abs(x.c) = 1 AND x.h = {check_of('x.k')}), x -> named_struct('k', x.k, 'c', x.c)))"
-    out = f"flatten(transform(p, y -> {entries('y.k', '-y.c', size)}))"
+    pure = f"sort_array(transform(filter(st.cells, x -> abs(x.c) = 1 AND x.h = {check_of('x.k')}), x -> named_struct('k', x.k, 'c', x.c)))"
+    pure = bound(pure, "q", "filter(q, (x, j) -> j = 0 OR get(q, j - 1).k <> x.k)")
+    out = f"flatten(transform(p, y -> {entries('y.k', '-y.c', size, table)}))"
     step = f"named_struct('cells', {merged(f'concat(st.cells, {out})')}, 'found', concat(st.found, p))"
     start = f"named_struct('cells', {cells}, 'found', CAST(array() AS array<struct<k:bigint,c:int>>))"
     return f"aggregate(sequence(1, {ROUNDS}), {start}, (st, n) -> {bound(pure, 'p', f'IF(size(p) = 0, st, {step})')})"
@@ -145,11 +149,15 @@ def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     large = f"{RETRY} * greatest({a}_size, {b}_size)"
     again = peeled(difference_of(sketch_of(f"{a}_keys", large), sketch_of(f"{b}_keys", large), large), large)
     step = step.withColumn("_two", F.expr(f"IF(size(_one.cells) > 0 AND {a}_grain = {b}_grain, {again}, _one)"))
-    step = step.withColumn("_z", F.expr(f"IF(size(_one.cells) > 0, {large}, _s)"))
-    left = "CASE WHEN size(_two.cells) = 0 THEN 0 WHEN size(_two.cells) >= 3 * _z THEN 1e18 ELSE -_z * ln(1 - size(_two.cells) / (3 * _z)) END"
-    value = f"CASE WHEN {n} = 0 THEN 1 WHEN {a}_grain <> {b}_grain THEN 0 ELSE greatest(0, ({n} - size(_two.found) - ({left})) / {n}) END"
+    whole = peeled(difference_of(sketch_of(f"{a}_keys", "z", WIDE), sketch_of(f"{b}_keys", "z", WIDE), "z", WIDE), "z", WIDE)
+    more = bound(f"CAST({large} * shiftleft(1, m) AS INT)", "z", whole)
+    tries = f"sequence(1, greatest(1, CAST(ceil(log2(2 * {n} / ({large}))) AS INT)))"
+    step = step.withColumn("_two", F.expr(f"IF(size(_two.cells) > 0 AND {a}_grain = {b}_grain, aggregate({tries}, _two, (tr, m) -> IF(size(tr.cells) = 0, tr, {more})), _two)"))
+    # Keys that share all their cells at every size can't be peeled; then the keys themselves are compared.
+    differ = f"IF(size(_two.cells) = 0, size(_two.found), size(array_except({a}_keys, {b}_keys)) + size(array_except({b}_keys, {a}_keys)))"
+    value = f"CASE WHEN {n} = 0 THEN 1 WHEN {a}_grain <> {b}_grain THEN 0 ELSE ({n} - {differ}) / {n} END"
     step = step.withColumn(out, F.expr(f"CAST({value} AS DOUBLE)"))
-    return step.withColumn(f"{out}_keys", F.expr(f"IF({a}_grain = {b}_grain AND size(_two.cells) = 0, _two.found, NULL)")).drop("_s", "_one", "_two", "_z")
+    return step.withColumn(f"{out}_keys", F.expr(f"IF({a}_grain = {b}_grain AND size(_two.cells) = 0, _two.found, NULL)")).drop("_s", "_one", "_two")
 
 
 def fingerprint(df: DataFrame, text: str = "text", name: str = "text") -> DataFrame:

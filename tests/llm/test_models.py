@@ -183,6 +183,18 @@ def test_fingerprints_across_grains(spark):
     assert min(got[k] for k in range(4)) > 0.8
 
 
+def test_fingerprints_of_long_texts(spark):
+    def text(n, changed):
+        return "".join(f"{'Other' if i >= n - changed else 'A'} line {i}.\n" for i in range(n))
+
+    pairs = [(n * 10 + k, text(n, 0), text(n, changed)) for n in (1000, 4000) for k, changed in enumerate((n // 4, n))]
+    df = spark.createDataFrame(pairs, "id long, a string, b string")
+    made = fingerprints.fingerprint(fingerprints.fingerprint(df, "a", "a"), "b", "b")
+    got = {r["id"]: r for r in fingerprints.with_likeness(made, "a", "b", "near").collect()}
+    assert {k: r["near"] for k, r in got.items()} == pytest.approx({k: likeness_at_one_grain(a, b) for k, a, b in pairs}, abs=1e-9)
+    assert len(got[40000]["near_keys"]) == 2000
+
+
 def test_fingerprint_query_across_grains(spark):
     docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     got, crossed = {r["doc_id"]: r for r in fingerprints.op5_fingerprints(spark, SF).collect()}, 0
