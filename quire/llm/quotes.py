@@ -4,13 +4,15 @@ A line that starts with `>` signs is quoted at that level; a passage is a run of
 message's own text. Passages are normalised (lower case, single spaces) and hashed, and so are the whole own text, each run of
 own lines and each own line of every message. A passage is joined to the message with that hash: within its conversation the
 latest earlier one, otherwise the first (by conversation and turn) of all. A passage that no message has as a whole links
-to the message that has most of its lines, at least half of them.
+to the message that has most of its lines, at least half of them (of several such the latest earlier one of its conversation,
+otherwise the first).
 
 A message replies to the message of its own conversation that it quotes first, at the lowest level; without such a
 quotation to the turn before. `thread` is the turn at the root of the replies and `depth` the number of replies up to it, so
 ordering by conversation, thread and turn puts each reply after what it replies to.
 
-A hash that many messages share is reduced to its first message before the join, so common lines don't multiply rows.
+A hash that many messages share is reduced to the first messages of its first two conversations before the join, and the
+most common lines of a passage don't select candidates for it.
 
 Defined cases: null text is empty; a message whose conversation or turn is null is a root of its own and nobody's source;
 of rows that repeat a conversation and turn each is answered for, and as sources they count once; a message never links to
@@ -91,20 +93,40 @@ def sources(wanted: DataFrame, known: DataFrame) -> DataFrame:
     asked = wanted.select("conv", "hash", "turn", F.lit(0).alias("is_source"), "q")
     before = W.partitionBy("conv", "hash").orderBy("turn", "is_source").rowsBetween(W.unboundedPreceding, -1)
     near = events.unionByName(asked).withColumn("src_turn", F.last(F.when(F.col("is_source") == 1, F.col("turn")), ignorenulls=True).over(before)).where("is_source = 0")
-    first = known.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("first"))
-    other = F.when(F.col("first.conv") != F.col("conv"), F.col("first"))
-    got = near.join(first, "hash", "left")
+    each = known.groupBy("hash", "conv").agg(F.min("turn").alias("turn"))
+    first = each.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("first"))
+    # The first message of the next conversation, for those who ask from the conversation of the first.
+    second = each.join(first, "hash").where(F.col("conv") != F.col("first.conv")).groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("second"))
+    other = F.when(F.col("first.conv") != F.col("conv"), F.col("first")).when(F.col("first.conv") == F.col("conv"), F.col("second"))
+    got = near.join(first, "hash", "left").join(second, "hash", "left")
     return got.select("q", "conv", "turn", "hash", F.when(F.col("src_turn").isNotNull(), F.col("conv")).otherwise(other["conv"]).alias("src_conv"), F.coalesce("src_turn", other["turn"]).alias("src_turn"))
 
 
+def partial(passages: DataFrame, known: DataFrame) -> DataFrame:
+    """q and b (src_conv, src_turn, n): the message that has most lines of each passage, n of them. passages: q, conv, turn, lines.
+
+    A message with m lines of a passage or more has one of any size(lines) - m + 1; the rarest of them select the candidates,
+    with m = half the lines and two at least, and the candidates' lines are counted. For single lines `sources` is enough.
+    """
+    held = known.distinct().withColumnsRenamed({"conv": "src_conv", "turn": "src_turn"})
+    asked = passages.select("q", "conv", "turn", F.size("lines").alias("size"), F.explode("lines").alias("hash"))
+    often = held.groupBy("hash").agg(F.count("*").alias("often"))
+    ranked = asked.join(often, "hash", "left").withColumn("rank", F.row_number().over(W.partitionBy("q").orderBy(F.coalesce("often", F.lit(0)), "hash")))
+    rare = ranked.where(F.col("rank") <= F.col("size") - F.greatest(F.lit(2), F.ceil(F.col("size") / 2)) + 1)
+    found = rare.join(held, "hash").where("src_conv <> conv or (src_conv = conv and src_turn < turn)").select("q", "conv", "src_conv", "src_turn").distinct()
+    counted = found.join(asked.select("q", "hash"), "q").join(held, ["src_conv", "src_turn", "hash"]).groupBy("q", "conv", "src_conv", "src_turn").agg(F.count("*").alias("n"))
+    single = sources(asked.select("q", "conv", "turn", "hash"), known).where("src_turn is not null").select("q", "conv", "src_conv", "src_turn", F.lit(1).cast("long").alias("n"))
+    own = F.col("src_conv") == F.col("conv")
+    order = F.struct("n", own, F.when(own, F.col("src_turn")).otherwise(-F.col("src_conv")), -F.col("src_turn"))
+    return counted.unionByName(single).groupBy("q").agg(F.max_by(F.struct("src_conv", "src_turn", "n"), order).alias("b"))
+
+
 def links(messages: DataFrame, known: DataFrame) -> DataFrame:
     """One row for each passage that links: row, level, place, conv, turn, src_conv, src_turn. messages: row, conv, turn, quotes."""
     passages = messages.select("row", "conv", "turn", F.posexplode("quotes").alias("place", "x")).select("row", "conv", "turn", "place", F.col("x.level").alias("level"), F.col("x.hash").alias("hash"), F.array_distinct("x.lines").alias("lines"))
     passages = passages.withColumn("q", F.concat_ws(":", "row", "place"))
     whole = sources(passages.select("q", "conv", "turn", "hash"), known).where("src_turn is not null").select("q", "src_conv", "src_turn")
-    by_line = sources(passages.select("q", "conv", "turn", F.explode("lines").alias("hash")), known).where("src_turn is not null")
-    votes = by_line.groupBy("q", "src_conv", "src_turn").agg(F.count("*").alias("n"))
-    best = votes.groupBy("q").agg(F.max_by(F.struct("src_conv", "src_turn", "n"), F.struct("n", -F.col("src_conv"), -F.col("src_turn"))).alias("b"))
+    best = partial(passages.join(whole, "q", "left_anti"), known)
     got = passages.join(whole, "q", "left").join(best, "q", "left")
     enough = F.col("b.n") * 2 >= F.size("lines")
     pick = lambda c: F.when(F.col("src_turn").isNotNull(), F.col(c)).when(enough, F.col(f"b.{c}"))

@@ -236,6 +236,24 @@ def test_quotations(spark):
     assert quotes.reply_order(df.limit(0)).count() == 0
 
 
+def test_quotations_of_other_conversations(spark):
+    rows = [
+        (5, 0, "u", "> A passage of nine.\nwhat is this"),
+        (5, 1, "u", "A passage of nine."),
+        (9, 4, "u", "A passage of nine.\nand more"),
+        (1, 0, "u", "line one\nother"),
+        (2, 0, "u", "line two\nother b"),
+        (3, 0, "u", "line three\nother c"),
+        (4, 0, "u", "line one\nbetween\nline two\nline three"),
+        (6, 0, "u", "> line one\n> line two\n> line three\n> line four\n> line five\nasks"),
+        (7, 0, "u", "> line one\n> unknown\nasks"),
+        (8, 0, "u", "> line one\n> unknown\n> unknown too\nasks"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["source_conv"], r["source_turn"]) for r in quotes.reply_order(df).collect()}
+    assert [got[c, 0] for c in (5, 6, 7, 8)] == [(9, 4), (4, 0), (1, 0), (None, None)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
 
