@@ -123,64 +123,48 @@ def test_packing_follows_the_dot_product():
 
 
 def units(text):
-    g = next((k for k, most in fingerprints.GRAINS.items() if len(text) <= most), fingerprints.LAST)
-    found = re.findall(rf"(?:[^\n.!?]{{1,{fingerprints.CUT}}}[.!?]*){{1,{g}}}\n*|[\n.!?]+", text)
-    return g, set(Counter(found).items())
+    """Paragraphs with their occurrences, by a walk over sentences and lines."""
+    sentences = re.findall(rf"[^\n.!?]{{1,{fingerprints.CUT}}}[.!?]*\n*|[\n.!?]+", text or "")
+    found, held = [], []
+    for s in sentences:
+        held.append(s)
+        body = re.sub(r"[.!?]*\n*$", "", s)
+        ends = "\n" in s or not body or body[-1] in "aeiouy" or "À" <= body[-1] <= "￿" or not re.search(r"[.!?]$", s)
+        if ends or len(held) == fingerprints.MANY:
+            found.append("".join(held))
+            held = []
+    return set(Counter([*found, *(["".join(held)] if held else [])]).items())
 
 
 def likeness(a, b):
-    (g, x), (h, y) = units(a or ""), units(b or "")
-    return 1.0 if not x and not y else 0.0 if g != h else 1 - len(x ^ y) / (len(x) + len(y))
+    x, y = units(a), units(b)
+    return 1 - len(x ^ y) / (len(x) + len(y)) if x or y else 1.0
 
 
-def test_fingerprints(spark):
-    text = "One. Two! Three?\nFour. Five. Two! Six\n" + " ".join(f"Sentence {i}." for i in range(60))
-    pairs = [(1, text, text), (2, text, text.replace("Sentence 7.", "Changed.")), (3, None, ""), (4, "a. a. a.", "a. a."), (5, text, "Wholly. Different."), (6, text, "x " * 9000), (7, "one", "two"), (8, text, text[: len(text) * 3 // 4] + text[:40])]
+def compared(spark, pairs):
     df = spark.createDataFrame(pairs, "id long, a string, b string")
     made = fingerprints.fingerprint(fingerprints.fingerprint(df, "a", "a"), "b", "b")
-    got = {r["id"]: r for r in fingerprints.with_likeness(made, "a", "b", "near").collect()}
+    return {r["id"]: r for r in fingerprints.with_likeness(made, "a", "b", "near").collect()}
+
+
+def test_fingerprints(spark):
+    text = "One. Two! Three?\nFour. Five. Two! Six\n" + " ".join(f"Sentence {i} {'abcdefghij'[i % 10]}." for i in range(60))
+    pairs = [(1, text, text), (2, text, text.replace("Sentence 7 ", "Changed ")), (3, None, ""), (4, "a. a. a.", "a. a."), (5, text, "Wholly. Different."), (6, text, "x " * 9000), (7, "one", "two"), (8, text, text[: len(text) * 3 // 4] + text[:40])]
+    got = compared(spark, pairs)
     for k, a, b in pairs:
         assert got[k]["near"] == pytest.approx(likeness(a, b), abs=1e-9), k
-        if got[k]["near_keys"] is not None:
-            assert {(x["k"], x["c"]) for x in got[k]["near_keys"]} == {(x, 1) for x in set(got[k]["a_keys"]) - set(got[k]["b_keys"])} | {(x, -1) for x in set(got[k]["b_keys"]) - set(got[k]["a_keys"])}
+        assert {(x["k"], x["c"]) for x in got[k]["near_keys"]} == {(x, 1) for x in set(got[k]["a_keys"]) - set(got[k]["b_keys"])} | {(x, -1) for x in set(got[k]["b_keys"]) - set(got[k]["a_keys"])}
     assert got[1]["a_fingerprint"] == got[1]["b_fingerprint"] == got[2]["a_fingerprint"] != got[2]["b_fingerprint"]
 
 
-def test_fingerprint_query(spark):
-    docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
-    got = {r["doc_id"]: r for r in fingerprints.op5_fingerprints(spark, SF).collect()}
-    assert len(got) == len(docs)
-    exact = 0
-    for i, (k, text) in enumerate(docs):
-        following = docs[(i + 1) % len(docs)][1]
-        q = len(text) // 4
-        edited = text[: len(text) - q] + following[:q]
-        assert got[k]["n_chars"] == len(text)
-
-        assert got[k]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-        assert abs(got[k]["near_edited"] - likeness(text, edited)) < 0.3
-        exact += abs(got[k]["near_edited"] - likeness(text, edited)) < 1e-9
-    assert exact > 0.95 * len(docs)
-
-
-def at_grain(text, g):
-    return set(Counter(re.findall(rf"(?:[^\n.!?]{{1,{fingerprints.CUT}}}[.!?]*){{1,{g}}}\n*|[\n.!?]+", text)).items())
-
-
-def likeness_at_one_grain(a, b):
-    g = max(units(a)[0], units(b)[0])
-    x, y = at_grain(a, g), at_grain(b, g)
-    return 1 - len(x ^ y) / (len(x) + len(y))
-
-
-def test_fingerprints_across_grains(spark):
-    lines = "".join(f"Line {i} of a text. It has two sentences.\n" for i in range(700))
-    pairs = [(i, lines[:n], lines[:m]) for i, (n, m) in enumerate([(4090, 4100), (4100, 4090), (16380, 16390), (4328, 3940), (20000, 3000)])]
-    df = spark.createDataFrame(pairs, "id long, a string, b string")
-    made = fingerprints.fingerprint(fingerprints.fingerprint(df, "a", "a"), "b", "b")
-    got = {r["id"]: r["near"] for r in fingerprints.with_likeness(made, "a", "b", "near").collect()}
-    assert got == pytest.approx({k: likeness_at_one_grain(a, b) for k, a, b in pairs}, abs=1e-9)
-    assert min(got[k] for k in range(4)) > 0.8
+def test_fingerprints_know_no_lengths(spark):
+    lines = "".join(f"Line {i} of a text. It has two sentences.\n" for i in range(2500))
+    plain = " ".join(f"word{i} and sentence ends here. Then it goes on{' and on' * (i % 5)}." for i in range(1500))
+    sizes = [(4090, 4100), (4100, 4090), (16380, 16390), (4328, 3940), (20000, 3000), (65530, 65540), (65540, 49000)]
+    pairs = [(2 * i + j, t[:n], t[:m]) for i, (n, m) in enumerate(sizes) for j, t in enumerate((lines, plain))]
+    got = compared(spark, pairs)
+    assert {k: r["near"] for k, r in got.items()} == pytest.approx({k: likeness(a, b) for k, a, b in pairs}, abs=1e-9)
+    assert min(got[k]["near"] for k in (0, 1, 2, 3, 4, 5, 10, 11)) > 0.95
 
 
 def test_fingerprints_of_long_texts(spark):
@@ -188,24 +172,45 @@ def test_fingerprints_of_long_texts(spark):
         return "".join(f"{'Other' if i >= n - changed else 'A'} line {i}.\n" for i in range(n))
 
     pairs = [(n * 10 + k, text(n, 0), text(n, changed)) for n in (1000, 4000) for k, changed in enumerate((n // 4, n))]
-    df = spark.createDataFrame(pairs, "id long, a string, b string")
-    made = fingerprints.fingerprint(fingerprints.fingerprint(df, "a", "a"), "b", "b")
-    got = {r["id"]: r for r in fingerprints.with_likeness(made, "a", "b", "near").collect()}
-    assert {k: r["near"] for k, r in got.items()} == pytest.approx({k: likeness_at_one_grain(a, b) for k, a, b in pairs}, abs=1e-9)
+    got = compared(spark, pairs)
+    assert {k: r["near"] for k, r in got.items()} == pytest.approx({k: likeness(a, b) for k, a, b in pairs}, abs=1e-9)
     assert len(got[40000]["near_keys"]) == 2000
 
 
-def test_fingerprint_query_across_grains(spark):
-    docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
-    got, crossed = {r["doc_id"]: r for r in fingerprints.op5_fingerprints(spark, SF).collect()}, 0
-    for i, (k, text) in enumerate(docs):
-        following = docs[(i + 1) % len(docs)][1]
-        edited = text[: len(text) - len(text) // 4] + following[: len(text) // 4]
-        for other, near in ((edited, got[k]["near_edited"]), (following, got[k]["near_next"])):
-            if units(text)[0] != units(other)[0]:
-                crossed += 1
-                assert near == pytest.approx(likeness_at_one_grain(text, other), abs=0.3), k
-    assert crossed > 2
+def plain_edits(docs):
+    """By key and text: n_chars, the edited text, and both likenesses."""
+    order, out = sorted(set(docs), key=lambda d: (d[0] is not None, d[0] or 0, d[2])), {}
+    for i, (k, t, _) in enumerate(order):
+        following = order[(i + 1) % len(order)][1]
+        q = len(t) // 4
+        edited = t[: len(t) - q] + following[:q]
+        out[k, t] = len(t), hashlib.sha256(edited.encode()).hexdigest(), likeness(t, edited), likeness(t, following)
+    return out
+
+
+def test_fingerprint_query(spark):
+    docs = [(r["doc_id"], r["text"] or "", 0) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = plain_edits(docs)
+    found = fingerprints.op5_fingerprints(spark, SF)
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert len(got) == len(docs)
+    for k, t, _ in docs:
+        n, digest, near, following = want[k, t]
+        assert (got[k]["n_chars"], got[k]["edited_sha256"]) == (n, digest)
+        assert (got[k]["near_edited"], got[k]["near_next"]) == (pytest.approx(near, abs=1e-9), pytest.approx(following, abs=1e-9)), k
+    assert found.where("near_edited = 0").count() == sum(w[2] == 0 for w in want.values())
+
+
+def test_fingerprint_edges(spark):
+    rows = [(None, "No key. At all.", "c"), (None, "Another one. Of them.", "c"), (3, "Twice. The key.", "c"), (3, "Twice the key, not the text.", "c"), (5, "Same row.", "c"), (5, "Same row.", "c"), (7, None, "c"), (8, "", "c"), (9, "é" * 3 + "😀" * 9, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string")
+    hashed = df.withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))).collect()
+    want = plain_edits([(r["doc_id"], r["text"] or "", r["h"]) for r in hashed])
+    got = fingerprints.compare_edits(df).collect()
+    assert sorted((str(r["doc_id"]), r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in got) == sorted((str(k), n, d, round(a, 9), round(b, 9)) for (k, t, _) in ((r["doc_id"], r["text"] or "", 0) for r in hashed) for n, d, a, b in [want[k, t]])
+    assert fingerprints.compare_edits(df.limit(0)).count() == 0
+    alone = fingerprints.compare_edits(df.limit(1)).first()
+    assert alone["near_next"] == 1.0
 
 
 def test_quotations(spark):
