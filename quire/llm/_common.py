@@ -59,18 +59,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-_powers = np.ones(1, dtype=np.uint64)
+class _Digests(dict):
+    """The 128-bit digest of each word; a bounded cache for short words."""
 
+    MOST, LONGEST = 1 << 18, 64
 
-def powers(n: int) -> np.ndarray:
-    """WORD_BASE ** 0 .. n, modulo 2**64."""
-    global _powers
-    if len(_powers) <= n:
-        size = max(n + 1, 2 * len(_powers), 1 << 16)
-        steps = np.full(size, WORD_BASE, dtype=np.uint64)
-        steps[0] = 1
-        _powers = np.multiply.accumulate(steps)
-    return _powers
+    def __missing__(self, word: bytes) -> bytes:
+        from xxhash import xxh3_128_digest
+
+        out = xxh3_128_digest(word)
+        if len(word) <= self.LONGEST:
+            if len(self) >= self.MOST:
+                self.clear()
+            self[word] = out
+        return out
+
+
+_digests = _Digests()
 
 
 #: Bytes that end a word: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -79,12 +84,13 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
 class Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of a run of texts: start and end bytes, text number and 64-bit name of each.
+    """Words `[^\\x20\\x09-\\x0D]+` of a run of texts: start and end bytes, text number and 128-bit name of each, as two lanes.
 
-    Equal words have equal names everywhere; different words share a name only by a 64-bit collision.
+    Equal words have equal names everywhere. Most users take the first lane, `name`; `names` has both, and words of equal
+    names count as equal.
     """
 
-    __slots__ = ("data", "start", "end", "doc", "name", "first", "count")
+    __slots__ = ("data", "start", "end", "doc", "names", "name", "first", "count")
 
     def __init__(self, texts: list[bytes]):
         self.data = b" ".join(texts) + b" "
@@ -99,24 +105,10 @@ class Words:
         self.doc = np.searchsorted(ends, self.start, side="right")
         self.count = np.bincount(self.doc, minlength=len(texts)).astype(np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.count)])[: len(texts)] if texts else np.zeros(0, np.int64)
-        self.name = self._names(buf)
-
-    def _names(self, buf: np.ndarray) -> np.ndarray:
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        size = self.end - self.start
-        out = np.zeros(len(size), dtype=np.uint64)
-        # Horner's rule over all words at once for the usual lengths; the few long words byte by byte through a prefix sum.
-        alive = np.arange(len(size))
-        for k in range(min(int(size.max()), 24)):
-            if k:
-                alive = alive[size[alive] > k]
-            out[alive] = out[alive] * WORD_BASE + (buf[self.start[alive] + k].astype(np.uint64) + np.uint64(1))
-        for i in np.flatnonzero(size > 24):
-            piece = buf[self.start[i] + 24 : self.end[i]].astype(np.uint64) + np.uint64(1)
-            p = powers(len(piece))
-            out[i : i + 1] = out[i : i + 1] * p[len(piece)] + (piece * p[: len(piece)][::-1]).sum(dtype=np.uint64, keepdims=True)
-        return mix(out ^ (size.astype(np.uint64) * MIX_A))
+        # bytes.split() parts at exactly the bytes of SPACE.
+        digests = b"".join(map(_digests.__getitem__, self.data.split()))
+        self.names = np.ascontiguousarray(np.frombuffer(digests, dtype="<u8").reshape(-1, 2).T)
+        self.name = self.names[0]
 
 
 def grams(name: np.ndarray, n: int) -> np.ndarray:

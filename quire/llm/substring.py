@@ -2,22 +2,31 @@
 
 Each text is a sequence of word names. A round of recompression names maximal runs of a symbol, then pairs: a hash of the
 name makes each symbol a left or a right one, and a left symbol with a right one after it becomes one symbol. Names are
-64-bit hashes of what they stand for, so they are global without a dictionary, and equal substrings get the same symbols
-except near their ends. How far the ends reach is followed exactly: after each step the consistent interior of a window
-starts at the next symbol start after the last one and ends at the symbol end before it.
+128-bit digests of what they stand for (of the bytes for a word, of the parts for a run or pair), so they are the same in all
+tasks without a dictionary, and equal substrings get the same symbols except near their ends. How far the ends reach is followed
+exactly: after each step the consistent interior of a window starts at the next symbol start after the last one and ends at
+the symbol end before it.
 
-Every window of WINDOW words picks the symbol of least hash in its interior as its anchor (a window without interior, as
-within a long run, is its own anchor). Equal windows pick equal anchors, so only windows whose anchor (the symbol with four
-words on either side) occurs twice can repeat. These candidates are verified by 96-bit window names: all but the first
-occurrence, by key and start, are repeats, and their words are removed.
+Two Spark rounds find which names several texts share:
 
-Anchors and windows travel as packed arrays. Each task first settles what it can among its own rows and sends one row of
-each name, so a name that a third of all texts share costs a bucket no more than one row for each task. The texts are
-shuffled once (by key) and read twice. Nothing is collected, and no table is broadcast.
+1. Symbols of all levels. Rounds go on until a symbol has LONG windows' words; then it is a tile. A tile that also occurs
+   earlier verifies that each window in it does: equal names stand for equal words. Symbols after ROUNDS rounds are the anchors of
+   short repeats: every window of WINDOW words picks the symbol of least hash in its interior, with MARGIN words on either side
+   (a window without interior, as within a long run, is its own anchor). Equal windows pick equal anchors, so only windows
+   whose anchor occurs twice can repeat.
+2. The windows that share an anchor and lie in no repeated tile, by 128-bit names made from their words' names. All but the
+   first occurrence, by key and start, are repeats.
+
+The words of repeated windows are removed. A wrong removal needs different words or symbols of one 128-bit name.
+
+Names travel as packed arrays, in buckets of BUCKET bytes of text each on average. Each task first settles what it can among
+its own rows and sends one row of each name, so a name that a third of all texts share costs a bucket no more than one row for
+each task. The texts are shuffled once (by key) and read twice. Nothing is collected, and no table is broadcast.
 
 Defined cases: null text has no words and stays null; texts shorter than a window lose nothing; rows with a null key lose
-nothing and repeat nothing. Keys are whole numbers and expected to be unique: equal rows with one key don't count as
-repeats of each other, and different texts with one key share their removals. Columns named like the outputs are replaced.
+nothing and repeat nothing. Rows of one key follow each other by a hash of their text; rows equal in both follow each other in the
+order of the input. Where keys repeat or aren't whole numbers, the rows are sorted and numbered first, which costs a further
+shuffle of the texts. Columns named like the outputs are replaced.
 """
 
 from __future__ import annotations
@@ -30,41 +39,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm._common import MIX_A, WORD_BASE, Words, chunked, grams, mix, parts, utf8
+from quire.llm._common import MIX_A, WORD_BASE, Words, chunked, cut, grams, mix, parts, scratch, utf8
 
-#: Words of a window, rounds of runs and pairs, words of context on either side of an anchor.
+#: Words of a window, rounds of runs and pairs up to an anchor, words of context on either side of an anchor.
 WINDOW, ROUNDS, MARGIN = 20, 2, 4
-#: Bytes of text handled at a time, and rows gathered before they are settled and sent.
-BLOCK, FLUSH = 1 << 20, 1 << 20
-_PACKED = "bucket int, name binary, extra binary, doc binary, at binary"
+#: Windows that a tile is long at least, and most rounds up to a tile.
+LONG, TOP = 2, 24
+#: Bytes of text handled at a time, rows gathered before they are settled and sent, and bytes of text for each bucket.
+BLOCK, FLUSH, BUCKET = 1 << 20, 1 << 20, 64 << 20
+_PACKED = "bucket int, name binary, extra binary, doc binary, at binary, span binary"
+
 
+def recompress(names: np.ndarray, doc: np.ndarray, rounds: int, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """After each step (runs, pairs, runs, ...): the symbols (lanes x symbols) and the first and last + 1 word of each.
 
-def recompress(name: np.ndarray, doc: np.ndarray, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """After each step (runs, pairs, runs, ...): the symbols and the first and last + 1 word of each."""
-    sym, start, end = name, np.arange(len(name)), np.arange(1, len(name) + 1)
+    most: symbols of so many words or more stay as they are.
+    """
+    n = names.shape[1]
+    sym, start, end = names, np.arange(n), np.arange(1, n + 1)
     for r in range(rounds):
-        head = np.ones(len(sym), dtype=bool)
-        head[1:] = (sym[1:] != sym[:-1]) | (doc[start[1:]] != doc[start[:-1]])
+        free = np.ones(len(start), dtype=bool) if most is None else end - start < most
+        head = np.ones(len(start), dtype=bool)
+        head[1:] = (sym[:, 1:] != sym[:, :-1]).any(axis=0) | (doc[start[1:]] != doc[start[:-1]]) | ~free[1:]
         first = np.flatnonzero(head)
-        count = np.diff(np.append(first, len(sym)))
+        count = np.diff(np.append(first, len(start)))
         end = end[first + count - 1]
-        sym, start = sym[first], start[first]
-        sym = np.where(count > 1, mix(sym * WORD_BASE + count.astype(np.uint64) + np.uint64(4 * r + 1)), sym)
+        sym, start = sym[:, first], start[first]
+        run = np.flatnonzero(count > 1)
+        sym[:, run] = mix(sym[:, run] * WORD_BASE + count[run].astype(np.uint64) + np.uint64(4 * r + 1))
         yield sym, start, end
-        right = (mix(sym ^ np.uint64((2 * r + 1) << 40)) & np.uint64(1)).astype(bool)
-        joins = np.zeros(len(sym), dtype=bool)
-        joins[:-1] = ~right[:-1] & right[1:] & (doc[start[1:]] == doc[start[:-1]])
+        free = np.ones(len(start), dtype=bool) if most is None else end - start < most
+        may = np.zeros(len(start), dtype=bool)
+        may[:-1] = free[:-1] & free[1:] & (doc[start[1:]] == doc[start[:-1]])
+        if most is not None and not may.any():
+            return
+        right = (mix(sym[0] ^ np.uint64((2 * r + 1) << 40)) & np.uint64(1)).astype(bool)
+        joins = may
+        joins[:-1] &= ~right[:-1] & right[1:]
         at = np.flatnonzero(joins)
         end = end.copy()
         end[at] = end[at + 1]
         sym = sym.copy()
-        sym[at] = mix((sym[at] * WORD_BASE + sym[at + 1]) * WORD_BASE + np.uint64(4 * r + 2))
-        keep = np.ones(len(sym), dtype=bool)
+        sym[:, at] = mix((sym[:, at] * WORD_BASE + sym[:, at + 1]) * WORD_BASE + np.uint64(4 * r + 2))
+        keep = np.ones(len(start), dtype=bool)
         keep[at + 1] = False
-        sym, start, end = sym[keep], start[keep], end[keep]
+        sym, start, end = sym[:, keep], start[keep], end[keep]
         yield sym, start, end
 
 
+def tiles(words: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols that first have `least` words: names (lanes x tiles), first words and numbers of words."""
+    out = words.names[:, :0], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for sym, start, end in recompress(words.names, words.doc, TOP, least):
+        long = np.flatnonzero(end - start >= least)
+        out = sym[:, long], start[long], (end - start)[long]
+    return out
+
+
 def anchors(words: Words, window: int = WINDOW, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each window: its first word, and its anchor's name and code (twice the anchor's first word; for a window that is
     its own anchor twice its first word plus 1)."""
@@ -74,7 +105,8 @@ def anchors(words: Words, window: int = WINDOW, rounds: int = ROUNDS) -> tuple[n
     if not len(starts):
         return starts, np.zeros(0, np.uint64), starts
     lo, hi = starts, starts + window
-    for sym, start, end in recompress(words.name, words.doc, rounds):
+    for syms, start, end in recompress(words.names[:1], words.doc, rounds):
+        sym = syms[0]
         after = np.full(n + 1, n, dtype=np.int64)  # the next symbol start after a word
         after[start[1:] - 1] = start[1:]
         after = np.minimum.accumulate(after[::-1])[::-1]
@@ -102,36 +134,45 @@ def anchors(words: Words, window: int = WINDOW, rounds: int = ROUNDS) -> tuple[n
     name, code = np.zeros(len(starts), dtype=np.uint64), np.zeros(len(starts), dtype=np.int64)
     name[~own], code[~own] = picked_name[back], 2 * start[picked][back]
     if own.any():
-        name[own], code[own] = window_names(words.name, starts[own], window, WORD_BASE) ^ MIX_A, 2 * starts[own] + 1
+        name[own], code[own] = window_names(words.name, starts[own], window) ^ MIX_A, 2 * starts[own] + 1
     return starts, name, code
 
 
-def window_names(name: np.ndarray, starts: np.ndarray, window: int, base: np.uint64) -> np.ndarray:
+def window_names(name: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
     out = np.zeros(len(starts), dtype=np.uint64)
     for k in range(window):
-        out = out * base + name[starts + k]
+        out = out * WORD_BASE + name[starts + k]
     return mix(out)
 
 
-def packed(bucket: np.ndarray, name: np.ndarray, extra: np.ndarray, doc: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each bucket, the values of its rows as bytes."""
+def packed(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket, the values of its rows (name, extra, doc, at, span) as bytes; empty columns are left out."""
     if not len(bucket):
         return
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     first = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
-    columns = [x[order] if len(x) else x for x in (name, extra, doc, at)]  # a column may be left out
+    columns = [x[order] if len(x) else x for x in columns]
     cut = [pa.array([c[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary()) for c in columns]
-    yield pa.RecordBatch.from_arrays([pa.array(bucket[first[:-1]], pa.int32()), *cut], names=["bucket", "name", "extra", "doc", "at"])
+    yield pa.RecordBatch.from_arrays([pa.array(bucket[first[:-1]], pa.int32()), *cut], names=["bucket", "name", "extra", "doc", "at", "span"])
+
+
+def unpacked(table: pa.Table) -> list[np.ndarray]:
+    """name, extra, doc, at and span of all rows."""
+    kinds = {"name": "<u8", "extra": "<u8", "doc": "<i8", "at": "<i4", "span": "<i4"}
+    return [np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=k) for c, k in kinds.items()]
 
 
-def unpacked(table: pa.Table, column: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(column).to_pylist()), dtype=kind)
+def in_bucket(name: np.ndarray, buckets: int) -> np.ndarray:
+    return ((name >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
 
 
-def of_doc(doc: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of a key, below zero: such rows are settled."""
-    return -1 - (mix(doc.astype(np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+def settled(doc: np.ndarray, at: np.ndarray, span: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows that are known to count, by key, in buckets below zero."""
+    bucket = -1 - (mix(doc.astype(np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((at, doc))
+    none = np.zeros(0, np.uint64)
+    yield from packed(bucket[order], none, none, doc[order], at[order].astype(np.int32), span[order].astype(np.int32))
 
 
 def settle(name: np.ndarray, extra: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,11 +183,33 @@ def settle(name: np.ndarray, extra: np.ndarray, doc: np.ndarray, at: np.ndarray)
     return order, np.cumsum(head) - 1, np.flatnonzero(head)
 
 
+def shared(rows: list[np.ndarray], buckets: int, send: bool) -> Iterator[pa.RecordBatch]:
+    """Settle all occurrences of the names that occur twice, and with `send` pass on one row of each name: its own if the name
+    occurs once here, else one at -1."""
+    order, group, first = settle(*rows[:4])
+    name, _, doc, at, span = (x[order] for x in rows)
+    many = (np.bincount(group, minlength=len(first)) > 1) | (np.minimum.reduceat(at, first) < 0) if len(first) else np.zeros(0, bool)
+    on = many[group] & (at >= 0)
+    yield from settled(doc[on], at[on], span[on], buckets)
+    if send:
+        yield from packed(in_bucket(name[first], buckets), name[first], rows[1][order][first], doc[first], np.where(many, -1, at[first]).astype(np.int32), span[first])
+
+
+def repeated(rows: list[np.ndarray], buckets: int, send: bool) -> Iterator[pa.RecordBatch]:
+    """Settle all occurrences of a name but the first, and with `send` pass on the first."""
+    order, group, first = settle(*rows[:4])
+    name, extra, doc, at, span = (x[order] if len(x) else x for x in rows)
+    on = (doc != doc[first][group]) | (at != at[first][group])
+    yield from settled(doc[on], at[on], span[on] if len(span) else np.zeros(int(on.sum()), np.int32), buckets)
+    if send:
+        yield from packed(in_bucket(name[first], buckets), name[first], extra[first], doc[first], at[first], span[first] if len(span) else span)
+
+
 class Gather:
-    """Rows (name, extra, doc, at) gathered over blocks and sent by the hundred thousand."""
+    """Rows (name, extra, doc, at, span) gathered over blocks and sent by the million."""
 
-    def __init__(self, send):
-        self.send, self.rows, self.count = send, [], 0
+    def __init__(self, send, buckets: int):
+        self.send, self.buckets, self.rows, self.count = send, buckets, [], 0
 
     def add(self, *row: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(row[0]):
@@ -159,7 +222,7 @@ class Gather:
         if self.rows:
             columns = [np.concatenate(x) for x in zip(*self.rows, strict=True)]
             self.rows, self.count = [], 0
-            yield from self.send(*columns)
+            yield from self.send(columns, self.buckets, True)
 
 
 def blocks_of(key: pa.Array, text: pa.Array, wanted: list[bool]) -> Iterator[tuple[int, int, np.ndarray, Words]]:
@@ -170,97 +233,99 @@ def blocks_of(key: pa.Array, text: pa.Array, wanted: list[bool]) -> Iterator[tup
         yield lo, hi, keys[lo:hi], Words(texts[lo:hi])
 
 
-def repeats(docs: DataFrame, text: str, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """k and `starts` (int32 bytes): the windows of each text, by first word, that also start earlier.
+def repeats(docs: DataFrame, text: str, buckets: int, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+    """k and `starts` (int32 bytes): windows of each text, by first word, that also start earlier and cover all such.
 
-    docs: _k long (the key), the text and any other columns. The join below carries all of them and keeps rows without
-    spots, so that a join of docs by _k afterwards has the same exchange and Spark shuffles the texts once.
+    docs: _k long (the key, unique and not null), the text and any other columns. The join below carries all of them and keeps
+    rows without spots, so that a join of docs by _k afterwards has the same exchange and Spark shuffles the texts once.
     """
-    # Tasks send a row for each pair of a name bucket and a key bucket, so there are no more buckets than partitions.
-    buckets = parts(docs.sparkSession)
     place = docs.columns.index(text), docs.columns.index("_k")
+    none = np.zeros(0, np.int32)
 
-    def send_anchors(name, extra, doc, at):
-        order, group, first = settle(name, extra, doc, at)
-        name, extra, doc, at = name[order], extra[order], doc[order], at[order]
-        many = np.bincount(group, minlength=len(first)) > 1
-        known = many[group]
-        yield from packed(of_doc(doc[known], buckets), name[:0], extra[:0], doc[known], at[known]) if known.any() else ()
-        one = first
-        code = np.where(many, -1, at[one]).astype(np.int32)  # -1: this name occurs twice here, its rows are settled
-        where = ((name[one] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-        yield from packed(where, name[one], extra[:0], doc[one], code)
-
-    def find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gather = Gather(send_anchors)
+    def name_symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        short, long = Gather(shared, buckets), Gather(repeated, buckets)
         for batch in batches:
-            for _, _, keys, words in blocks_of(batch.column(0), batch.column(1), batch.column(0).is_valid().to_pylist()):
+            for _, _, keys, words in blocks_of(batch.column(0), batch.column(1), [True] * batch.num_rows):
                 starts, name, code = anchors(words, window, rounds)
                 if len(starts):
                     code, pick = np.unique(code, return_index=True)
                     name, of = name[pick], words.doc[starts[pick]]
-                    yield from gather.add(name, np.zeros(len(name), np.uint32), keys[of], (code - 2 * words.first[of]).astype(np.int32))
-        yield from gather.flush()
+                    yield from short.add(name, np.zeros(len(name), np.uint64), keys[of], (code - 2 * words.first[of]).astype(np.int32), np.zeros(len(name), np.int32))
+                names, at, span = tiles(words, LONG * window)
+                of = words.doc[at]
+                yield from long.add(names[0], names[1], keys[of], (at - words.first[of]).astype(np.int32), span.astype(np.int32))
+        yield from short.flush()
+        yield from long.flush()
+
+    def judge_symbols(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() < 0:
+            return table
+        rows = unpacked(table)
+        long = rows[4] > 0
+        found = [*shared([x[~long] for x in rows], buckets, False), *repeated([x[long] for x in rows], buckets, False)]
+        return pa.Table.from_batches(found, schema=table.schema)
 
-    def twice(table: pa.Table) -> pa.Table:
+    def judge_windows(table: pa.Table) -> pa.Table:
         if table.column("bucket")[0].as_py() < 0:
             return table
-        name, doc, at = unpacked(table, "name", "<u8"), unpacked(table, "doc", "<i8"), unpacked(table, "at", "<i4")
-        order, group, first = settle(name, np.zeros(len(name), np.uint32), doc, at)
-        doc, at = doc[order], at[order]
-        again = (np.bincount(group, minlength=len(first)) > 1) | (np.minimum.reduceat(at, first) < 0)
-        on = again[group] & (at >= 0)
-        return pa.Table.from_batches(list(packed(of_doc(doc[on], buckets), name[:0], name[:0], doc[on], at[on])), schema=table.schema)
+        return pa.Table.from_batches(list(repeated(unpacked(table), buckets, False)), schema=table.schema)
 
     def by_doc(table: pa.Table) -> pa.Table:
-        doc, at = unpacked(table, "doc", "<i8"), unpacked(table, "at", "<i4")
-        order = np.lexsort((at, doc))
-        doc, at = doc[order], at[order]
+        _, _, doc, at, span = unpacked(table)
+        order = np.lexsort((at, span, doc))
+        doc, both = doc[order], np.stack([at[order], span[order]], axis=1)
         first = np.append(np.flatnonzero(np.append(True, doc[1:] != doc[:-1])), len(doc)) if len(doc) else np.zeros(1, int)
-        return pa.table({"k": pa.array(doc[first[:-1]]), "spots": pa.array([at[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())})
-
-    def send_windows(name, extra, doc, at):
-        order, group, first = settle(name, extra, doc, at)
-        name, extra, doc, at = name[order], extra[order], doc[order], at[order]
-        later = (doc != doc[first][group]) | (at != at[first][group])
-        yield from packed(of_doc(doc[later], buckets), name[:0], extra[:0], doc[later], at[later]) if later.any() else ()
-        where = ((name[first] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-        yield from packed(where, name[first], extra[first], doc[first], at[first])
-
-    def find_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gather = Gather(send_windows)
+        return pa.table({"k": pa.array(doc[first[:-1]]), "spots": pa.array([both[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())})
+
+    def name_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gather = Gather(repeated, buckets)
         for batch in batches:
             spots = batch.column(batch.num_columns - 1).to_pylist()
             for lo, _, keys, words in blocks_of(batch.column(place[1]), batch.column(place[0]), [x is not None for x in spots]):
-                if not len(words.name):
+                n = len(words.name)
+                if not n:
                     continue
-                held = [np.frombuffer(s or b"", dtype="<i4") for s in spots[lo : lo + len(keys)]]
-                wanted = np.concatenate([h + 2 * f for h, f in zip(held, words.first.tolist(), strict=True)])
+                held = [np.frombuffer(s or b"", dtype="<i4").reshape(-1, 2) for s in spots[lo : lo + len(keys)]]
+                owner = np.repeat(np.arange(len(held)), [len(h) for h in held])
+                at, span = np.concatenate(held).T
+                small = span == 0
+                wanted = at[small] + 2 * words.first[owner[small]]
+                owner, at, span = owner[~small], at[~small].astype(np.int64), span[~small].astype(np.int64)
+                # A repeated tile settles all windows in it; windows at each WINDOW words and its last one cover it.
+                inside = np.zeros(n + 1, dtype=np.int64)
+                np.add.at(inside, at + words.first[owner], 1)
+                np.add.at(inside, at + words.first[owner] + span - window + 1, -1)
+                steps = -(-span // window)
+                tile = np.repeat(np.arange(len(at)), steps)
+                step = np.arange(len(tile)) - np.repeat(np.cumsum(steps) - steps, steps)
+                cover = at[tile] + np.minimum(step * window, (span - window)[tile])
+                yield from settled(keys[owner[tile]], cover, np.zeros(len(tile), np.int32), buckets)
                 starts, _, code = anchors(words, window, rounds)
-                at = starts[np.isin(code, wanted)]
+                at = starts[np.isin(code, wanted) & (np.cumsum(inside)[starts] == 0)]
                 if len(at):
                     of = words.doc[at]
-                    extra = window_names(words.name, at, window, MIX_A | np.uint64(1)) >> np.uint64(32)
-                    yield from gather.add(window_names(words.name, at, window, WORD_BASE), extra.astype(np.uint32), keys[of], (at - words.first[of]).astype(np.int32))
+                    yield from gather.add(window_names(words.names[0], at, window), window_names(words.names[1], at, window), keys[of], (at - words.first[of]).astype(np.int32), none)
         yield from gather.flush()
 
-    def later(table: pa.Table) -> pa.Table:
-        if table.column("bucket")[0].as_py() < 0:
-            return table
-        name, extra = unpacked(table, "name", "<u8"), unpacked(table, "extra", "<u4")
-        doc, at = unpacked(table, "doc", "<i8"), unpacked(table, "at", "<i4")
-        order, group, first = settle(name, extra, doc, at)
-        doc, at = doc[order], at[order]
-        on = (doc != doc[first][group]) | (at != at[first][group])
-        return pa.Table.from_batches(list(packed(of_doc(doc[on], buckets), name[:0], extra[:0], doc[on], at[on])), schema=table.schema)
-
-    found = docs.select("_k", text).mapInArrow(find_anchors, _PACKED).groupBy("bucket").applyInArrow(twice, _PACKED)
+    found = docs.select("_k", text).mapInArrow(name_symbols, _PACKED).groupBy("bucket").applyInArrow(judge_symbols, _PACKED)
     spots = found.groupBy("bucket").applyInArrow(by_doc, "k long, spots binary")
     candidates = docs.join(spots.withColumnRenamed("k", "_k").hint("merge"), "_k", "left").select(*docs.columns, "spots")
-    again = candidates.mapInArrow(find_windows, _PACKED).groupBy("bucket").applyInArrow(later, _PACKED)
+    again = candidates.mapInArrow(name_windows, _PACKED).groupBy("bucket").applyInArrow(judge_windows, _PACKED)
     return again.groupBy("bucket").applyInArrow(by_doc, "k long, spots binary").withColumnRenamed("spots", "starts")
 
 
+def ordered(df: DataFrame, text: str, key: str) -> DataFrame:
+    """df with _k, a unique whole number in the order of the keys (null for a null key)."""
+    whole = df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    if whole and not df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").limit(1).count():
+        return df.withColumn("_k", F.col(key).cast("long"))
+    # The input's own order parts rows that are equal in key and text, so that no range holds all of them.
+    tie = df.withColumn("_h", F.xxhash64(F.coalesce(F.col(text), F.lit("")))).withColumn("_t", F.monotonically_increasing_id())
+    n = max(16, parts(df.sparkSession))
+    ranged = tie.repartitionByRange(n, key, "_h", "_t").sortWithinPartitions(key, "_h", "_t")
+    return cut(ranged.withColumn("_k", F.when(F.col(key).isNotNull(), F.monotonically_increasing_id())), scratch(df.sparkSession), "ordered").drop("_h", "_t")
+
+
 def remove(df: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
     """df with the words of repeated windows removed.
 
@@ -269,9 +334,13 @@ def remove(df: DataFrame, text: str = "text", key: str = "doc_id", window: int =
     """
     made = ("n_words", "n_removed", "kept_words", "kept_text")
     rows = df.drop(*made)
-    docs = rows.withColumn("_k", F.col(key).cast("long"))
-    found = repeats(docs, text, window, rounds).select(F.col("k").alias("_k"), F.col("starts").alias("_starts"))
+    whole = ordered(rows, text, key)
+    docs = whole.where("_k is not null")
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = max(parts(df.sparkSession), -(-size // BUCKET))
+    found = repeats(docs, text, buckets, window, rounds).select(F.col("k").alias("_k"), F.col("starts").alias("_starts"))
     joined = docs.join(found.hint("merge"), "_k", "left")
+    joined = joined.unionByName(whole.where("_k is null").withColumn("_starts", F.lit(None).cast("binary")))
     schema = T.StructType([*rows.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_words", T.StringType()), T.StructField("kept_text", T.StringType())])
     names, place = rows.columns, rows.columns.index(text)
 
@@ -279,7 +348,7 @@ def remove(df: DataFrame, text: str = "text", key: str = "doc_id", window: int =
         words = (raw or b"").split()
         if not starts:
             return len(words), 0, b" ".join(words), raw
-        at = np.frombuffer(starts, dtype="<i4")
+        at = np.frombuffer(starts, dtype="<i4")[::2]
         step = np.zeros(len(words) + 1, dtype=np.int32)
         np.add.at(step, at, 1)
         np.add.at(step, np.minimum(at + window, len(words)), -1)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from quire.llm import decontaminate, simhash, substring
+from quire.llm._common import Words
 
 
 def plain_fingerprint(text, n=4):
@@ -183,6 +184,42 @@ def test_substring_null_key(spark):
     assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == {None: 0, 1: 0, 2: 30}
 
 
+def test_substrings_of_long_repeats(spark):
+    """Copies of long passages, of whole texts, runs, and passages cut at odd places: tiles settle them, windows the rest."""
+    rng = random.Random(11)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    base, texts = [fresh(700) for _ in range(4)], []
+    for k in range(40):
+        b = rng.choice(base)
+        i, n = rng.randrange(600), rng.choice([19, 20, 21, 39, 40, 41, 60, 100, 400])
+        texts.append(fresh(rng.randrange(60)) + b[i : i + n] + fresh(rng.randrange(60)))
+    texts += [base[0], base[0], base[1] + base[1], fresh(30) + ["x"] * 900, ["x"] * 300 + fresh(5), ["x", "y"] * 400]
+    rows = [(3 * k - 30, " ".join(t)) for k, t in enumerate(texts)]
+    rng.shuffle(rows)
+    got = substring.remove(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], hashlib.sha256(r["kept_words"].encode()).hexdigest()) for r in got} == plain_removal(rows)
+
+
+def test_words_that_collide_in_polynomial_hashes(spark):
+    """Words over two letters in the Thue-Morse order and its complement have equal polynomial hashes modulo 2**64."""
+    order = [bin(i).count("1") % 2 for i in range(2048)]
+    a, b = "".join("ab"[x] for x in order), "".join("ba"[x] for x in order)
+    names = Words([f"{a} {b}".encode()]).names
+    assert (names[:, 0] != names[:, 1]).all()
+    words = [f"w{i}" for i in range(30)]
+    rows = [(1, " ".join([*words[:10], a, *words[10:20]])), (2, " ".join([*words[:10], b, *words[10:20]])), (3, " ".join([a, b] * 30)), (4, " ".join([b, b] * 30))]
+    got = substring.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], hashlib.sha256(r["kept_words"].encode()).hexdigest()) for r in got} == plain_removal(rows)
+
+
+def test_substring_keys(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    named = substring.remove(spark.createDataFrame([("b", text), ("a", text), ("c", "x"), (None, text)], "doc_id string, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in named.collect()} == {"a": 0, "b": 30, "c": 0, None: 0}
+    twice = substring.remove(spark.createDataFrame([(1, text), (1, text), (1, f"{text} more"), (0, f"y {text}")], "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in twice) == [(0, 31, 0), (1, 30, 30), (1, 30, 30), (1, 31, 30)]
+
+
 def plain_matches(docs, items):
     grams = lambda w, n: Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
     out = {}
