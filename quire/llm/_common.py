@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from xxhash import xxh3_128_digest
 
 #: Odd multipliers of the polynomial word hash and its finaliser (arbitrary fixed values).
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -59,23 +60,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-class _Digests(dict):
-    """The 128-bit digest of each word; a bounded cache for short words."""
+#: Masks that keep the first 0 to 8 bytes of a little-endian number.
+KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: The longest word that two lanes hold with its length.
+SHORT = 15
 
-    MOST, LONGEST = 1 << 18, 64
 
-    def __missing__(self, word: bytes) -> bytes:
-        from xxhash import xxh3_128_digest
-
-        out = xxh3_128_digest(word)
-        if len(word) <= self.LONGEST:
-            if len(self) >= self.MOST:
-                self.clear()
-            self[word] = out
-        return out
-
-
-_digests = _Digests()
+def word_names(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Names of words as two 64-bit lanes: of up to SHORT bytes the bytes themselves and their number, mixed reversibly, so
+    that different short words never share a name; of longer words a 128-bit digest."""
+    size = end - start
+    raw = data + bytes(16)
+    view = np.ndarray((len(data) + 8,), "<u8", raw, strides=(1,))  # the eight bytes from each place on
+    a = view[start] & KEEP[np.minimum(size, 8)]
+    b = view[start + np.minimum(size, 8)] & KEEP[np.clip(size - 8, 0, 7)] | size.astype(np.uint64) << np.uint64(56)
+    a ^= mix(b + WORD_BASE)
+    b ^= mix(a + MIX_A)
+    a ^= mix(b + MIX_B)
+    out = np.stack([a, b])
+    for i in np.flatnonzero(size > SHORT).tolist():
+        out[:, i] = np.frombuffer(xxh3_128_digest(data[start[i] : end[i]]), dtype="<u8")
+    return out
 
 
 #: Bytes that end a word: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -105,9 +110,7 @@ class Words:
         self.doc = np.searchsorted(ends, self.start, side="right")
         self.count = np.bincount(self.doc, minlength=len(texts)).astype(np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.count)])[: len(texts)] if texts else np.zeros(0, np.int64)
-        # bytes.split() parts at exactly the bytes of SPACE.
-        digests = b"".join(map(_digests.__getitem__, self.data.split()))
-        self.names = np.ascontiguousarray(np.frombuffer(digests, dtype="<u8").reshape(-1, 2).T)
+        self.names = word_names(self.data, self.start, self.end)
         self.name = self.names[0]
 
 

@@ -3,14 +3,15 @@
 A group (rows with equal texts) is a vector of bytes, tokens and rows; a shard is a bin with equal capacity in each. Groups
 go in falling order of size to the shard where the dot product of the group with the shard's residual capacity is highest.
 
-At scale the packing has two levels. Groups larger than 1/(SPLIT * shards) of the total in any dimension are cut into
-pieces below that; such pieces are at most a few thousand whatever the input, and the driver packs them first. All others are
-dealt into lanes by a hash; each lane packs its own groups against its share of the residual capacity, so no task sees more
-than about LANE groups and the loads add up to nearly equal shards.
-
-Defined cases: null text is the empty text; equal texts stay together unless their group had to be cut; an empty table
-gives no rows. Input columns other than the key and the text don't matter. Keys are expected to be unique; rows that
-repeat a key are all placed and numbered, in an order among themselves that may change.
+At scale the packing has two levels. Groups larger than 1/(SPLIT * shards) of the total in any dimension are a few thousand
+at most whatever the input, and the driver packs them first. All others are dealt into lanes by a hash; each lane packs its
+own groups against its share of the residual capacity, so no task sees more than about LANE groups and the loads add up to
+nearly equal shards. Only a group that no empty shard can hold, larger than 1/shards of the total in some dimension, is cut,
+into pieces of 1/(SPLIT * shards).
+
+Defined cases: null text is the empty text; equal texts share a shard unless no shard can hold them all; an empty table
+gives no rows. Input columns other than the key and the text don't matter. Rows whose key is null or repeats are all placed
+and numbered; slots follow a hash of the key and the row's place in the input.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from quire.llm._common import cut, scratch
 
-#: Groups above 1 / (SPLIT * shards) of the total are cut; groups of a lane; rows of a numbering chunk.
+#: Groups above 1 / (SPLIT * shards) of the total are packed first; groups of a lane; rows of a numbering chunk.
 SPLIT, LANE, CHUNK = 48, 2000, 20_000
 DIMENSIONS = ("bytes", "tokens", "rows")
 
@@ -56,7 +57,7 @@ def assign(docs: DataFrame, shards: int = 16, text: str = "text", key: str = "do
             F.regexp_count(body, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("tokens"),
             F.crc32(body.cast("binary")).alias("crc"),
             F.xxhash64(body).alias("g"),
-            F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)).alias("salt"),
+            F.pmod(F.xxhash64(F.col(key), F.monotonically_increasing_id()), F.lit(1 << 30)).alias("salt"),
         ),
         folder,
         "rows",
@@ -68,8 +69,9 @@ def assign(docs: DataFrame, shards: int = 16, text: str = "text", key: str = "do
     all_of = np.array([total[d] for d in DIMENSIONS], dtype=float)
     limit = all_of / (SPLIT * shards)
     share = F.greatest(*[x / F.lit(max(float(m), 1.0)) for x, m in zip((F.col("bytes") * F.col("rows"), F.col("tokens"), F.col("rows")), limit, strict=True)])
-    # A cut group has several rows and more than the limit in some dimension: at most 3 * SPLIT * shards groups do.
-    large = groups.withColumn("pieces", F.when(F.col("rows") > 1, F.least(F.ceil(share), F.col("rows"))).otherwise(1)).where(share > 1)
+    # At most 3 * SPLIT * shards groups have more than the limit in some dimension, and their pieces are no more than twice that.
+    # A group that has more than a shard's part (SPLIT limits) can't stay whole.
+    large = groups.withColumn("pieces", F.when((share > SPLIT) & (F.col("rows") > 1), F.least(F.ceil(share), F.col("rows"))).otherwise(1)).where(share > 1)
     hot = F.broadcast(large.select("g", "crc", "bytes", "pieces"))
     tagged = rows.join(hot, ["g", "crc", "bytes"], "left").withColumn("piece", F.when(F.col("pieces").isNotNull(), F.pmod(F.col("salt"), F.col("pieces"))).otherwise(F.lit(-1)).cast("int"))
     heavy = tagged.where("piece >= 0").groupBy("g", "crc", "bytes", "piece").agg(F.count("*").alias("rows"), F.sum("tokens").alias("tokens")).orderBy("g", "crc", "bytes", "piece").toPandas()

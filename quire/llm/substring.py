@@ -2,8 +2,8 @@
 
 Each text is a sequence of word names. A round of recompression names maximal runs of a symbol, then pairs: a hash of the
 name makes each symbol a left or a right one, and a left symbol with a right one after it becomes one symbol. Names are
-128-bit digests of what they stand for (of the bytes for a word, of the parts for a run or pair), so they are the same in all
-tasks without a dictionary, and equal substrings get the same symbols except near their ends. How far the ends reach is followed
+128 bits made from what they stand for (the bytes of a word, the parts of a run or pair), so they are the same in all tasks
+without a dictionary, and equal substrings get the same symbols except near their ends. How far the ends reach is followed
 exactly: after each step the consistent interior of a window starts at the next symbol start after the last one and ends at
 the symbol end before it.
 
@@ -60,13 +60,14 @@ def recompress(names: np.ndarray, doc: np.ndarray, rounds: int, most: int | None
     for r in range(rounds):
         free = np.ones(len(start), dtype=bool) if most is None else end - start < most
         head = np.ones(len(start), dtype=bool)
-        head[1:] = (sym[:, 1:] != sym[:, :-1]).any(axis=0) | (doc[start[1:]] != doc[start[:-1]]) | ~free[1:]
-        first = np.flatnonzero(head)
-        count = np.diff(np.append(first, len(start)))
-        end = end[first + count - 1]
-        sym, start = sym[:, first], start[first]
-        run = np.flatnonzero(count > 1)
-        sym[:, run] = mix(sym[:, run] * WORD_BASE + count[run].astype(np.uint64) + np.uint64(4 * r + 1))
+        head[1:] = (sym[0, 1:] != sym[0, :-1]) | (sym[1, 1:] != sym[1, :-1]) | (doc[start[1:]] != doc[start[:-1]]) | ~free[1:]
+        if not head.all():
+            first = np.flatnonzero(head)
+            count = np.diff(np.append(first, len(start)))
+            end = end[first + count - 1]
+            sym, start = sym[:, first], start[first]
+            run = np.flatnonzero(count > 1)
+            sym[:, run] = mix(sym[:, run] * WORD_BASE + count[run].astype(np.uint64) + np.uint64(4 * r + 1))
         yield sym, start, end
         free = np.ones(len(start), dtype=bool) if most is None else end - start < most
         may = np.zeros(len(start), dtype=bool)
@@ -87,17 +88,20 @@ def recompress(names: np.ndarray, doc: np.ndarray, rounds: int, most: int | None
         yield sym, start, end
 
 
-def tiles(words: Words, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The symbols that first have `least` words: names (lanes x tiles), first words and numbers of words."""
-    out = words.names[:, :0], np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for sym, start, end in recompress(words.names, words.doc, TOP, least):
-        long = np.flatnonzero(end - start >= least)
-        out = sym[:, long], start[long], (end - start)[long]
-    return out
+def symbols(words: Words, rounds: int, least: int) -> tuple[list, tuple]:
+    """The steps of the first `rounds` rounds, and of the symbols that first have `least` words the names (lanes x tiles), first
+    words and numbers of words."""
+    steps, last = [], None
+    for last in recompress(words.names, words.doc, TOP, least):
+        if len(steps) < 2 * rounds:
+            steps.append(last)
+    sym, start, end = last
+    long = np.flatnonzero(end - start >= least)
+    return steps, (sym[:, long], start[long], (end - start)[long])
 
 
-def anchors(words: Words, window: int = WINDOW, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each window: its first word, and its anchor's name and code (twice the anchor's first word; for a window that is
+def anchors(words: Words, steps: list, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From the steps of recompression, of each window: its first word, and its anchor's name and code (twice the anchor's first word; for a window that is
     its own anchor twice its first word plus 1)."""
     n = len(words.name)
     starts = np.arange(max(0, n - window + 1))
@@ -105,8 +109,8 @@ def anchors(words: Words, window: int = WINDOW, rounds: int = ROUNDS) -> tuple[n
     if not len(starts):
         return starts, np.zeros(0, np.uint64), starts
     lo, hi = starts, starts + window
-    for syms, start, end in recompress(words.names[:1], words.doc, rounds):
-        sym = syms[0]
+    for names, start, end in steps:
+        sym = names[0]
         after = np.full(n + 1, n, dtype=np.int64)  # the next symbol start after a word
         after[start[1:] - 1] = start[1:]
         after = np.minimum.accumulate(after[::-1])[::-1]
@@ -246,12 +250,14 @@ def repeats(docs: DataFrame, text: str, buckets: int, window: int = WINDOW, roun
         short, long = Gather(shared, buckets), Gather(repeated, buckets)
         for batch in batches:
             for _, _, keys, words in blocks_of(batch.column(0), batch.column(1), [True] * batch.num_rows):
-                starts, name, code = anchors(words, window, rounds)
+                if not len(words.name):
+                    continue
+                steps, (names, at, span) = symbols(words, rounds, LONG * window)
+                starts, name, code = anchors(words, steps, window)
                 if len(starts):
                     code, pick = np.unique(code, return_index=True)
                     name, of = name[pick], words.doc[starts[pick]]
                     yield from short.add(name, np.zeros(len(name), np.uint64), keys[of], (code - 2 * words.first[of]).astype(np.int32), np.zeros(len(name), np.int32))
-                names, at, span = tiles(words, LONG * window)
                 of = words.doc[at]
                 yield from long.add(names[0], names[1], keys[of], (at - words.first[of]).astype(np.int32), span.astype(np.int32))
         yield from short.flush()
@@ -300,7 +306,7 @@ def repeats(docs: DataFrame, text: str, buckets: int, window: int = WINDOW, roun
                 step = np.arange(len(tile)) - np.repeat(np.cumsum(steps) - steps, steps)
                 cover = at[tile] + np.minimum(step * window, (span - window)[tile])
                 yield from settled(keys[owner[tile]], cover, np.zeros(len(tile), np.int32), buckets)
-                starts, _, code = anchors(words, window, rounds)
+                starts, _, code = anchors(words, list(recompress(words.names, words.doc, rounds, LONG * window)), window)
                 at = starts[np.isin(code, wanted) & (np.cumsum(inside)[starts] == 0)]
                 if len(at):
                     of = words.doc[at]

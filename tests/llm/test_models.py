@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -88,27 +89,48 @@ def test_quality_edges(spark):
     assert quality.score(docs.limit(0), none).count() == 0
 
 
-def check_shards(rows, shards, spread):
-    size, slots = Counter(), defaultdict(list)
+def check_shards(rows, text_of, shards, spread):
+    """Bytes, tokens and rows of all shards, gapless slots, and groups of equal texts in one shard wherever one can hold them."""
+    load, slots, groups = np.zeros((shards, 3)), defaultdict(list), defaultdict(list)
     for r in rows:
-        size[r["shard"]] += r["size"]
+        t = text_of[r["doc_id"]] or ""
+        assert r["size"] == len(t.encode()) + 1 and r["text_crc32"] == zlib.crc32(t.encode())
+        load[r["shard"]] += r["size"], len(t.encode().split()), 1
         slots[r["shard"]].append(r["slot"])
+        groups[t].append(r["shard"])
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    mean = sum(size.values()) / shards
-    assert max(size.values()) <= spread * mean and min(size[s] for s in range(shards)) >= (2 - spread) * mean
+    mean = load.sum(axis=0) / shards
+    assert (load <= spread * mean).all() and (load >= (2 - spread) * mean).all(), load / mean
+    whole = [t for t, s in groups.items() if max(np.array([len(t.encode()) + 1, len(t.encode().split()), 1]) * len(s) / mean) <= 1]
+    assert all(len(set(groups[t])) == 1 for t in whole)
+    return len(groups) - len(whole)
 
 
 def test_sharding(spark):
-    check_shards(sharding.op1_sharding(spark, "/root/testdata/sf0.01").collect(), 16, 1.05)
-    rows = [(i, "hot text " * 5, "c") for i in range(3000)] + [(3000 + i, f"other {i} " * (i % 40), "c") for i in range(6000)] + [(9001, None, "c"), (9002, "", "c"), (9003, "long " * 3000, "c")]
+    sf = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    assert check_shards(sharding.op1_sharding(spark, sf).collect(), docs, 16, 1.1) == 0
+    rows = [(i, "hot text " * 5, "c") for i in range(3000)] + [(3000 + i, f"other {i} " * (1 + i % 40), "c") for i in range(6000)] + [(9001, None, "c"), (9002, "", "c"), (9003, "long " * 3000, "c")]
+    rows += [(20000 + i, f"group {i // 400} of equal texts, " * 9, "c") for i in range(2000)]
     got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string, shard string"), 16).collect()
     assert len(got) == len(rows)
-    check_shards(got, 16, 1.1)
+    assert check_shards(got, {k: t for k, t, _ in rows}, 16, 1.15) == 1
     by = {r["doc_id"]: r for r in got}
     assert (by[9001]["size"], by[9001]["text_crc32"]) == (1, 0) and by[9001]["shard"] == by[9002]["shard"]
     assert sharding.assign(spark.createDataFrame([], "doc_id long, text string"), 16).count() == 0
 
 
+def test_sharding_of_null_and_repeated_keys(spark):
+    rows = [(None if i % 2 else 7, f"text {i} " * (i % 9)) for i in range(4000)]
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(k for k, _ in rows)
+    assert Counter(r["size"] for r in got) == Counter(len(t) + 1 for _, t in rows)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 8
+
+
 def test_packing_follows_the_dot_product():
     rng = np.random.default_rng(1)
     items = rng.random((40, 3))
