@@ -38,6 +38,8 @@ from quire.llm._common import Words, cut, drop_path, grams, mix, scratch, utf8
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints below one prefix, roughly; node pairs in a chunk; member pairs at which a node pair is compared directly.
 SUBTREE, CHUNK, LEAF = 8192, 1 << 18, 32
+#: Members of a group above which it goes deeper, by so many levels.
+CROWD, STEP = 1 << 17, 4
 #: The share of distinct shingles that near-duplicates have in common (of those that either has), and bytes of text in a block.
 ALIKE, BLOCK = (4, 5), 16 << 20
 
@@ -192,41 +194,75 @@ def compare(keys: np.ndarray, parent: np.ndarray, alo: np.ndarray, ahi: np.ndarr
     return parent
 
 
-def links(vertices: DataFrame, radius: int = RADIUS, most: int | None = None) -> DataFrame:
+def allowed(budget: list[int], depth: int, bits: int, err: int) -> list[int]:
+    """The masks of `bits` further levels below a node pair of `depth` levels with `err` differing bits that stay within budget."""
+    out = []
+    for k in range(budget[depth + bits] - err + 1):
+        for places in combinations(range(bits), k):  # from the lowest level up
+            if all(err + sum(bits - 1 - p < d for p in places) <= budget[depth + d] for d in range(bits + 1)):
+                out.append(sum(1 << p for p in places))
+    return out
+
+
+def links(vertices: DataFrame, radius: int = RADIUS, most: int | None = None, searched: int = 1) -> DataFrame:
     """A spanning forest (u, w: vertex numbers, u > w) of the links between distinct fingerprints.
 
     vertices: fp (array of longs, distinct) and v long. most: bits that may differ over all words; by default the first decides.
+    searched: how many of the words are searched, each for pairs within the radius.
+
+    A group is what meets at one prefix of one trie. A group of more than CROWD members goes STEP levels deeper, until none is
+    left, so that many alike fingerprints don't end in one task.
     """
     n = vertices.count()
-    size = segments(radius)
-    depth = min(16, max(min(6, size[0]), int(np.ceil(np.log2(max(n, 1) / SUBTREE)))))
-    dealt = None
-    for t in range(radius + 1):
-        turn = sum(size[:t])
-        word = F.col("fp")[0]
-        key = F.shiftleft(word, turn).bitwiseOR(F.shiftrightunsigned(word, 64 - turn)) if turn else word
-        budget = budgets(radius, t)
-        masks = [m for k in range(budget[depth] + 1) for c in combinations(range(depth), k) if all(sum(depth - 1 - b < d for b in c) <= budget[d] for d in range(depth + 1)) for m in [sum(1 << b for b in c)]]
-        own = F.shiftrightunsigned("key", 64 - depth)
-        sent = vertices.select(key.alias("key"), "v", "fp", F.lit(t).cast("int").alias("trie")).withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-        sent = sent.withColumn("prefix", own.bitwiseXOR(F.col("mask")).cast("int")).where(F.col("prefix") <= own).select("trie", "prefix", "key", "v", *["fp"] * (most is not None))
-        dealt = sent if dealt is None else dealt.unionByName(sent)
+    size, tries = segments(radius), radius + 1
+    depth = min(40, max(min(6, size[0]), int(np.ceil(np.log2(max(n, 1) / SUBTREE)))))
+    level = None
+    for w in range(searched):
+        for t in range(tries):
+            turn = sum(size[:t])
+            word = F.col("fp")[w]
+            key = F.shiftleft(word, turn).bitwiseOR(F.shiftrightunsigned(word, 64 - turn)) if turn else word
+            masks = F.array(*[F.lit(m).cast("long") for m in allowed(budgets(radius, t), 0, depth, 0)])
+            sent = vertices.select(key.alias("key"), "v", "fp", F.lit(w * tries + t).cast("int").alias("trie")).withColumn("mask", F.explode(masks))
+            own = F.shiftrightunsigned("key", 64 - depth)
+            sent = sent.withColumn("prefix", own.bitwiseXOR(F.col("mask"))).where(F.col("prefix") <= own)
+            sent = sent.select("trie", "prefix", F.bit_count("mask").cast("int").alias("err"), "key", "v", *["fp"] * (most is not None))
+            level = sent if level is None else level.unionByName(sent)
+    spark, dealt, folder = vertices.sparkSession, None, None
+    while True:
+        part = level.withColumn("depth", F.lit(depth).cast("int"))
+        crowded = level.groupBy("trie", "prefix").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("trie", "prefix")
+        if depth + STEP <= 64:
+            folder = folder or scratch(spark)
+            crowded = cut(crowded, folder, f"crowded{depth}")
+            if crowded.limit(1).count():
+                part = part.join(crowded, ["trie", "prefix"], "left_anti")
+        dealt = part if dealt is None else dealt.unionByName(part)
+        if depth + STEP > 64 or not crowded.limit(1).count():
+            break
+        ways = [(w * tries + t, e, m, m.bit_count()) for w in range(searched) for t in range(tries) for e in range(radius + 1) if e <= budgets(radius, t)[depth] for m in allowed(budgets(radius, t), depth, STEP, e)]
+        ways = F.broadcast(spark.createDataFrame(ways, "trie int, err int, more long, errs int"))  # tries x (radius + 1) x 2 ** STEP rows at most
+        own = F.shiftrightunsigned("key", 64 - depth - STEP)
+        down = F.shiftleft("prefix", STEP).bitwiseOR(own.bitwiseAND(F.lit((1 << STEP) - 1)).bitwiseXOR(F.col("more")))
+        below = level.join(crowded, ["trie", "prefix"], "left_semi").join(ways, ["trie", "err"]).withColumn("prefix", down).where(F.col("prefix") <= own)
+        depth += STEP
+        level = cut(below.withColumn("err", F.col("err") + F.col("errs")).select(level.columns), folder, f"level{depth}")
 
     def join(table: pa.Table) -> pa.Table:
         keys, v = table.column("key").to_numpy().view(np.uint64), table.column("v").to_numpy()
-        trie, prefix = table.column("trie")[0].as_py(), table.column("prefix")[0].as_py()
+        trie, prefix, depth = (table.column(c)[0].as_py() for c in ("trie", "prefix", "depth"))
         order = np.argsort(keys)
         keys, v = keys[order], v[order]
         whole = None
         if most is not None:
             whole = np.array(table.column("fp").combine_chunks().flatten()).view(np.uint64).reshape(len(v), -1)[order]
         home = int((keys >> np.uint64(64 - depth) == np.uint64(prefix)).sum())
-        root = walk(keys, home, radius, depth, budgets(radius, trie), whole, 64 if most is None else most)
+        root = walk(keys, home, radius, depth, budgets(radius, trie % tries), whole, 64 if most is None else most)
         moved = np.flatnonzero(root != np.arange(len(root)))
         a, b = v[moved], v[root[moved]]
         return pa.table({"u": np.maximum(a, b), "w": np.minimum(a, b)})
 
-    return dealt.groupBy("trie", "prefix").applyInArrow(join, "u long, w long").distinct()
+    return dealt.drop("err").groupBy("trie", "depth", "prefix").applyInArrow(join, "u long, w long").distinct()
 
 
 def components(forest: DataFrame, folder: str) -> DataFrame:
@@ -316,25 +352,21 @@ def verified(members: DataFrame, shingle: int, most: int) -> DataFrame:
     return dealt.groupBy("candidate", "a", "b").applyInArrow(join, "u long, w long").distinct()
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, radius: int = 15, words: int = 4, most: int = 63) -> DataFrame:
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, radius: int = 13, words: int = 4, most: int = 63, searched: int = 2) -> DataFrame:
     """The rows of docs that have the smallest key of their component; texts link if they share ALIKE of their distinct shingles.
 
-    Fingerprints of the distinct shingles only select candidates: those that differ in `most` bits at most. Of such a pair some
-    word differs in most / words bits at most, so with that as the radius one join for each word finds all of them. Texts of
-    similarity 0.8 differ in 39 of 256 bits on average, with a standard deviation of 6. What candidates link, directly or in
-    chains, is compared exactly (by 64-bit names of shingles). Rows with a null key are kept.
+    Fingerprints of the distinct shingles, of `words` 64-bit words, only select candidates: those of which one of the first
+    `searched` words differs in `radius` bits at most and all words in `most` bits at most. Texts of similarity 0.8 differ in 39
+    of 256 bits on average, with a standard deviation of 6, and in 9.8 bits of a word, with one of 2.9, so about one pair in a
+    hundred at exactly 0.8 and far fewer above it aren't candidates. What candidates link, directly or in chains, is compared
+    exactly (by 64-bit names of shingles). Rows with a null key are kept; an empty table gives no rows.
     """
     folder = scratch(docs.sparkSession)
     named = docs.select(F.col(key).alias("k"), fingerprint_column(F.col(text), shingle, words, True).alias("fp"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("same"))
     rows = cut(named.where("k is not null"), folder, "rows")
     texts = cut(rows.groupBy("fp", "same").agg(F.min("k").alias("v")), folder, "texts")
     prints = cut(texts.groupBy("fp").agg(F.min("v").alias("v")), folder, "prints")
-    forest = None
-    for w in range(words):
-        turned = prints.select("v", F.array(*[F.col("fp")[(w + i) % words] for i in range(words)]).alias("fp"))
-        found = links(turned, radius, most)
-        forest = found if forest is None else forest.unionByName(found)
-    near = components(forest.distinct(), f"{folder}/near")
+    near = components(links(prints, radius, most, searched), f"{folder}/near")
     candidates = prints.join(near, "v", "left").select("fp", F.coalesce("root", "v").alias("candidate"))
     members = cut(texts.join(candidates, "fp").withColumn("n", F.count("*").over(W.partitionBy("candidate"))).where("n > 1").drop("n", "same"), folder, "members")
     whole = cut(docs.select(F.col(key).alias("v"), F.col(text).alias("text")).join(members, "v").dropDuplicates(["v"]), folder, "whole")

@@ -84,6 +84,34 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_crowded_prefixes(spark, monkeypatch):
+    """Groups that are split again and again link the same fingerprints."""
+    monkeypatch.setattr(simhash, "CROWD", 20)
+    rng = random.Random(6)
+    base = rng.getrandbits(64)
+    near = {base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for _ in range(250)} | {rng.getrandbits(64) for _ in range(150)}
+    keys = sorted(near)
+    signed = [(k - (1 << 64) if k >> 63 else k) for k in keys]
+    df = spark.createDataFrame([(i, [k]) for i, k in enumerate(signed)], "v long, fp array<long>")
+    parent = np.arange(len(keys))
+    forest = simhash.links(df, 4).collect()
+    parent = simhash.unite(parent, np.array([r["u"] for r in forest]), np.array([r["w"] for r in forest]))
+    assert parent.tolist() == plain_components(keys, 4)
+
+
+def test_near_duplicates_edges(spark):
+    rows = [(None, "no key here at all"), (4, "no key here at all"), (6, "word " * 150_000), (6, "word " * 150_000), (8, "word " * 149_999 + "end")]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["component"]) for r in got) == [("4", 4), ("6", 6), ("6", 6), ("8", 6), ("None", 4)]
+
+
+def test_recall_of_near_duplicates(spark):
+    """Against exact similarity of all pairs that share a shingle, on whole tables."""
+    rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect())
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == plain_kept(rows)
+
+
 def test_keep_one(spark):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(900)]
