@@ -216,18 +216,14 @@ def links(vertices: DataFrame, radius: int = RADIUS, most: int | None = None, se
     n = vertices.count()
     size, tries = segments(radius), radius + 1
     depth = min(40, max(min(6, size[0]), int(np.ceil(np.log2(max(n, 1) / SUBTREE)))))
-    level = None
-    for w in range(searched):
-        for t in range(tries):
-            turn = sum(size[:t])
-            word = F.col("fp")[w]
-            key = F.shiftleft(word, turn).bitwiseOR(F.shiftrightunsigned(word, 64 - turn)) if turn else word
-            masks = F.array(*[F.lit(m).cast("long") for m in allowed(budgets(radius, t), 0, depth, 0)])
-            sent = vertices.select(key.alias("key"), "v", "fp", F.lit(w * tries + t).cast("int").alias("trie")).withColumn("mask", F.explode(masks))
-            own = F.shiftrightunsigned("key", 64 - depth)
-            sent = sent.withColumn("prefix", own.bitwiseXOR(F.col("mask"))).where(F.col("prefix") <= own)
-            sent = sent.select("trie", "prefix", F.bit_count("mask").cast("int").alias("err"), "key", "v", *["fp"] * (most is not None))
-            level = sent if level is None else level.unionByName(sent)
+    # One literal array deals each fingerprint to all tries: a code is the trie's number and a mask.
+    codes = [(w * tries + t) << 41 | m for w in range(searched) for t in range(tries) for m in allowed(budgets(radius, t), 0, depth, 0)]
+    sent = vertices.withColumn("code", F.explode(F.lit(codes).cast("array<long>"))).withColumn("trie", F.shiftright("code", 41).cast("int")).withColumn("mask", F.expr("code & ((1L << 41) - 1)"))
+    sent = sent.withColumn("word", F.get("fp", F.expr(f"trie div {tries}").cast("int"))).withColumn("turn", F.get(F.lit([sum(size[:t]) for t in range(tries)]), F.col("trie") % tries))
+    sent = sent.withColumn("key", F.expr("shiftleft(word, turn) | shiftrightunsigned(word, 64 - turn)"))  # a shift by 64 is none
+    own = F.shiftrightunsigned("key", 64 - depth)
+    sent = sent.withColumn("prefix", own.bitwiseXOR(F.col("mask"))).where(F.col("prefix") <= own)
+    level = sent.select("trie", "prefix", F.bit_count("mask").cast("int").alias("err"), "key", "v", *["fp"] * (most is not None))
     spark, dealt, folder = vertices.sparkSession, None, None
     while True:
         part = level.withColumn("depth", F.lit(depth).cast("int"))
