@@ -42,6 +42,7 @@ def safe_name(x: Column, most: int = 120) -> Column:
     return F.substring(F.regexp_replace(F.regexp_replace(plain, "_+", "_"), r"^[._]+|[._]+$", ""), 1, most)
 
 
+#: Prefixes of numbered titles, and headers of chapter files.
 _PREFIX = r"(?i)^\s*(?:chapter|ch\.|vol\.|volume|book|part)\s*\d+\s*[:\-]?\s*"
 
 
@@ -101,7 +102,7 @@ def volume_number_text(x: Column) -> Column:
 
 def volume_of_folder(x: Column, pattern: str = r"^(\d+)", missing: int | None = 0) -> Column:
     """The number in a folder's name by the project's pattern; side stories are volume 9."""
-    return F.when(F.lower(x).contains("side_stories"), 9).otherwise(F.coalesce(number(x, pattern), F.lit(missing).cast("int")))
+    return F.when(F.lower(x) == "side_stories", 9).otherwise(F.coalesce(number(x, pattern), F.lit(missing).cast("int")))
 
 
 def title_of_filename(name: Column, pattern: str = r"^Chapter_\d+") -> Column:
@@ -140,24 +141,36 @@ class Spoken:
 
 
 def pronounce(x: Column, rules: list[Spoken]) -> Column:
-    """The rules in order; whole words by ASCII letters and digits. Upper case stays upper, an initial capital stays one."""
+    """The rules in order; whole words by ASCII letters and digits. Upper case stays upper, an initial capital stays one, and a
+    possessive ends in a small s.
 
-    def quoted(s: str) -> str:
-        return "\\Q" + s.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    Each rule takes its matches out of the text in one pass, so none is matched twice by the same rule.
+    """
+
+    def in_case(spoken: str, word: Column) -> Column:
+        first = F.substring(word, 1, 1)
+        cased = lambda c: (F.upper(c) == c) & (F.lower(c) != c)
+        return F.when(cased(word), spoken.upper()).when(cased(first), spoken[:1].upper() + spoken[1:]).otherwise(spoken)
 
     def one(text: Column, rule: Spoken) -> Column:
-        tail = "((?i:'s))?" if rule.include_possessive else "()"
-        around = lambda w: rf"(?<![A-Za-z0-9]){w}{tail}(?![A-Za-z0-9])"
-        to = lambda s: s.replace("\\", "\\\\").replace("$", "\\$")
-        low = lambda t: F.regexp_replace(t, r"(?<=\x00)'[sS]", "'s")
-        put = lambda t, w, s: F.translate(low(F.regexp_replace(t, around(w), to(s) + "\x00$1")), "\x00", "")
-        w = rule.word
-        if not rule.case_insensitive:
-            return put(text, quoted(w), rule.spoken_as)
-        first = rule.spoken_as[:1].upper() + rule.spoken_as[1:]
-        out = put(text, quoted(w.upper()), rule.spoken_as.upper()) if len(w) > 1 else text
-        out = put(out, f"{quoted(w[:1].upper())}(?i:{quoted(w[1:])})", first) if w[:1].upper() != w[:1].lower() else out
-        return put(out, f"(?i:{quoted(w)})", rule.spoken_as)
+        word, spoken = rule.word.strip(), rule.spoken_as.strip()
+        if not word or not spoken:
+            return text
+        flags = "(?iu)" if rule.case_insensitive else ""
+        exact = "\\Q" + word.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+        pattern = rf"{flags}(?<![A-Za-z0-9]){exact}{"(?:'s)?" if rule.include_possessive else ''}(?![A-Za-z0-9])"
+
+        def said(m: Column) -> Column:
+            owned = F.lower(m) == (word + "'s").lower()
+            stem = F.when(owned, F.substr(m, F.lit(1), F.length(m) - 2)).otherwise(m)
+            return F.when(F.lower(m) == word.lower(), in_case(spoken, m)).when(owned, F.concat(in_case(spoken, stem), F.lit("'s"))).otherwise(m)
+
+        def replaced(t: Column) -> Column:
+            between, found = F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+            return F.array_join(F.zip_with(between, found, lambda b, m: F.concat(b, F.coalesce(said(m), F.lit("")))), "")
+
+        # The lambda's variable stands for the text, which several rules would otherwise multiply.
+        return F.get(F.transform(F.array(text), lambda t: F.when(t.rlike(pattern), replaced(t)).otherwise(t)), F.lit(0))
 
     return reduce(one, rules, x)
 
@@ -255,6 +268,11 @@ def resized(name: Column, width: int = 1920, height: int = 1080) -> Column:
     return F.regexp_replace(name, r"(\.[^.]+)$", f"_{width}x{height}$1")
 
 
+def media_command(program: str, arguments: list[str], values: dict[str, Column]) -> Column:
+    """An argument list (array of string) for an outside program, each argument a template of {name}s."""
+    return F.array(F.lit(program), *[template(a, values) for a in arguments])
+
+
 def swap_extension(name: Column, old: str, new: str) -> Column:
     return F.replace(name, F.lit(old), F.lit(new))
 
@@ -289,15 +307,23 @@ def is_noise_line(line: Column, markers: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [low.contains(m) for m in markers])
 
 
+#: The hyphens and dashes between two chapter numbers.
+DASHES = r"[\-\u2010\u2011\u2012\u2013\u2014\u2212]"
+
+
 def echoes_title(text: Column, chapter: Column, title: Column) -> Column:
-    """Whether a paragraph is blank or only repeats its chapter's number or title."""
+    """Whether a paragraph is blank or only repeats a chapter's number or title.
+
+    Under 280 characters these count: `Chapter N:` with anything after it, `Chapter N - M:` with anything after it, a whole
+    `Chapter N - M`, and the own number with the title. The own header or title counts at any length.
+    """
     plain, key, n = squeeze(text), compare_key(text), chapter.cast("string")
     short = F.length(plain) < 280
-    shapes = plain.rlike(r"(?i)^chapter\s+\d+\s*(?::|[-‐-―]\s*\d+\s*:?)")
-    numbered = F.lower(plain).startswith(F.concat(F.lit("chapter "), n))
-    equal = (key == compare_key(F.concat(F.lit("chapter "), n, F.lit(": "), title))) | (key == compare_key(title))
-    bare = (key == compare_key(F.concat(n, F.lit(" "), title))) | (key == compare_key(F.concat(n, F.lit(": "), title)))
-    return (plain == "") | (short & shapes & numbered) | equal | (short & bare)
+    numbered = plain.rlike(rf"(?i)^chapter\s+\d+\s*:") | plain.rlike(rf"(?i)^chapter\s+\d+\s*{DASHES}\s*\d+\s*(?::|$)")
+    same = lambda *parts: key == compare_key(F.concat(*parts))
+    whole = same(F.lit("chapter "), n, F.lit(": "), title) | same(title)
+    bare = same(n, F.lit(" "), title) | same(n, F.lit(": "), title)
+    return (plain == "") | (short & numbered) | F.coalesce(whole, F.lit(False)) | (short & F.coalesce(bare, F.lit(False)))
 
 
 def has_number(text: Column, n: Column) -> Column:

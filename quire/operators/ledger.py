@@ -48,6 +48,20 @@ def clear_dry_runs(ledger: DataFrame, dry: str = "dry_run") -> DataFrame:
     return ledger.where(~F.coalesce(F.col(dry), F.lit(False)))
 
 
+def cleared(ledger: DataFrame, which: Column | None = None) -> DataFrame:
+    """The ledger without the rows for which `which` holds (the failed ones, say); without it, reset to no rows."""
+    return ledger.limit(0) if which is None else ledger.where(~F.coalesce(which, F.lit(False)))
+
+
+def finished_videos(base: DataFrame, update: DataFrame, audio: DataFrame, key: str, fields: list[str], looked_up: list[str]) -> DataFrame:
+    """merge_fields, with the audio's `looked_up` fields for keys that only the update has."""
+    known = base.select(key).distinct().withColumn("_old", F.lit(True))
+    found = audio.select(key, *[F.col(c).alias(f"_a_{c}") for c in looked_up]).dropDuplicates([key])
+    got = merge_fields(base, update, key, fields).join(known, key, "left").join(found, key, "left")
+    fill = {c: F.when(F.col("_old").isNull(), F.coalesce(F.col(c), F.col(f"_a_{c}"))).otherwise(F.col(c)) for c in looked_up}
+    return got.withColumns(fill).select(base.columns)
+
+
 def latest(log: DataFrame, key: str, seq: str) -> DataFrame:
     """One row per key: the last record."""
     picked = log.groupBy(key).agg(F.max_by(F.struct(*[c for c in log.columns if c != key]), F.col(seq)).alias("_r"))

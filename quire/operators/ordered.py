@@ -1,7 +1,8 @@
 """Ordered operators: allocation, clocks, fills, islands, numbering and outlines as windows within a group.
 
 Each window is partitioned by its group. Where the order runs over groups (a clock, a fill), groups are reduced to one row
-each first and only those rows share a window.
+each first. Those rows are cut into chunks by bounds of their keys; windows run within a chunk, and only one row of each chunk
+shares a window.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ def allocate(rows: DataFrame, group: str, weight: Column, total: Column) -> Data
 
 def running_clock(rows: DataFrame, group: str, order: str, amount: Column, group_total: DataFrame) -> DataFrame:
     """rows with start and end on a clock that runs through the groups in order. group_total: group, total (a row each)."""
-    base = group_total.withColumn("_base", F.sum("total").over(W.orderBy(group)) - F.col("total")).select(group, "_base")
+    chunks = chunked(group_total, group)
+    before = chunks.groupBy("_c").agg(F.sum("total").alias("_t")).select("_c", (F.sum("_t").over(W.orderBy("_c")) - F.col("_t")).alias("_b"))
+    own = F.sum("total").over(W.partitionBy("_c").orderBy(group)) - F.col("total")
+    base = chunks.withColumn("_o", own).join(before, "_c").select(group, (F.col("_o") + F.col("_b")).alias("_base"))
     inside = W.partitionBy(group).orderBy(order)
     end = F.sum(amount).over(inside.rowsBetween(W.unboundedPreceding, 0))
     return rows.withColumn("_end", end).join(base, group).withColumn("end", F.col("_base") + F.col("_end")).withColumn("start", F.col("end") - amount).drop("_base", "_end")
@@ -32,7 +36,11 @@ def hold_previous(rows: DataFrame, group: str, order: str, value: str, missing:
     """
     inside = W.partitionBy(group).orderBy(order)
     last_of = rows.groupBy(group).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"))
-    carried = last_of.withColumn("_carried", F.last("_last", ignorenulls=True).over(W.orderBy(group).rowsBetween(W.unboundedPreceding, -1))).select(group, "_carried")
+    chunks = chunked(last_of, group)
+    within = F.last("_last", ignorenulls=True).over(W.partitionBy("_c").orderBy(group).rowsBetween(W.unboundedPreceding, -1))
+    ends = chunks.groupBy("_c").agg(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col(group))).alias("_e"))
+    before = ends.select("_c", F.last("_e", ignorenulls=True).over(W.orderBy("_c").rowsBetween(W.unboundedPreceding, -1)).alias("_b"))
+    carried = chunks.withColumn("_w", within).join(before, "_c").select(group, F.coalesce("_w", "_b").alias("_carried"))
     own = F.last(value, ignorenulls=True).over(inside.rowsBetween(W.unboundedPreceding, 0))
     return rows.withColumn("_own", own).join(carried, group).withColumn("filled", F.coalesce("_own", "_carried", missing)).drop("_own", "_carried")
 
@@ -46,10 +54,12 @@ def carry_first(rows: DataFrame, carried: DataFrame, group: str, order: str, nam
     return got.withColumn(names, F.array_union(names, add)).drop("_first", "carried")
 
 
-def drop_consecutive(rows: DataFrame, group: str, order: str, value: str) -> DataFrame:
+def drop_consecutive(rows: DataFrame, group: str, order: str, value: str, only: Column | None = None) -> DataFrame:
+    """Rows whose value isn't that of the row before; with `only`, rows for which it doesn't hold stay."""
     before = F.lag(value).over(W.partitionBy(group).orderBy(order))
     first = F.lag(F.lit(1)).over(W.partitionBy(group).orderBy(order)).isNull()
-    return rows.withColumn("_keep", first | ~before.eqNullSafe(F.col(value))).where("_keep").drop("_keep")
+    keep = first | ~before.eqNullSafe(F.col(value))
+    return rows.withColumn("_keep", keep if only is None else keep | ~only).where("_keep").drop("_keep")
 
 
 def trim_leading(rows: DataFrame, group: str, order: str, echo: Column) -> DataFrame:
@@ -58,10 +68,26 @@ def trim_leading(rows: DataFrame, group: str, order: str, echo: Column) -> DataF
     return rows.withColumn("_seen", seen).where("_seen = 1").drop("_seen")
 
 
+def chunked(rows: DataFrame, order: str, size: int = 100_000) -> DataFrame:
+    """rows with `_c`, the number of their chunk in order of the key: about `size` rows each, in up to 256 chunks.
+
+    The bounds are approximate quantiles of the key (of strings, of their first seven bytes), so sparse and dense keys give
+    chunks alike. Only the bounds reach the driver. Equal keys share a chunk.
+    """
+    kind = rows.schema[order].dataType.typeName()
+    rank = F.conv(F.hex(F.rpad(F.substring(F.encode(F.col(order), "UTF-8"), 1, 7), 7, F.lit(b"\0"))), 16, 10).cast("double") if kind == "string" else F.col(order).cast("double")
+    n = rows.count()
+    k = min(256, n // size + 1)
+    if k == 1:
+        return rows.withColumn("_c", F.lit(0))
+    bounds = rows.agg(F.percentile_approx(rank, [i / k for i in range(1, k)], 10_000)).first()[0]
+    return rows.withColumn("_c", F.size(F.filter(F.lit(sorted({float(b) for b in bounds})), lambda b: b < rank)))
+
+
 def numbered(rows: DataFrame, order: str, chunk: int = 100_000) -> DataFrame:
-    """rows with `n` = 0, 1, ... in order of an integer column, without one task for all rows: chunks of the key's values are
-    counted, and ranks within a chunk start at the sum of the chunks before."""
-    keyed = rows.withColumn("_c", F.floor(F.col(order) / chunk))
+    """rows with `n` = 0, 1, ... in order of a column, without one task for all rows: chunks are counted, and ranks within a
+    chunk start at the sum of the chunks before."""
+    keyed = chunked(rows, order, chunk)
     counts = keyed.groupBy("_c").agg(F.count("*").alias("_n"))
     base = counts.withColumn("_base", F.sum("_n").over(W.orderBy("_c")) - F.col("_n")).select("_c", "_base")
     rank = F.row_number().over(W.partitionBy("_c").orderBy(order)) - 1
@@ -99,10 +125,17 @@ def volumes_of(outline: DataFrame, doc: str) -> DataFrame:
 
 
 def outline_ends(outline: DataFrame, doc: str, last: int = 999_999) -> DataFrame:
-    """Outline rows with end_page: the page before the next item of no deeper level (0 if that has no page), else `last`."""
-    w = W.partitionBy(doc).orderBy("seq").rowsBetween(1, W.unboundedFollowing)
-    following = F.collect_list(F.struct("level", "page")).over(w)
-    hit = F.try_element_at(F.filter(following, lambda x: x["level"] <= F.col("level")), F.lit(1))
+    """Outline rows with end_page: the page before the next item of no deeper level (0 if that has no page), else `last`.
+
+    For each level that occurs, a running window from the end of the document holds the last item seen of that level or above; all
+    share one sort, so the work is rows times levels.
+    """
+    deepest = outline.agg(F.max("level")).first()[0]
+    w = W.partitionBy(doc).orderBy(F.desc("seq")).rowsBetween(W.unboundedPreceding, -1)
+    hit = F.lit(None).cast("struct<page:int>")
+    for n in range((deepest if deepest is not None else -1) + 1):
+        after = F.last(F.when(F.col("level") <= n, F.struct(F.col("page").cast("int").alias("page"))), ignorenulls=True).over(w)
+        hit = F.when(F.col("level") == n, after).otherwise(hit)
     return outline.withColumn("_hit", hit).withColumn("end_page", F.when(F.col("_hit").isNull(), last).otherwise(F.coalesce(F.col("_hit.page") - 1, F.lit(0)))).drop("_hit")
 
 

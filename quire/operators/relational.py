@@ -64,21 +64,45 @@ def union_distinct(*sets: DataFrame) -> DataFrame:
 # Range lookups
 
 
+#: Ranges up to this number are looked up in place, as one literal; more are joined by dyadic blocks.
+FEW = 1000
+
+
 def range_lookup(rows: DataFrame, number: str, ranges: DataFrame, values: list[str], otherwise: str = "last") -> DataFrame:
     """rows with the values of the first range (pos, lo, hi, values) in order of pos that holds `number`.
 
-    otherwise: what a number without a range gets, the values of the `last` range or `null`. Ranges are a small dimension; their
-    rows, in order, become an array literal's worth of state that is broadcast once, and each row is looked up in place, so
-    no row is multiplied.
+    otherwise: what a number without a range gets, the values of the `last` range or `null`. Up to FEW ranges become one row
+    that is broadcast, and each row is looked up in place. More ranges are cut into dyadic blocks, at most two of each size, and
+    the distinct numbers are joined to the blocks that hold them by equality, so nothing is compared pair by pair.
     """
     names = ["pos", "lo", "hi", *values]
-    table = ranges.agg(F.sort_array(F.collect_list(F.struct(*names))).alias("_ranges"))
-    hit = F.try_element_at(F.filter("_ranges", lambda r: F.col(number).between(r["lo"], r["hi"])), F.lit(1))
-    found = F.coalesce(hit, F.try_element_at("_ranges", F.lit(-1))) if otherwise == "last" else hit
-    got = rows.join(F.broadcast(table), F.lit(True), "left").withColumn("_hit", found)
+    few = ranges.limit(FEW + 1).count() <= FEW
+    final = ranges.agg(F.max_by(F.struct(*values), "pos").alias("_final"))
+    if few:
+        table = ranges.agg(F.sort_array(F.collect_list(F.struct(*names))).alias("_ranges"))
+        hit = F.try_element_at(F.filter("_ranges", lambda r: F.col(number).between(r["lo"], r["hi"])), F.lit(1))
+        found = F.coalesce(hit, F.try_element_at("_ranges", F.lit(-1))) if otherwise == "last" else hit
+        got = rows.join(F.broadcast(table), F.lit(True), "left").withColumn("_hit", found)
+    else:
+        numbers = rows.select(F.col(number).cast("long").alias("_n")).where("_n is not null").distinct()
+        blocks = dyadic(ranges.where("lo <= hi"))
+        at = numbers.withColumn("_level", F.explode(F.expr("sequence(0, 62)"))).withColumn("_block", F.expr("shiftright(_n, _level)"))
+        first = at.join(blocks, ["_level", "_block"]).groupBy("_n").agg(F.min_by(F.struct(*values), "pos").alias("_hit"))
+        got = rows.withColumn("_n", F.col(number).cast("long")).join(first, "_n", "left")
+        if otherwise == "last":
+            got = got.join(F.broadcast(final), F.lit(True), "left").withColumn("_hit", F.coalesce("_hit", "_final"))
     return got.select(*[F.col(c) for c in rows.columns], *[F.col("_hit")[v].alias(v) for v in values])
 
 
+def dyadic(ranges: DataFrame) -> DataFrame:
+    """ranges with a row for each of their largest blocks: _level and _block, the numbers from _block << _level on, 1 << _level
+    of them. Of each level a range has two at most, its leftmost and its rightmost."""
+    level = ranges.withColumns({"_lo": F.col("lo").cast("long"), "_hi": F.col("hi").cast("long")}).withColumn("_level", F.explode(F.expr("sequence(0, CAST(floor(log2(_hi - _lo + 1)) AS INT))")))
+    ends = level.withColumn("_block", F.explode(F.expr("array_distinct(array(shiftright(_lo + shiftleft(1L, _level) - 1, _level), shiftright(_hi + 1, _level) - 1))")))
+    inside = lambda b, n: f"(shiftleft({b}, {n}) >= _lo AND shiftleft({b} + 1, {n}) - 1 <= _hi)"
+    return ends.where(f"{inside('_block', '_level')} AND NOT {inside('shiftright(_block, 1)', '(_level + 1)')}").drop("_lo", "_hi")
+
+
 def case_ranges(number: Column, limits: list[tuple[int, object]], otherwise: object) -> Column:
     """The value of the first limit that the number doesn't exceed; a null number gets the first value."""
     out = F.when(number.isNull(), F.lit(limits[0][1]))
@@ -161,12 +185,19 @@ def progress(rows: DataFrame, made: DataFrame, on: list[str], by: list[str], fla
 
 
 def participation(rows: DataFrame, name: str, chapter: str, order: str, setting: str) -> DataFrame:
-    """Per name: scenes, sorted chapters, settings in order of first sight."""
-    return rows.groupBy(name).agg(
-        F.count("*").alias("scenes"),
-        F.sort_array(F.collect_set(chapter)).alias("chapters"),
-        F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order), F.col(setting)))), lambda x: x[setting])).alias("settings"),
-    )
+    """Per name: scenes, sorted chapters, settings in order of first sight.
+
+    Rows are reduced to one of each name, chapter and setting before any list is made.
+    """
+    pre = rows.groupBy(name, chapter, setting).agg(F.count("*").alias("_n"), F.min(order).alias("_o"))
+    seen = pre.groupBy(name, setting).agg(F.min("_o").alias("_o"))
+    shown = seen.groupBy(name).agg(F.transform(F.sort_array(F.collect_list(F.struct("_o", setting))), lambda x: x[setting]).alias("settings"))
+    return pre.groupBy(name).agg(F.sum("_n").alias("scenes"), F.sort_array(F.collect_set(chapter)).alias("chapters")).join(shown, name)
+
+
+def aliased(rows: DataFrame, name: str, aliases: DataFrame, excluded: list[str]) -> DataFrame:
+    """rows under their canonical names (aliases: alias, canonical), without the excluded ones."""
+    return lookup(rows, name, aliases, "alias", "canonical").where(~F.col(name).isin(*excluded, "\0"))
 
 
 def first_k(rows: DataFrame, by: list[str], order: list[str], k: int) -> DataFrame:
@@ -179,8 +210,11 @@ def duplicates(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def status_histogram(rows: DataFrame, status: str, name: str) -> DataFrame:
-    return rows.groupBy(status).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(name)).alias("names"))
+def status_histogram(rows: DataFrame, status: str, name: str, most: int = 3) -> DataFrame:
+    """Per status: how many rows, and the first `most` names in order."""
+    top = first_k(rows.select(status, name).distinct(), [status], [name], most)
+    shown = top.groupBy(status).agg(F.sort_array(F.collect_list(name)).alias("names"))
+    return rows.groupBy(status).agg(F.count("*").alias("n")).join(shown, status, "left")
 
 
 def batch_totals(batches: DataFrame, ok: str, failed: str, seconds: str) -> DataFrame:
@@ -214,6 +248,11 @@ def registry_coverage(names: DataFrame, images: DataFrame, override: DataFrame)
     return use.join(images.select(F.col("name").alias("_n"), "image").dropDuplicates(["_n"]), "_n", "left").select("name", "image", F.col("image").isNotNull().alias("has_image"))
 
 
+def unused_images(images: DataFrame, covered: DataFrame, personas: list[str]) -> DataFrame:
+    """The images (name, image) that no name uses and that aren't a persona's."""
+    return images.join(covered.where("image is not null").select("image").distinct(), "image", "left_anti").where(~F.col("name").isin(*personas, "\0"))
+
+
 def first_source(rows: DataFrame, files: DataFrame, on: list[str], path: str) -> DataFrame:
     """rows with the first file (by path) that has the same keys, null where there is none."""
     return rows.join(files.groupBy(*on).agg(F.min(path).alias(path)), on, "left")

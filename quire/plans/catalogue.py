@@ -178,7 +178,10 @@ select p_partkey,
        trim(regexp_replace(regexp_replace(x, '(?i)^chapter\s+\d+\s*[:\-]?\s*', ''), '^(?:\s*\d+\s*[:"]\s*)+', '')) as chapter_title,
        regexp_replace(z, '(?i)^\s*(?:chapter|ch\.|vol\.|volume|book|part)\s*\d+\s*[:\-]?\s*', '') as pdf_title,
        trim(regexp_replace(z, '(?i)^(?:volume|book)\s+\d+\s*[:\-]?\s*', '')) as volume_name,
-       p_size as from_header, p_size as from_number, cast(p_size as varchar) as chapter_text, cast(p_size as varchar) as volume_text from t
+       coalesce(try_cast(nullif(regexp_extract(x, '^\s*(\d+)\s*:', 1), '') as int), try_cast(nullif(regexp_extract(x, '(?i)^\s*chapter\s+(\d+)\b', 1), '') as int)) as from_header,
+       coalesce(try_cast(nullif(regexp_extract(y, '^\s*(\d+)\s*:', 1), '') as int), try_cast(nullif(regexp_extract(y, '(?i)^\s*chapter\s+(\d+)\b', 1), '') as int)) as from_number,
+       coalesce(nullif(regexp_extract(x, '(?i)chapter\s+(\d+)', 1), ''), nullif(regexp_extract(x, '^\s*(\d+)', 1), ''), '1') as chapter_text,
+       coalesce(nullif(regexp_extract(z, '(?i)volume\s+(\d+)', 1), ''), case when contains(lower(z), 'side') and contains(lower(z), 'stories') then 'Side Stories' end, nullif(regexp_extract(z, '^\s*(\d+)', 1), ''), '1') as volume_text from t
 """)
 def clean_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, name = F.col("p_size").cast("string"), F.col("p_name")
@@ -205,16 +208,15 @@ def chapter_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-with w as (select doc_id, n, line, string_split(line, ' ') as ws from LINES),
-     c as (select doc_id, n, array_to_string(list_transform(ws, lambda t: case
-       when regexp_full_match(t, '[^A-Za-z0-9]*the[^A-Za-z0-9]*') then replace(t, 'the', 'thee')
-       when regexp_full_match(t, '[^A-Za-z0-9]*The[^A-Za-z0-9]*') then replace(t, 'The', 'Thee')
-       when regexp_full_match(t, '[^A-Za-z0-9]*THE[^A-Za-z0-9]*') then replace(t, 'THE', 'THEE') else t end), ' ') as out from w)
-select doc_id, n, md5(out) as spoken from c where regexp_full_match(out, '[A-Za-z .,]*')
+with t as (select doc_id, n, regexp_extract_all(line, '[A-Za-z0-9]+|[^A-Za-z0-9]+') as ts from LINES),
+     c as (select doc_id, n, array_to_string(list_transform(ts, lambda t, i: case
+       when t in ('the', 'tHe', 'thE', 'tHE') then 'thee the' when t in ('The', 'THe', 'ThE') then 'Thee the' when t = 'THE' then 'THEE THE'
+       when t = 'S' and i > 2 and ts[i - 1] = chr(39) and lower(ts[i - 2]) = 'the' then 's' else t end), '') as out from t)
+select doc_id, n, md5(out) as spoken from c
 """.replace("LINES", _LINES))
 def pronounce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = lines_of(spark, sf_dir).select("doc_id", F.col("n").cast("long").alias("n"), T.pronounce(F.col("line"), [T.Spoken("the", "thee")]).alias("out"))
-    return got.where(F.col("out").rlike(r"\A[A-Za-z .,]*\z")).select("doc_id", "n", F.md5("out").alias("spoken"))
+    got = lines_of(spark, sf_dir).select("doc_id", F.col("n").cast("long").alias("n"), T.pronounce(F.col("line"), [T.Spoken("the", "thee the")]).alias("out"))
+    return got.select("doc_id", "n", F.md5("out").alias("spoken"))
 
 
 @query("select doc_id, md5(substr(text, 1, 500)) as head, length(substr(text, 1, 500)) as n from documents")
@@ -265,12 +267,14 @@ def header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-with t as (select doc_id, 'Series' || chr(10) || 'Chapter ' || doc_id || ': T ' || lang || chr(10) || text as text, doc_id as want from documents)
-select doc_id, cast(doc_id as int) as header_number, 'T ' || lang as header_title from documents
+with t as (select doc_id, 'Series' || chr(10) || case when doc_id % 3 = 0 then 'Chapter 0: Before' || chr(10) else '' end || '  Chapter ' || (doc_id + case when doc_id % 5 = 0 then 1 else 0 end) || ' : T ' || lang || ' ' || chr(10) || text as text from documents),
+     h as (select doc_id, list_filter(string_split(text, chr(10))[1:10], lambda x: regexp_matches(x, '^\s*Chapter\s+(\d+)\s*:\s*(.+?)\s*$') and try_cast(regexp_extract(x, 'Chapter\s+(\d+)', 1) as int) = doc_id)[1] as hit from t)
+select doc_id, try_cast(nullif(regexp_extract(hit, 'Chapter\s+(\d+)', 1), '') as int) as header_number, nullif(regexp_extract(hit, '^\s*Chapter\s+\d+\s*:\s*(.+?)\s*$', 1), '') as header_title from h
 """)
 def header_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    text = F.concat(F.lit("Series\nChapter "), F.col("doc_id").cast("string"), F.lit(": T "), F.col("lang"), F.lit("\n"), F.col("text"))
+    n = (F.col("doc_id") + F.when(F.col("doc_id") % 5 == 0, 1).otherwise(0)).cast("string")
+    text = F.concat(F.lit("Series\n"), F.when(F.col("doc_id") % 3 == 0, "Chapter 0: Before\n").otherwise(""), F.lit("  Chapter "), n, F.lit(" : T "), F.col("lang"), F.lit(" \n"), F.col("text"))
     return O.header_scan(docs.select("doc_id", text.alias("text")), "text", r"^\s*Chapter\s+(\d+)\s*:\s*(.+?)\s*$", F.col("doc_id")).select("doc_id", "header_number", "header_title")
 
 
@@ -310,7 +314,8 @@ def paragraph_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-with b as (select page_id, regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '', 'g') as x from pages),
+with w as (select page_id, coalesce(nullif(regexp_extract(html, '(?is)<body[^>]*>(.*)</body>', 1), ''), html) as html from pages),
+     b as (select page_id, regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', ' ', 'g') as x from w),
      p as (select page_id, regexp_extract_all(x, '(?is)<p[^>]*>(.*?)</p>', 1) as ps from b),
      t as (select page_id, list_filter(list_transform(ps, lambda q: trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(q, '<[^>]+>', ' ', 'g'),
           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[ \t\r\n\f]+', ' ', 'g'))), lambda q: q <> '') as ps from p)
@@ -322,7 +327,7 @@ def html_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = H.block_rows(table(spark, sf_dir, "pages"), "page_id", H.body_blocks(F.col("html")))
+    rows = H.block_rows(table(spark, sf_dir, "pages"), "page_id", H.body_blocks(F.col("html"))["blocks"])
     kept = O.drop_consecutive(rows.where(~T.is_noise_line(F.col("text"), ["all rights reserved"])), "page_id", "seq", "text")
     return kept.select("page_id", "seq", "text")
 
@@ -343,7 +348,8 @@ def timeline_alloc(spark: SparkSession, sf_dir: str) -> DataFrame:
     clock = O.running_clock(rows.join(totals, "conv_id"), "conv_id", "turn", F.col("w"), totals.select("conv_id", F.lit(0).cast("long").alias("total")))
     base = O.numbered(totals.select("conv_id"), "conv_id").select("conv_id", (F.col("n") * 600.0).alias("base"))
     s = lambda x: F.round(F.col("base") + x * 600.0 / F.col("t"), 4)
-    return clock.join(base, "conv_id").select("conv_id", "turn", F.round(F.col("w") * 600.0 / F.col("t"), 4).alias("share"), s(F.col("start")).alias("start_s"), s(F.col("end")).alias("end_s"))
+    clock = O.allocate(clock, "conv_id", F.col("w"), F.lit(600.0))
+    return clock.join(base, "conv_id").select("conv_id", "turn", F.round("share", 4).alias("share"), s(F.col("start")).alias("start_s"), s(F.col("end")).alias("end_s"))
 
 
 @query("""
@@ -372,13 +378,14 @@ select event_type, count(*) as scenes, min(user_id) as first_user, max(user_id)
        array_to_string(list_sort(list(distinct user_id))[1:3], ', ') as some from events group by event_type
 """)
 def participation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pre = table(spark, sf_dir, "events").groupBy("event_type", "user_id").agg(F.count("*").alias("n"))
-    got = pre.groupBy("event_type").agg(F.sum("n").alias("scenes"), F.sort_array(F.collect_list("user_id")).alias("users_"))
-    return got.select("event_type", "scenes", F.array_min("users_").alias("first_user"), F.array_max("users_").alias("last_user"), F.size("users_").cast("long").alias("users"), F.array_join(F.transform(F.slice("users_", 1, 3), lambda x: x.cast("string")), ", ").alias("some"))
+    events = table(spark, sf_dir, "events").select("event_type", "user_id")
+    counts = events.groupBy("event_type").agg(F.count("*").alias("scenes"), F.min("user_id").alias("first_user"), F.max("user_id").alias("last_user"), F.countDistinct("user_id").alias("users"))
+    some = R.first_k(events.distinct(), ["event_type"], ["user_id"], 3).groupBy("event_type").agg(F.array_join(F.transform(F.sort_array(F.collect_list("user_id")), lambda x: x.cast("string")), ", ").alias("some"))
+    return counts.join(some, "event_type")
 
 
 @query("""
-with r as (select role, conv_id, turn, substr(text, 1, 5) as setting from conversations where conv_id < 1000000),
+with r as (select role, conv_id, turn, substr(text, 1, 5) as setting from conversations),
      f as (select role, conv_id, setting, min(turn) as t from r group by all)
 select conv_id, role, count(*) as scenes, array_to_string(list_sort(list(distinct turn)), ',') as chapters,
        (select string_agg(setting, '|' order by t, setting) from f where f.role = r.role and f.conv_id = r.conv_id) as settings
@@ -474,20 +481,21 @@ def rate_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 select coalesce(a.doc_id, b.doc_id) as doc_id, case when a.doc_id is not null and b.doc_id is not null then 'verified' when b.doc_id is null then 'missing_on_remote' else 'missing_in_ledger' end as status
-from (select doc_id from documents where doc_id % 7 <> 0) a full outer join (select doc_id from labels) b on a.doc_id = b.doc_id
+from (select doc_id + 3 as doc_id from documents) a full outer join (select doc_id from labels) b on a.doc_id = b.doc_id
 """)
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A ledger that lacks every seventh document (the case under test, not a way to read less) against the labels."""
-    return R.reconcile(table(spark, sf_dir, "documents").where("doc_id % 7 <> 0").select("doc_id"), table(spark, sf_dir, "labels"), "doc_id")
+    return R.reconcile(table(spark, sf_dir, "documents").select((F.col("doc_id") + 3).alias("doc_id")), table(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("""
 select s.range as source, a.doc_id is not null as has_source, b.doc_id is not null as has_target,
        case when a.doc_id is null then 'source missing' when b.doc_id is null then 'target missing' end as skip_reason
-from range(0, 400) s left join labels a on a.doc_id = s.range left join labels b on b.doc_id = s.range + 1
+from (select unnest(range(min(doc_id), max(doc_id) + 1)) as range from labels) s left join labels a on a.doc_id = s.range left join labels b on b.doc_id = s.range + 1
 """)
 def link_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = R.link_plan(table(spark, sf_dir, "labels"), "doc_id", "quality", 0, 399)
+    labels = table(spark, sf_dir, "labels")
+    lo, hi = labels.agg(F.min("doc_id"), F.max("doc_id")).first()
+    got = R.link_plan(labels, "doc_id", "quality", lo or 0, -1 if hi is None else hi)
     return got.select("source", F.col("source_value").isNotNull().alias("has_source"), F.col("target_value").isNotNull().alias("has_target"), "skip_reason")
 
 
@@ -511,11 +519,11 @@ def outline_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with o as OUTLINE select doc, seq, greatest(page, 10) as clip_start, least(page + level * 3, 40) as clip_end,
-  case when (case when page < 10 or page > 40 then 10 else page end) > least(page + level * 3, 40) then 'failed' when page < 10 or page > 40 then 'moved' else 'ok' end as status from o where page <= 40
+with o as OUTLINE select doc, seq, case when page < 10 or page > 40 then 10 else page end as clip_start, least(page + level * 3, 40) as clip_end,
+  case when (case when page < 10 or page > 40 then 10 else page end) > least(page + level * 3, 40) then 'failed' when page < 10 or page > 40 then 'moved' else 'ok' end as status from o
 """.replace("OUTLINE", _OUTLINE))
 def outline_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = outline_of(spark, sf_dir).where("page <= 40").withColumns({"start": F.col("page"), "end": F.col("page") + F.col("level") * 3, "volume_start": F.lit(10), "volume_end": F.lit(40)})
+    rows = outline_of(spark, sf_dir).withColumns({"start": F.col("page"), "end": F.col("page") + F.col("level") * 3, "volume_start": F.lit(10), "volume_end": F.lit(40)})
     return O.clip_slices(rows).select("doc", "seq", "clip_start", "clip_end", "status")
 
 
@@ -589,11 +597,15 @@ def resolve_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.resolve_in_order(rows, "k", [a, b], "label").select("c_custkey", "label", "to_create")
 
 
-@query("""
-select c_custkey, title, noise, chapter, volume from (select c_custkey, 'Chapter ' || c_nationkey || ': ' || c_name as title, c_nationkey = 3 as noise, true as chapter, c_nationkey = 5 as volume from customer)
+@query(r"""
+with t as (select c_custkey, c_nationkey as k, case when c_nationkey % 4 = 0 then c_mktsegment else 'Chapter ' || c_nationkey || ': ' || c_name end as title from customer)
+select c_custkey, title, regexp_replace(lower(trim(case when k = 3 then '  Title   Page' else title end)), '\s+', ' ', 'g') in ('information', 'cover', 'copyright', 'metadata', 'title page') as noise,
+       regexp_matches(title, '(?i)\bchapter\b|\d') as chapter, regexp_matches(case when k = 5 then 'Volume 2 ' || title when k = 6 then 'The Book of ' || title else title end, '(?i)^\s*volume\s+\d+')
+       or (k % 2 = 0 and regexp_matches(case when k = 6 then 'The Book of ' || title else title end, '(?i)\b(?:volume|book)\b')) as volume from t
 """)
 def toc_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    title = F.concat(F.lit("Chapter "), F.col("c_nationkey").cast("string"), F.lit(": "), F.col("c_name"))
-    front = F.when(F.col("c_nationkey") == 3, "  Title   Page").otherwise(title)
-    head = F.when(F.col("c_nationkey") == 5, F.concat(F.lit("Volume 2 "), title)).otherwise(title)
-    return table(spark, sf_dir, "customer").select("c_custkey", title.alias("title"), T.is_toc_noise(front).alias("noise"), T.looks_like_chapter(title).alias("chapter"), T.is_volume_title(head, F.lit(1)).alias("volume"))
+    k = F.col("c_nationkey")
+    title = F.when(k % 4 == 0, F.col("c_mktsegment")).otherwise(F.concat(F.lit("Chapter "), k.cast("string"), F.lit(": "), F.col("c_name")))
+    front = F.when(k == 3, "  Title   Page").otherwise(title)
+    head = F.when(k == 5, F.concat(F.lit("Volume 2 "), title)).when(k == 6, F.concat(F.lit("The Book of "), title)).otherwise(title)
+    return table(spark, sf_dir, "customer").select("c_custkey", title.alias("title"), T.is_toc_noise(front).alias("noise"), T.looks_like_chapter(title).alias("chapter"), T.is_volume_title(head, k % 2).alias("volume"))

@@ -26,6 +26,38 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.select("path", F.element_at(F.split("path", "/"), -2).alias("folder"), name.alias("filename"), F.col("length").alias("size"))
 
 
+def projects(files: DataFrame) -> DataFrame:
+    """The folders of a listing that hold a project.json, in order."""
+    return files.where("filename = 'project.json'").select("folder").distinct().orderBy("folder")
+
+
+def flatten_outline(rows: DataFrame) -> DataFrame:
+    """path, seq, title, page, level from rows (path, outline: JSON text): a nested list is one level deeper than the item before
+    it. Items that aren't objects with a title are skipped; malformed JSON gives no rows."""
+    import json
+
+    def walk(items, level):
+        for x in items if isinstance(items, list) else []:
+            if isinstance(x, list):
+                yield from walk(x, level + 1)
+            elif isinstance(x, dict) and x.get("title") is not None:
+                yield str(x["title"]), x.get("page") if isinstance(x.get("page"), int) else None, level
+
+    def read(text):
+        try:
+            return list(walk(json.loads(text or "[]"), 0))
+        except ValueError:
+            return []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = pa.schema([("path", pa.string()), ("seq", pa.int64()), ("title", pa.string()), ("page", pa.int32()), ("level", pa.int32())])
+        for batch in batches:
+            found = [{"path": p, "seq": i, "title": t, "page": g, "level": n} for p, o in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, (t, g, n) in enumerate(read(o))]
+            yield pa.RecordBatch.from_pylist(found, schema=kinds)
+
+    return rows.select("path", "outline").mapInArrow(run, "path string, seq long, title string, page int, level int")
+
+
 def texts(spark: SparkSession, path: str) -> DataFrame:
     """path, folder, filename, size and content of text files, a row each."""
     files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(path, wholetext=True)
@@ -42,7 +74,7 @@ def catalogue(files: DataFrame, chapter_pattern: str = r"(?i)Chapter_(\d+)", vol
     folder = F.col("folder")
     volume = T.volume_of_folder(folder, volume_pattern)
     number = T.number(F.col("filename"), chapter_pattern)
-    kept = files.where((F.regexp_like(folder, F.lit(volume_pattern)) | F.lower(folder).contains("side_stories")) & F.col("filename").endswith(".txt") & readable(F.col("size"), F.col("content")))
+    kept = files.where((F.regexp_like(folder, F.lit(f"^(?:{volume_pattern})")) | (F.lower(folder) == "side_stories")) & F.col("filename").endswith(".txt") & readable(F.col("size"), F.col("content")))
     return kept.select("filename", F.col("path").alias("file_path"), volume.alias("volume_number"), folder.alias("volume_name"), number.alias("chapter_number"), T.title_of_filename(F.col("filename")).alias("chapter_title"), F.col("size").alias("file_size"), F.lit(True).alias("is_readable")).where("chapter_number is not null").orderBy("volume_number", "chapter_number", "filename")
 
 
@@ -181,10 +213,10 @@ def chapter_content(series: Column, chapter: Column, title: Column, body: Column
 def write_chapters(rows: DataFrame, path: str) -> None:
     """One text file set per volume folder: rows have volume_number, volume_name, chapter_number and content.
 
-    Spark writes part files; rows of a volume are sorted by chapter within them.
+    Spark writes part files in order of chapters; a large volume is spread over several tasks. write_named gives a file each.
     """
     folder = F.format_string("Volume_%s_%s", "volume_number", T.safe_name(F.col("volume_name")))
-    rows.select(folder.alias("volume_dir"), "chapter_number", F.col("content").alias("value")).repartition("volume_dir").sortWithinPartitions("volume_dir", "chapter_number").select("volume_dir", "value").write.mode("overwrite").partitionBy("volume_dir").text(path)
+    rows.select(folder.alias("volume_dir"), "chapter_number", F.col("content").alias("value")).repartitionByRange("volume_dir", "chapter_number").sortWithinPartitions("volume_dir", "chapter_number").select("volume_dir", "value").write.mode("overwrite").partitionBy("volume_dir").text(path)
 
 
 def write_queue(rows: DataFrame, made: DataFrame, path: str) -> None:
@@ -194,10 +226,38 @@ def write_queue(rows: DataFrame, made: DataFrame, path: str) -> None:
 
 
 def write_report(records: DataFrame, summary: DataFrame, path: str) -> None:
-    """A JSON report: a summary row, then the records, a document each line."""
-    lines = summary.select(F.lit(0).alias("o"), F.to_json(F.struct(F.struct("*").alias("summary"))).alias("value"))
-    lines = lines.unionByName(records.select(F.lit(1).alias("o"), F.to_json(F.struct("*")).alias("value")))
-    lines.sort("o").select("value").write.mode("overwrite").text(path)
+    """A JSON report: the summary row in `summary`, the records in `records`, a document each line."""
+    summary.write.mode("overwrite").json(f"{path}/summary")
+    records.write.mode("overwrite").json(f"{path}/records")
+
+
+def write_named(rows: DataFrame, path: str) -> int:
+    """Text files with the names in rows (path `folder/name`, content), unique; returns how many.
+
+    Spark writes each as a part file of its own, ended by a line feed; the driver then only renames, through the file system of
+    the path.
+    """
+    spark = rows.sparkSession
+    parts = rows.select(F.substring_index("path", "/", 1).alias("_folder"), F.substring_index("path", "/", -1).alias("_file"), F.col("content").alias("value"))
+    parts.write.mode("overwrite").partitionBy("_folder", "_file").text(f"{path}/_parts")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    fs, done = at.getFileSystem(spark._jsc.hadoopConfiguration()), 0
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for f in fs.globStatus(hadoop.Path(f"{path}/_parts/*/*/part-*")):
+        folder, name = (unescape(p.getName().partition("=")[2]) for p in (f.getPath().getParent().getParent(), f.getPath().getParent()))
+        fs.mkdirs(hadoop.Path(at, folder))
+        target = hadoop.Path(hadoop.Path(at, folder), name)
+        fs.delete(target, False)
+        done += bool(fs.rename(f.getPath(), target))
+    fs.delete(hadoop.Path(f"{path}/_parts"), True)
+    return done
+
+
+def write_ledgers(ledgers: dict[str, DataFrame], path: str) -> None:
+    """Each ledger (progress, completed, failed, ...) as JSON in a folder of its name, replacing what was there."""
+    for name, rows in ledgers.items():
+        rows.write.mode("overwrite").json(f"{path}/{name}")
 
 
 def markdown_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
