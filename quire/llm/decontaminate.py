@@ -10,9 +10,10 @@ A window without any shingle of an item has similarity 0 with it, so windows are
 item of that length; nothing that could pass is left out. Items are a stated query set. They are taken in blocks of at most
 ITEMS bytes, and only such a block is broadcast.
 
-Defined cases: words are compared in lower case; an item with fewer than five words is one shingle; null and empty texts
-and items match nothing; equal items are all reported; an item or text that repeats is reported for each row; rows with a
-null key are searched like others. Extra columns don't matter.
+Defined cases: words are compared in lower case; an item with fewer than five words is one shingle; a text shorter than an
+item is one window, with its own number of shingles; null and empty texts and items match nothing; equal items are all
+reported; an item or text that repeats is reported for each row; rows with a null key are searched, and cleaned, like others.
+Extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quire.llm._common import Table, Words, chunked, grams
 
@@ -89,8 +91,9 @@ class Benchmark:
             names = np.array(sorted(found), dtype=np.uint64)
             self.known[n] = Table((names >> np.uint64(1)).astype(np.int64), np.arange(len(names))), names, [sorted(found[x]) for x in names.tolist()]
 
-    def windows(self, words: Words, shingled: dict[int, np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
-        """For each length, the starts of the windows that have a shingle of an item of that length."""
+    def windows(self, words: Words, shingled: dict[int, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each length, the starts of the windows that have a shingle of an item of that length, and the shorter texts that
+        have one and enough others to be similar."""
         spots = defaultdict(list)
         for n, (table, names, lengths) in self.known.items():
             g = shingled[n]
@@ -112,17 +115,26 @@ class Benchmark:
             np.add.at(step, lo[on], 1)
             np.add.at(step, hi[on] + 1, -1)
             starts = np.flatnonzero(np.cumsum(step) > 0)
-            if len(starts):
-                yield length, starts
+            count = words.count[words.doc[p]]
+            whole = np.unique(words.doc[p][(count < length) & (count - n + 1 >= SIMILARITY * (length - n + 1))])
+            if len(starts) or len(whole):
+                yield length, starts, whole
 
     def search(self, texts: list[bytes]) -> list[tuple[int, object, int, int, float]]:
         """(text, item id, first word, words, similarity) of the best window for each text and item that pass."""
         words = Words(texts)
         shingled = {n: grams(words.name, n) for n in self.known}
-        best: dict[tuple[int, int, int], tuple[float, int]] = {}
-        for length, starts in self.windows(words, shingled):
+        best: dict[tuple[int, int, int], tuple[float, int, int]] = {}
+        for length, starts, whole in self.windows(words, shingled):
             kind = self.lengths[length]
             g, size = shingled[kind["n"]], length - kind["n"] + 1
+            for d in whole.tolist():
+                count = int(words.count[d])
+                mine = g[words.first[d] : words.first[d] + count - kind["n"] + 1]
+                for i in kind["index"].near(simhash(bits_of(mine).sum(axis=0, dtype=np.int64)[None], len(mine)))[1].tolist():
+                    shared = sum((Counter(mine.tolist()) & kind["counts"][i]).values())
+                    if shared / (len(mine) + size - shared) >= SIMILARITY:
+                        best[d, length, i] = shared / (len(mine) + size - shared), 0, count
             for lo in range(0, len(starts), SPAN):
                 part = starts[lo : lo + SPAN]
                 for a, b in chunked([int(x) for x in np.diff(part, prepend=part[0])], SPAN):
@@ -137,8 +149,8 @@ class Benchmark:
                         value = shared / (2 * size - shared)
                         key = (int(words.doc[s]), length, i)
                         if value >= SIMILARITY and (key not in best or value > best[key][0]):
-                            best[key] = value, s - int(words.first[words.doc[s]])
-        return [(d, self.lengths[n]["ids"][i], s, n, v) for (d, n, i), (v, s) in sorted(best.items())]
+                            best[key] = value, s - int(words.first[words.doc[s]]), length
+        return [(d, self.lengths[n]["ids"][i], s, m, v) for (d, n, i), (v, s, m) in sorted(best.items())]
 
 
 def blocks_of_items(items: DataFrame, text: str, key: str) -> Iterator[Benchmark]:
@@ -154,7 +166,7 @@ def blocks_of_items(items: DataFrame, text: str, key: str) -> Iterator[Benchmark
 
 def matches(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id") -> DataFrame:
     """One row for each text and item that pass: key, item_key, first_word, n_words and similarity of the best window."""
-    spark = docs.sparkSession
+    spark, found_ids = docs.sparkSession, to_arrow_type(items.schema[item_key].dataType)
     kind, item_kind = docs.schema[key].dataType, items.schema[item_key].dataType
     schema = f"`{key}` {kind.simpleString()}, `{item_key}` {item_kind.simpleString()}, first_word long, n_words long, similarity double"
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
@@ -170,16 +182,29 @@ def matches(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "d
                     found = bench.search(texts[lo:hi])
                     if found:
                         d, i, s, n, v = zip(*found, strict=True)
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([lo + x for x in d])), pa.array(i, pa.from_numpy_dtype(np.int64) if isinstance(i[0], int) and item_kind.typeName() == "long" else None), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(v, pa.float64())], names=names)
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([lo + x for x in d])), pa.array(i, found_ids), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(v, pa.float64())], names=names)
 
         part = rows.mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out
 
 
-def clean(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of docs that match no item."""
-    return docs.join(matches(docs, items, text, key).select(key).distinct(), key, "left_anti").select(docs.columns)
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_key: str = "item_id") -> DataFrame:
+    """The rows of docs that match no item. Each row is judged by itself, without a join, so keys don't matter."""
+    place = docs.columns.index(text)
+    for block in blocks_of_items(items, item_text, item_key):
+        cast = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], cast=cast) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = [(t or "").lower().encode() for t in batch.column(place).to_pylist()]
+                keep = np.ones(len(texts), dtype=bool)
+                for lo, hi in chunked([len(t) + 1 for t in texts], BLOCK):
+                    keep[[lo + x[0] for x in cast.value.search(texts[lo:hi])]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,11 @@ text says which class it resembles. A logistic curve fitted on labelled rows tha
 calibrated score.
 
 Learning uses a sample: up to SAMPLE labelled rows of each class in expectation, chosen by a hash of the key, and of their
-blocks up to BLOCKS for a dictionary. Scoring reads whole texts.
+blocks up to BLOCKS in expectation for a dictionary. The driver gets those blocks (BLOCKS * BLOCK bytes a class) and a number
+for each row that fits the curve, never texts. Scoring reads whole texts.
 
-Defined cases: null and empty texts have x = 0; equal labels repeat harmlessly; with one class only every score is that
-class's label, with none it is 0.5. A column that has the output's name is replaced.
+Defined cases: null and empty texts have x = 0; labels that repeat count each; with one class only every score is that class's
+label, with none it is 0.5. A column that has the output's name is replaced.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.llm._common import cut, scratch
+
 #: Labelled rows learned from, per class, and blocks that train a dictionary.
 SAMPLE, BLOCKS = 3000, 8000
 #: Bytes of a block and of a dictionary, and the compression level.
@@ -64,13 +67,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.difference(texts) + self.offset, -60, 60)))
 
 
-def dictionary(texts: list[bytes]) -> bytes:
-    """A dictionary of a class; raw content where there are too few samples for training."""
+def dictionary(pieces: list[bytes]) -> bytes:
+    """A dictionary from blocks of a class; raw content where there are too few for training."""
     import zstandard as z
 
-    pieces = [b for t in texts for b in blocks(t)]
-    step = max(1, len(pieces) // BLOCKS)
-    pieces = [p for p in pieces[::step] if len(p) >= 8]
+    pieces = [p for p in pieces if len(p) >= 8]
     try:
         return z.train_dictionary(DICTIONARY, pieces).as_bytes()
     except z.ZstdError:
@@ -104,22 +105,46 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     draw = F.pmod(h, F.lit(1 << 20)) / F.lit(float(1 << 20))
     chosen = known.where(draw < share).select("k", "y", F.pmod(F.shiftright(h, 24), F.lit(2)).alias("half"))
     # The sample has 2 * SAMPLE rows in expectation, whatever the size of the labels, so sending it everywhere is bounded.
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull()).join(F.broadcast(chosen), "k").select("t", "y", "half").toArrow()
-    t = [x.encode() for x in rows.column("t").to_pylist()]
-    y, half = rows.column("y").to_numpy(), rows.column("half").to_numpy()
-    if len(set(y.tolist())) < 2:
-        return Model(None, None, 0.0, 60.0 if len(y) and y[0] == 1 else -60.0 if len(y) else 0.0)
-    made = {c: dictionary([t[i] for i in np.flatnonzero((y == c) & (half == 0))] or [t[i] for i in np.flatnonzero(y == c)]) for c in (0, 1)}
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull()).join(F.broadcast(chosen), "k")
+    rows = cut(rows.select("k", "t", "y", "half"), scratch(docs.sparkSession), "sample")
+    parts = F.ceil(F.octet_length("t") / BLOCK)
+    held = {(r["y"], r["half"]): (r["n"], r["blocks"]) for r in rows.groupBy("y", "half").agg(F.count("*").alias("n"), F.sum(parts).alias("blocks")).collect()}
+    classes = {y for y, _ in held}
+    if len(classes) < 2:
+        return Model(None, None, 0.0, 60.0 if classes == {1} else -60.0 if classes else 0.0)
+    # One half makes the dictionaries and the other fits the curve; a class that lacks a half gives all its rows to both.
+    halves = {c: [0] if (c, 0) in held else [0, 1] for c in classes}
+    part = F.lit(False)
+    for c in classes:
+        total = sum(held.get((c, h), (0, 0))[1] for h in halves[c])
+        at = F.pmod(F.xxhash64(F.col("k").cast("string"), "i"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        part = part | ((F.col("y") == c) & F.col("half").isin(*halves[c]) & (at < min(1.0, BLOCKS / max(1, total))))
+    pieces = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)).cast("int") - 1))).where(part)
+    got = pieces.select("y", F.substring(F.encode("t", "UTF-8"), F.col("i") * BLOCK + 1, F.lit(BLOCK)).alias("b"), "k", "i").orderBy("y", "k", "i").toArrow()
+    made = {c: dictionary([b for y, b in zip(got.column("y").to_pylist(), got.column("b").to_pylist(), strict=True) if y == c]) for c in (0, 1)}
     model = Model(made[1], made[0], 0.0, 0.0)
-    rest = np.flatnonzero(half == 1) if len({*y[half == 1].tolist()}) == 2 else np.arange(len(y))
-    x = model.difference([t[i] for i in rest])
+    both = all((c, 1) in held for c in classes)
+    fit = (rows.where("half = 1") if both else rows).select("y", difference_column(docs.sparkSession, model, "t").alias("x")).toArrow()
+    x, y = fit.column("x").to_numpy(), fit.column("y").to_numpy()
     # The classes' shares among all labels weigh the sampled rows, so that the score is a probability among labelled rows.
-    weight = np.where(y[rest] == 1, sizes[1] / max(1, (y == 1).sum()), sizes[0] / max(1, (y == 0).sum()))
-    model.slope, offset = logistic(x, y[rest])
-    model.offset = offset + float(np.log(weight[y[rest] == 1][0] / weight[y[rest] == 0][0]))
+    sampled = {c: sum(n for (k, _), (n, _) in held.items() if k == c) for c in classes}
+    model.slope, offset = logistic(x, y)
+    model.offset = offset + float(np.log((sizes[1] / sampled[1]) / (sizes[0] / sampled[0])))
     return model
 
 
+def difference_column(spark: SparkSession, model: Model, text: str | Column) -> Column:
+    cast = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf(T.DoubleType())
+    def run(column: pa.Array) -> pa.Array:
+        import pyarrow.compute as pc
+
+        return pa.array(cast.value.difference([x or b"" for x in pc.cast(column, pa.binary()).to_pylist()]), type=pa.float64())
+
+    return run(text)
+
+
 def score_column(spark: SparkSession, model: Model, text: str | Column) -> Column:
     cast = spark.sparkContext.broadcast(model)
 

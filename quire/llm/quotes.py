@@ -30,6 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.llm._common import cut, drop_path, scratch
+from quire.llm.fingerprints import successors
 
 _QUOTED = re.compile(r"[ \t]*((?:>[ \t]?)+)(.*)", re.DOTALL)
 _KINDS = "own string, own_hashes array<long>, quotes array<struct<level:int,text:string,hash:long,lines:array<long>>>"
@@ -116,9 +117,12 @@ def partial(passages: DataFrame, known: DataFrame) -> DataFrame:
     found = rare.join(held, "hash").where("src_conv <> conv or (src_conv = conv and src_turn < turn)").select("q", "conv", "src_conv", "src_turn").distinct()
     counted = found.join(asked.select("q", "hash"), "q").join(held, ["src_conv", "src_turn", "hash"]).groupBy("q", "conv", "src_conv", "src_turn").agg(F.count("*").alias("n"))
     single = sources(asked.select("q", "conv", "turn", "hash"), known).where("src_turn is not null").select("q", "conv", "src_conv", "src_turn", F.lit(1).cast("long").alias("n"))
-    own = F.col("src_conv") == F.col("conv")
-    order = F.struct("n", own, F.when(own, F.col("src_turn")).otherwise(-F.col("src_conv")), -F.col("src_turn"))
-    return counted.unionByName(single).groupBy("q").agg(F.max_by(F.struct("src_conv", "src_turn", "n"), order).alias("b"))
+    # Only comparisons, no arithmetic: conversations and turns may have any type that has an order.
+    own, one = F.col("src_conv") == F.col("conv"), F.struct("src_conv", "src_turn", "n")
+    inner = F.max_by(F.when(own, one), F.when(own, F.struct("n", "src_turn")))
+    outer = F.min_by(F.when(~own, one), F.when(~own, F.struct(-F.col("n"), "src_conv", "src_turn")))
+    best = counted.unionByName(single).groupBy("q").agg(inner.alias("_in"), outer.alias("_out"))
+    return best.select("q", F.when(F.col("_in.n") >= F.coalesce("_out.n", F.lit(0)), F.col("_in")).otherwise(F.col("_out")).alias("b"))
 
 
 def links(messages: DataFrame, known: DataFrame) -> DataFrame:
@@ -159,7 +163,9 @@ def reply_order(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     inside = F.col("src_conv") == F.col("conv")
     of_row = found.groupBy("row").agg(F.count("*").alias("n_linked"), F.min(place).alias("first"), F.min(F.when(inside, place)).alias("inner"))
     turns = rows.where("conv is not null and turn is not null").select("conv", "turn").distinct()
-    before = turns.withColumn("before", F.lag("turn").over(W.partitionBy("conv").orderBy("turn")))
+    # The turn before, by ranges of all turns, so that no task needs a whole conversation.
+    order = successors(turns.withColumn("id", F.struct("conv", "turn")), ["conv", "turn"], "id")
+    before = order.where("next_id.conv = conv AND next_id.turn > turn").select(F.col("next_id.conv").alias("conv"), F.col("next_id.turn").alias("turn"), F.col("turn").alias("before"))
     whole = rows.join(of_row, "row", "left").join(before, ["conv", "turn"], "left").withColumn("up", F.coalesce("inner.src_turn", "before"))
     whole = cut(whole, folder, "whole")
     # A turn that several rows have is one node; its first parent stands for them.

@@ -11,8 +11,8 @@ by interval; a token that crosses a section boundary is allocated by a rule:
 Sections are arrays of (name, start, stop) in code points, disjoint and in order of start; gaps may lie between them.
 Lines are the default; `fields` lays the columns of a row end to end.
 
-Defined cases: a null or empty text has no tokens, its empty sections count 0; a null array of sections gives no rows; a
-token of which several make up one character (as for rare scripts) covers that character; rows that repeat are counted each.
+Defined cases: a null or empty text has no tokens, its sections count 0; without given sections an empty text has one empty
+line and a null text no row; a null array of sections gives no rows; a token of which several make up one character (as for rare scripts) covers that character; rows that repeat are counted each.
 Extra columns don't matter except for the ids asked for.
 """
 

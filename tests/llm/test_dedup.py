@@ -86,17 +86,17 @@ def test_near_duplicates(spark):
 
 def test_crowded_prefixes(spark, monkeypatch):
     """Groups that are split again and again link the same fingerprints."""
-    monkeypatch.setattr(simhash, "CROWD", 20)
+    monkeypatch.setattr(simhash, "CROWD", 60)
     rng = random.Random(6)
     base = rng.getrandbits(64)
-    near = {base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for _ in range(250)} | {rng.getrandbits(64) for _ in range(150)}
+    near = {base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for _ in range(80)} | {rng.getrandbits(64) for _ in range(10)}
     keys = sorted(near)
     signed = [(k - (1 << 64) if k >> 63 else k) for k in keys]
     df = spark.createDataFrame([(i, [k]) for i, k in enumerate(signed)], "v long, fp array<long>")
     parent = np.arange(len(keys))
-    forest = simhash.links(df, 4).collect()
+    forest = simhash.links(df, 2).collect()
     parent = simhash.unite(parent, np.array([r["u"] for r in forest]), np.array([r["w"] for r in forest]))
-    assert parent.tolist() == plain_components(keys, 4)
+    assert parent.tolist() == plain_components(keys, 2)
 
 
 def test_near_duplicates_edges(spark):
@@ -257,7 +257,8 @@ def plain_matches(docs, items):
             v = (u or "").lower().split()
             n = min(5, len(v))
             b = grams(v, n)
-            best = max((sum((a & b).values()) / sum((a | b).values()) for s in range(len(w) - len(v) + 1) if v for a in [grams(w[s : s + len(v)], n)]), default=0)
+            spans = [w[s : s + len(v)] for s in range(len(w) - len(v) + 1)] if len(w) >= len(v) else [w] if len(w) >= n else []
+            best = max((sum((a & b).values()) / sum((a | b).values()) for x in spans if v for a in [grams(x, n)]), default=0)
             if best >= 0.8:
                 out[k, i] = round(best, 9)
     return out
@@ -289,6 +290,19 @@ def test_decontaminate(spark):
     assert decontaminate.matches(df.limit(0), bench).count() == 0
 
 
+def test_decontaminate_edges(spark):
+    """Whole-number and string ids of other types, null and repeated keys, texts shorter than an item, long texts, extra columns."""
+    item = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(item)), (None, "clean text"), (1, " ".join(item[:57])), (1, "clean too"), (2, " ".join(item[:40])), (3, "x " * 120_000 + " ".join(item)), (4, None)]
+    df = spark.createDataFrame([(k, t, "c") for k, t in rows], "doc_id int, text string, item_id string")
+    bench = spark.createDataFrame([(7, " ".join(item), "c")], "item_id int, text string, similarity string")
+    got = decontaminate.matches(df, bench).collect()
+    assert sorted((str(r["doc_id"]), r["item_id"], r["first_word"], r["n_words"]) for r in got) == [("1", 7, 0, 57), ("3", 7, 120_000, 60), ("None", 7, 0, 60)]
+    assert sorted((r["doc_id"] or 0, (r["text"] or "")[:5]) for r in decontaminate.clean(df, bench).collect()) == [(0, "clean"), (1, "clean"), (2, "w0 w1"), (4, "")]
+    named = decontaminate.matches(df, bench.select(F.lit("a").alias("item_id"), "text"))
+    assert {r["item_id"] for r in named.collect()} == {"a"}
+
+
 def test_items_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEMS", 100)
     items = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(15)]

@@ -80,6 +80,35 @@ def test_quality_held_out(spark):
     assert (got.predicted == got.quality).mean() > 0.93
 
 
+def test_quality_scores_by_plain_compression(spark):
+    """The query's scores from the model's dictionaries and curve, block by block; and calibration on held-out labels."""
+    import zstandard as z
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.learn(docs, labels.where(~quality.held_out()))
+    size = lambda block, raw: len(z.ZstdCompressor(level=quality.LEVEL, dict_data=z.ZstdCompressionDict(raw), write_content_size=False, write_checksum=False, write_dict_id=False).compress(block))
+    got = {r["doc_id"]: r for r in quality.op10_quality(spark, sf).collect()}
+    for r in docs.select("doc_id", "text").orderBy("doc_id").collect():
+        data = (r["text"] or "").encode()
+        if len(data) > 3000 and r["doc_id"] % 20:
+            continue  # the plain version makes two compressors for each block
+        cut = [data[i : i + 1024] for i in range(0, len(data), 1024)]
+        x = sum(size(b, model.bad) - size(b, model.good) for b in cut) / len(data) if data else 0
+        want = 1 / (1 + math.exp(-max(-60, min(60, model.slope * x + model.offset))))
+        assert got[r["doc_id"]]["score"] == pytest.approx(want, abs=1e-9)
+        assert got[r["doc_id"]]["predicted"] == int(got[r["doc_id"]]["score"] >= 0.3)
+
+
+def test_quality_calibration(spark):
+    sf = "/root/testdata/sf0.1"
+    got = quality.op10_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").toPandas()
+    assert abs(got.score.mean() - got.quality.mean()) < 0.05
+    for lo, hi in ((0, 0.2), (0.8, 1.01)):
+        part = got[(got.score >= lo) & (got.score < hi)]
+        assert len(part) > 10 and abs(part.score.mean() - part.quality.mean()) < 0.1
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "abc " * 200_000)], "doc_id long, text string")
     one = quality.learn(docs, spark.createDataFrame([(3, 1), (3, 1), (2, None), (1, 7)], "doc_id long, quality int"))
@@ -263,6 +292,64 @@ def test_quotations(spark):
     assert quotes.reply_order(df.limit(0)).count() == 0
 
 
+def plain_links(rows):
+    """For each row the source of each passage: whole hashes first, then the message with most lines, at least half."""
+    parsed = [(c, t, *quotes.parse(x)) for c, t, x in rows]
+    known = defaultdict(set)
+    for c, t, _, names, _ in parsed:
+        if c is not None and t is not None:
+            for n in names:
+                known[n].add((c, t))
+    out = []
+    for c, t, _, _, passages in parsed:
+        found = []
+        for q in passages:
+            def source(name):
+                inner = [m for m in known[name] if m[0] == c and t is not None and m[1] < t]
+                outer = [m for m in known[name] if m[0] != c]
+                return max(inner) if inner else min(outer) if outer and c is not None else None
+
+            best = source(q["hash"])
+            lines = set(q["lines"])
+            if best is None and c is not None:
+                votes = Counter()
+                for m in {m for n in lines for m in known[n]}:
+                    if m[0] != c or m[1] < t:
+                        votes[m] = sum(m in known[n] for n in lines)
+                inner = [(n, m) for m, n in votes.items() if m[0] == c]
+                outer = sorted((-n, m) for m, n in votes.items() if m[0] != c)
+                a, b = (max(inner) if inner else None), ((-outer[0][0], outer[0][1]) if outer else None)
+                n, m = a if a and (not b or a[0] >= b[0]) else b if b else (0, None)
+                best = m if 2 * n >= len(lines) and n else None
+            if best is not None:
+                found.append((q["level"], best))
+        out.append((c, t, len(passages), len(found)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_quotations_by_brute_force(spark, kind):
+    import random
+
+    rng = random.Random(2)
+    lines = [f"line number {i} says this" for i in range(25)]
+    rows, said = [], []
+    for c in range(12):
+        for t in range(rng.randint(1, 6)):
+            own = rng.sample(lines, rng.randint(1, 4))
+            text = "\n".join(own)
+            if said and rng.random() < 0.8:
+                body = rng.choice(said)
+                body = body[: rng.randint(1, len(body))] + ([rng.choice(lines)] if rng.random() < 0.3 else [])
+                text = "\n".join(f"> {x}" for x in body) + "\n" + text
+            said.append(own)
+            rows.append((c if kind == "long" else f"c{c:02d}", t, text))
+    rows += [(None, 1, "> " + lines[0]), (rows[0][0], None, "> " + lines[1]), (rows[0][0], 99, None), (rows[0][0], 98, "> x\n" * 20_000)]
+    df = spark.createDataFrame([(*r[:2], "u", r[2], "clash") for r in rows], f"conv_id {kind}, turn long, role string, text string, depth string")
+    got = quotes.reply_order(df).collect()
+    assert Counter((r["conv_id"], r["turn"], r["n_quotes"], r["n_linked"]) for r in got if r["conv_id"] is not None and r["turn"] is not None) == Counter({k: n for k, n in plain_links(rows).items() if k[0] is not None and k[1] is not None})
+
+
 def test_quotations_of_other_conversations(spark):
     rows = [
         (5, 0, "u", "> A passage of nine.\nwhat is this"),
@@ -281,23 +368,63 @@ def test_quotations_of_other_conversations(spark):
     assert [got[c, 0] for c in (5, 6, 7, 8)] == [(9, 4), (4, 0), (1, 0), (None, None)]
 
 
+def plain_clean(docs, items):
+    """Keys of the texts in which no window is like an item; windows are compared where a text has a shingle of the item."""
+    from test_dedup import plain_matches
+
+    grams = lambda t: {tuple(w[i : i + 5]) for w in [(t or "").lower().split()] for i in range(len(w) - 4)}
+    of_items = [(i, u, grams(u)) for i, u in items]
+    hit = set()
+    for k, t in docs:
+        mine = grams(t)
+        near = [(i, u) for i, u, g in of_items if g & mine or len(u.split()) < 5]
+        if near and plain_matches([(k, t)], near):
+            hit.add(k)
+    return {k for k, _ in docs} - hit
+
+
 def test_pipeline(spark):
+    """Each stage against a brute-force version on the rows that reach it."""
+    from test_dedup import plain_kept, plain_removal
+    from tokenizers import Tokenizer
+
     import corpus_pipeline as c
+    from quire.llm.bpe import default_vocabulary
 
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs, steps = spark.read.parquet(f"{SF}/documents.parquet"), {}
     before = docs
-    for name, stage in c.STAGES[:-1]:
+    for name, stage in c.STAGES:
         after = stage(spark, before, SF)
-        assert after.columns == docs.columns, name
-        before = spark.createDataFrame(after.collect(), docs.schema)
-    out = c.run(spark, SF)
-    assert out.count() == before.count()
-    assert out.where("NOT round_trip").count() == 0
-    got = {r["doc_id"]: r["text"] for r in out.select("doc_id", "text").collect()}
-    first = {}
-    for r in sorted(docs.collect(), key=lambda r: r["doc_id"]):
-        first.setdefault(r["text"], r["doc_id"])
-    assert set(got) <= set(first.values())  # of exact copies only the first can stay
-    assert not spark.createDataFrame([], docs.schema).count()
-    empty = c.drop_repeated_passages(spark, docs.limit(0), SF)
-    assert empty.count() == 0 and c.drop_near_duplicates(spark, docs.limit(0), SF).count() == 0
+        assert after.columns == docs.columns or name == "bpe", name
+        rows = after.collect()
+        steps[name] = [(r["doc_id"], r["text"]) for r in rows]
+        if name != "bpe":
+            before = spark.createDataFrame(rows, docs.schema)
+    keys = {name: {k for k, _ in rows} for name, rows in steps.items()}
+    first = sorted(steps["language_id"])
+    trees = language_id.learn(docs)
+    every = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    bits, raw = trees.measure([(t or "").encode() for _, t in every])
+    assert keys["language_id"] == {k for (k, t), b, n in zip(every, bits, raw, strict=True) if any(x.isalpha() for x in t or "") and b.min() < 8 * n}
+    assert keys["simhash_near_dedup"] == plain_kept(first)
+    cut = plain_removal(steps["simhash_near_dedup"])
+    got = {k: (t or "").encode().split() for k, t in steps["substring_dedup"]}
+    assert {k: hashlib.sha256(b" ".join(w)).hexdigest() for k, w in got.items()} == {k: d for k, (n, gone, d) in cut.items() if gone == 0 or gone < n}
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert keys["benchmark_decontamination"] == plain_clean(steps["substring_dedup"], items)
+    out, plain = c.run(spark, SF).collect(), Tokenizer.from_file(default_vocabulary())
+    assert {r["doc_id"]: (r["token_ids"], r["round_trip"]) for r in out} == {k: (plain.encode(t or "", add_special_tokens=False).ids, True) for k, t in steps["benchmark_decontamination"]}
+
+
+def test_pipeline_edges(spark):
+    """Each stage on null keys and texts, empty, long and repeated rows and a clashing column, and on an empty table."""
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("n_removed", F.lit("clash"))
+    text = docs.where("length(text) > 500").orderBy("doc_id").first()["text"]
+    rows = [(None, None, "en", "s", 0, "c"), (None, text, "en", "s", 1, "c"), (10**6, "", "en", "s", 0, "c"), (10**6 + 1, text * 60, "en", "s", 1, "c"), (10**6 + 2, "Once more. " + text, "en", "s", 1, "c"), (10**6 + 2, "Once more. " + text, "en", "s", 1, "c")]
+    extra = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    for name, stage in c.STAGES:
+        got = stage(spark, extra, SF)
+        assert got.columns[: len(docs.columns)] == docs.columns and 0 < got.count() <= extra.count(), name
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
