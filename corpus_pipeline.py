@@ -1,10 +1,12 @@
 """A corpus pipeline over `documents`: five stages, each written as Parquet and read again by the next.
 
 Every stage but the last returns the columns of documents. ORACLE_SQL is None: language models, fingerprints and BPE aren't
-expressible in SQL; tests compare each stage with a brute-force version.
+expressible in SQL. Tests compare the stages of near-duplicates, passages, decontamination and BPE with brute-force versions
+on the rows that reach them, and the language stage with its rule by a plain model.
 
-All stages: null and empty texts, repeated rows, empty tables and extra columns don't stop a stage; the operators' docstrings
-give the results. Keys (doc_id) are expected to be unique.
+All stages: null keys and texts, empty and very long texts, repeated rows, empty tables and extra columns don't stop a stage; the
+operators' docstrings give the results. Rows that repeat a key are judged each by itself, but for near-duplicates by key: of
+those with a key that goes, all go.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark item, or nearly."""
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
 
 
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
