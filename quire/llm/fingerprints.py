@@ -187,13 +187,14 @@ def compare_edits(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     rows = docs.select(F.col(key).alias("k"), body.alias("text"), F.xxhash64(body).alias("h")).withColumn("id", F.concat_ws(":", "h", F.col("k").cast("string")))
     nodes = cut(rows.groupBy("k", "h", "id").agg(F.min(F.length("text")).alias("n"), F.count("*").alias("copies")), scratch(docs.sparkSession), "nodes")
     repeated = nodes.where("copies > 1").limit(1).count() > 0
-    once = rows.select("k", "id", "text")
-    once = once.dropDuplicates(["k", "id"]) if repeated else once
+    once = rows.select("id", "text")
+    once = once.dropDuplicates(["id"]) if repeated else once
     once = with_keys(once, "text", "text")
     order = successors(nodes, ["k", "h"], "id")
-    # The next text's first characters and keys go to the text before it; both joins share one shuffle of the texts.
-    wanted = order.select(F.col("next_id").alias("id"), F.col("id").alias("of"), "n", "copies")
-    sent = once.hint("merge").join(wanted, "id").select(F.col("of").alias("id"), "n", "copies", F.expr("substring(text, 1, n div 4)").alias("start"), F.col("text_keys").alias("next_keys"))
+    # The next text's first characters and keys go to the text before it. Both joins take the same columns of the texts, so that
+    # they share one shuffle of them.
+    wanted = order.select(F.col("next_id").alias("id"), F.col("id").alias("of"), "k", "n", "copies")
+    sent = once.hint("merge").join(wanted, "id").select(F.col("of").alias("id"), "k", "n", "copies", F.expr("substring(text, 1, n div 4)").alias("start"), F.col("text_keys").alias("next_keys"))
     both = once.hint("merge").join(sent, "id").withColumn("edited", F.expr("concat(substring(text, 1, n - n div 4), start)"))
     both = with_keys(both, "edited", "edited").withColumn("edited_sha256", F.sha2("edited", 256)).drop("text", "start", "edited")
     for name in ("text", "edited", "next"):
