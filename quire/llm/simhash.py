@@ -29,7 +29,6 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -364,11 +363,16 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     prints = cut(texts.groupBy("fp").agg(F.min("v").alias("v")), folder, "prints")
     near = components(links(prints, radius, most, searched), f"{folder}/near")
     candidates = prints.join(near, "v", "left").select("fp", F.coalesce("root", "v").alias("candidate"))
-    members = cut(texts.join(candidates, "fp").withColumn("n", F.count("*").over(W.partitionBy("candidate"))).where("n > 1").drop("n", "same"), folder, "members")
-    whole = cut(docs.select(F.col(key).alias("v"), F.col(text).alias("text")).join(members, "v").dropDuplicates(["v"]), folder, "whole")
+    dealt = cut(texts.join(candidates, "fp").drop("same"), folder, "dealt")
+    several = dealt.groupBy("candidate").agg(F.count("*").alias("n")).where("n > 1").select("candidate")
+    members = cut(dealt.join(several, "candidate"), folder, "members")
+    # Only texts that are compared are sent: their keys alone are tried first, which Spark broadcasts while their table is small.
+    compared = cut(members.select("v"), folder, "compared")
+    sent = docs.select(F.col(key).alias("v"), F.col(text).alias("text")).join(compared, "v", "left_semi")
+    whole = cut(sent.join(members, "v").dropDuplicates(["v"]), folder, "whole")
     found = components(verified(whole, shingle, most), f"{folder}/found")
     first = texts.join(found, "v", "left").select("fp", "same", F.coalesce("root", "v").alias("component"))
-    gone = rows.join(first, ["fp", "same"]).where("k <> component").select(F.col("k").alias(key))
+    gone = cut(rows.join(first, ["fp", "same"]).where("k <> component").select(F.col("k").alias(key)).distinct(), folder, "gone")
     return docs.join(gone, key, "left_anti")
 
 
