@@ -36,7 +36,7 @@ from quire.llm._common import Words, cut, drop_path, grams, mix, scratch, utf8
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints below one prefix, roughly; node pairs in a chunk; member pairs at which a node pair is compared directly.
-SUBTREE, CHUNK, LEAF = 8192, 1 << 18, 32
+SUBTREE, CHUNK, LEAF = 32768, 1 << 18, 32
 #: Members of a group above which it goes deeper, by so many levels.
 CROWD, STEP = 1 << 17, 4
 #: The share of distinct shingles that near-duplicates have in common (of those that either has), and bytes of text in a block.
