@@ -50,10 +50,11 @@ BLOCK, FLUSH, BUCKET = 1 << 20, 1 << 20, 64 << 20
 _PACKED = "bucket int, name binary, extra binary, doc binary, at binary, span binary"
 
 
-def recompress(names: np.ndarray, doc: np.ndarray, rounds: int, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def recompress(names: np.ndarray, doc: np.ndarray, rounds: int, most: int | None = None, sure: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """After each step (runs, pairs, runs, ...): the symbols (lanes x symbols) and the first and last + 1 word of each.
 
-    most: symbols of so many words or more stay as they are.
+    most: symbols of so many words or more stay as they are. Steps end early where nothing can join any more, but not in the
+    first `sure` rounds: how many steps these have must not depend on the other texts of a block.
     """
     n = names.shape[1]
     sym, start, end = names, np.arange(n), np.arange(1, n + 1)
@@ -72,7 +73,7 @@ def recompress(names: np.ndarray, doc: np.ndarray, rounds: int, most: int | None
         free = np.ones(len(start), dtype=bool) if most is None else end - start < most
         may = np.zeros(len(start), dtype=bool)
         may[:-1] = free[:-1] & free[1:] & (doc[start[1:]] == doc[start[:-1]])
-        if most is not None and not may.any():
+        if most is not None and r >= sure and not may.any():
             return
         right = (mix(sym[0] ^ np.uint64((2 * r + 1) << 40)) & np.uint64(1)).astype(bool)
         joins = may
@@ -92,7 +93,7 @@ def symbols(words: Words, rounds: int, least: int) -> tuple[list, tuple]:
     """The steps of the first `rounds` rounds, and of the symbols that first have `least` words the names (lanes x tiles), first
     words and numbers of words."""
     steps, last = [], None
-    for last in recompress(words.names, words.doc, TOP, least):
+    for last in recompress(words.names, words.doc, TOP, least, rounds):
         if len(steps) < 2 * rounds:
             steps.append(last)
     sym, start, end = last
@@ -229,15 +230,15 @@ class Gather:
             yield from self.send(columns, self.buckets, True)
 
 
-def blocks_of(key: pa.Array, text: pa.Array, wanted: list[bool]) -> Iterator[tuple[int, int, np.ndarray, Words]]:
+def blocks_of(key: pa.Array, text: pa.Array, wanted: list[bool], block: int) -> Iterator[tuple[int, int, np.ndarray, Words]]:
     """Index ranges of a batch with keys and words; rows that aren't wanted have no words here."""
     keys = np.array(key.fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
     texts = [t if ok else b"" for t, ok in zip(utf8(text), wanted, strict=True)]
-    for lo, hi in chunked([len(t) + 1 for t in texts], BLOCK):
+    for lo, hi in chunked([len(t) + 1 for t in texts], block):
         yield lo, hi, keys[lo:hi], Words(texts[lo:hi])
 
 
-def repeats(docs: DataFrame, text: str, buckets: int, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+def repeats(docs: DataFrame, text: str, buckets: int, window: int = WINDOW, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
     """k and `starts` (int32 bytes): windows of each text, by first word, that also start earlier and cover all such.
 
     docs: _k long (the key, unique and not null), the text and any other columns. The join below carries all of them and keeps
@@ -249,7 +250,7 @@ def repeats(docs: DataFrame, text: str, buckets: int, window: int = WINDOW, roun
     def name_symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         short, long = Gather(shared, buckets), Gather(repeated, buckets)
         for batch in batches:
-            for _, _, keys, words in blocks_of(batch.column(0), batch.column(1), [True] * batch.num_rows):
+            for _, _, keys, words in blocks_of(batch.column(0), batch.column(1), [True] * batch.num_rows, block):
                 if not len(words.name):
                     continue
                 steps, (names, at, span) = symbols(words, rounds, LONG * window)
@@ -287,7 +288,7 @@ def repeats(docs: DataFrame, text: str, buckets: int, window: int = WINDOW, roun
         gather = Gather(repeated, buckets)
         for batch in batches:
             spots = batch.column(batch.num_columns - 1).to_pylist()
-            for lo, _, keys, words in blocks_of(batch.column(place[1]), batch.column(place[0]), [x is not None for x in spots]):
+            for lo, _, keys, words in blocks_of(batch.column(place[1]), batch.column(place[0]), [x is not None for x in spots], block):
                 n = len(words.name)
                 if not n:
                     continue
@@ -306,7 +307,7 @@ def repeats(docs: DataFrame, text: str, buckets: int, window: int = WINDOW, roun
                 step = np.arange(len(tile)) - np.repeat(np.cumsum(steps) - steps, steps)
                 cover = at[tile] + np.minimum(step * window, (span - window)[tile])
                 yield from settled(keys[owner[tile]], cover, np.zeros(len(tile), np.int32), buckets)
-                starts, _, code = anchors(words, list(recompress(words.names, words.doc, rounds, LONG * window)), window)
+                starts, _, code = anchors(words, list(recompress(words.names, words.doc, rounds, LONG * window, rounds)), window)
                 at = starts[np.isin(code, wanted) & (np.cumsum(inside)[starts] == 0)]
                 if len(at):
                     of = words.doc[at]
@@ -332,7 +333,7 @@ def ordered(df: DataFrame, text: str, key: str) -> DataFrame:
     return cut(ranged.withColumn("_k", F.when(F.col(key).isNotNull(), F.monotonically_increasing_id())), scratch(df.sparkSession), "ordered").drop("_h", "_t")
 
 
-def remove(df: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+def remove(df: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, rounds: int = ROUNDS, block: int = BLOCK) -> DataFrame:
     """df with the words of repeated windows removed.
 
     Adds n_words, n_removed, kept_words (the kept words joined by one space) and kept_text (the text without the removed
@@ -344,7 +345,7 @@ def remove(df: DataFrame, text: str = "text", key: str = "doc_id", window: int =
     docs = whole.where("_k is not null")
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(parts(df.sparkSession), -(-size // BUCKET))
-    found = repeats(docs, text, buckets, window, rounds).select(F.col("k").alias("_k"), F.col("starts").alias("_starts"))
+    found = repeats(docs, text, buckets, window, rounds, block).select(F.col("k").alias("_k"), F.col("starts").alias("_starts"))
     joined = docs.join(found.hint("merge"), "_k", "left")
     joined = joined.unionByName(whole.where("_k is null").withColumn("_starts", F.lit(None).cast("binary")))
     schema = T.StructType([*rows.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_words", T.StringType()), T.StructField("kept_text", T.StringType())])

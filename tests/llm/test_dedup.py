@@ -228,6 +228,23 @@ def test_substrings_of_long_repeats(spark):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], hashlib.sha256(r["kept_words"].encode()).hexdigest()) for r in got} == plain_removal(rows)
 
 
+@pytest.mark.parametrize(("tasks", "block"), [(1, 1 << 20), (2, 1), (7, 300), (3, 1)])
+def test_substrings_in_any_layout(spark, tasks, block):
+    """Which texts share a task or block doesn't matter: long runs alone in a block, runs beside other texts, shuffled rows."""
+    rng = random.Random(tasks)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = [["x"] * 50 + ["w"] + ["y"] * 50, [*fresh(60), *["x"] * 12, "w", *["y"] * 12, *fresh(60)], ["x"] * 70, ["x"] * 30 + ["w"] + ["x"] * 30]
+    for _ in range(30):
+        run = [[rng.choice("xyzw")] * rng.choice([1, 2, 7, 12, 19, 25, 45, 80]) for _ in range(rng.randint(1, 6))]
+        texts.append([*fresh(rng.choice([0, 0, 3])), *[w for r in run for w in r], *fresh(rng.choice([0, 0, 5]))])
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    want = plain_removal(rows)
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(tasks)
+    got = substring.remove(df, block=block).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], hashlib.sha256(r["kept_words"].encode()).hexdigest()) for r in got} == want
+
+
 def test_words_that_collide_in_polynomial_hashes(spark):
     """Words over two letters in the Thue-Morse order and its complement have equal polynomial hashes modulo 2**64."""
     order = [bin(i).count("1") % 2 for i in range(2048)]
