@@ -1,8 +1,7 @@
 """Ordered operators: allocation, clocks, fills, islands, numbering and outlines as windows within a group.
 
-Each window is partitioned by its group. Where the order runs over groups (a clock, a fill), groups are reduced to one row
-each first. Those rows are cut into chunks by bounds of their keys; windows run within a chunk, and only one row of each chunk
-shares a window.
+Each window is partitioned by its group. Where the order runs over all rows (a clock, a fill, a number), the rows are scanned in
+chunks of bounded size (quire.operators.scans).
 """
 
 from __future__ import annotations
@@ -11,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.operators import scans as S
+
 
 def allocate(rows: DataFrame, group: str, weight: Column, total: Column) -> DataFrame:
     """rows with `share`, the group's total divided in proportion to max(1, weight)."""
@@ -20,29 +21,17 @@ def allocate(rows: DataFrame, group: str, weight: Column, total: Column) -> Data
 
 def running_clock(rows: DataFrame, group: str, order: str, amount: Column, group_total: DataFrame) -> DataFrame:
     """rows with start and end on a clock that runs through the groups in order. group_total: group, total (a row each)."""
-    chunks = chunked(group_total, group)
-    before = chunks.groupBy("_c").agg(F.sum("total").alias("_t")).select("_c", (F.sum("_t").over(W.orderBy("_c")) - F.col("_t")).alias("_b"))
-    own = F.sum("total").over(W.partitionBy("_c").orderBy(group)) - F.col("total")
-    base = chunks.withColumn("_o", own).join(before, "_c").select(group, (F.col("_o") + F.col("_b")).alias("_base"))
+    run = S.scan(group_total.select(group, "total"), [group], {"_base": S.Running("sum", F.col("total"))})
+    base = run.select(group, (F.col("_base") - F.col("total")).alias("_base"))
     inside = W.partitionBy(group).orderBy(order)
     end = F.sum(amount).over(inside.rowsBetween(W.unboundedPreceding, 0))
     return rows.withColumn("_end", end).join(base, group).withColumn("end", F.col("_base") + F.col("_end")).withColumn("start", F.col("end") - amount).drop("_base", "_end")
 
 
 def hold_previous(rows: DataFrame, group: str, order: str, value: str, missing: Column) -> DataFrame:
-    """rows with null values filled from the last one before, across groups in order; `missing` where there is none.
-
-    The last value of each group is carried by one row for each group; rows are filled within their own group.
-    """
-    inside = W.partitionBy(group).orderBy(order)
-    last_of = rows.groupBy(group).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last"))
-    chunks = chunked(last_of, group)
-    within = F.last("_last", ignorenulls=True).over(W.partitionBy("_c").orderBy(group).rowsBetween(W.unboundedPreceding, -1))
-    ends = chunks.groupBy("_c").agg(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col(group))).alias("_e"))
-    before = ends.select("_c", F.last("_e", ignorenulls=True).over(W.orderBy("_c").rowsBetween(W.unboundedPreceding, -1)).alias("_b"))
-    carried = chunks.withColumn("_w", within).join(before, "_c").select(group, F.coalesce("_w", "_b").alias("_carried"))
-    own = F.last(value, ignorenulls=True).over(inside.rowsBetween(W.unboundedPreceding, 0))
-    return rows.withColumn("_own", own).join(carried, group).withColumn("filled", F.coalesce("_own", "_carried", missing)).drop("_own", "_carried")
+    """rows with null values filled from the last one before, across groups in order; `missing` where there is none."""
+    filled = S.scan(rows, [group, order], {"filled": S.Running("last", F.col(value))})
+    return filled.withColumn("filled", F.coalesce("filled", missing))
 
 
 def carry_first(rows: DataFrame, carried: DataFrame, group: str, order: str, names: str) -> DataFrame:
@@ -68,30 +57,9 @@ def trim_leading(rows: DataFrame, group: str, order: str, echo: Column) -> DataF
     return rows.withColumn("_seen", seen).where("_seen = 1").drop("_seen")
 
 
-def chunked(rows: DataFrame, order: str, size: int = 100_000) -> DataFrame:
-    """rows with `_c`, the number of their chunk in order of the key: about `size` rows each, in up to 256 chunks.
-
-    The bounds are approximate quantiles of the key (of strings, of their first seven bytes), so sparse and dense keys give
-    chunks alike. Only the bounds reach the driver. Equal keys share a chunk.
-    """
-    kind = rows.schema[order].dataType.typeName()
-    rank = F.conv(F.hex(F.rpad(F.substring(F.encode(F.col(order), "UTF-8"), 1, 7), 7, F.lit(b"\0"))), 16, 10).cast("double") if kind == "string" else F.col(order).cast("double")
-    n = rows.count()
-    k = min(256, n // size + 1)
-    if k == 1:
-        return rows.withColumn("_c", F.lit(0))
-    bounds = rows.agg(F.percentile_approx(rank, [i / k for i in range(1, k)], 10_000)).first()[0]
-    return rows.withColumn("_c", F.size(F.filter(F.lit(sorted({float(b) for b in bounds})), lambda b: b < rank)))
-
-
-def numbered(rows: DataFrame, order: str, chunk: int = 100_000) -> DataFrame:
-    """rows with `n` = 0, 1, ... in order of a column, without one task for all rows: chunks are counted, and ranks within a
-    chunk start at the sum of the chunks before."""
-    keyed = chunked(rows, order, chunk)
-    counts = keyed.groupBy("_c").agg(F.count("*").alias("_n"))
-    base = counts.withColumn("_base", F.sum("_n").over(W.orderBy("_c")) - F.col("_n")).select("_c", "_base")
-    rank = F.row_number().over(W.partitionBy("_c").orderBy(order)) - 1
-    return keyed.withColumn("_r", rank).join(base, "_c").withColumn("n", F.col("_r") + F.col("_base")).drop("_c", "_r", "_base")
+def numbered(rows: DataFrame, order: str) -> DataFrame:
+    """rows with `n` = 0, 1, ... in order of a column."""
+    return S.numbered(rows, [order])
 
 
 def batches(rows: DataFrame, order: str, size: int) -> DataFrame:
@@ -166,11 +134,3 @@ def header_scan(rows: DataFrame, text: str, pattern: str, expected: Column | Non
     good = F.filter(lines, lambda x: number(x).isNotNull() & (F.lit(True) if expected is None else number(x) == expected))
     hit = F.try_element_at(good, F.lit(1))
     return rows.withColumn("header_number", number(hit)).withColumn("header_title", F.nullif(F.regexp_extract(hit, pattern, 2), F.lit("")))
-
-
-def rate_gate(rows: DataFrame, key: str, ts: str, per_hour: float | None) -> DataFrame:
-    """rows with allowed and wait_seconds: an event may follow the one before after an hour / rate, or ten minutes by default."""
-    gap = 3600.0 / per_hour if per_hour else 600.0
-    before = F.lag(ts).over(W.partitionBy(key).orderBy(ts))
-    passed = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(before.cast("timestamp"))) / 1e6
-    return rows.withColumn("_p", passed).withColumn("allowed", F.col("_p").isNull() | (F.col("_p") >= gap)).withColumn("wait_seconds", F.when(F.col("allowed"), 0.0).otherwise(gap - F.col("_p"))).drop("_p")

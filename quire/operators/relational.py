@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.operators.ranges import range_lookup  # noqa: F401
+from quire.operators.scans import numbered
+
 
 # Filters, pending work and set membership
 
@@ -61,46 +64,7 @@ def union_distinct(*sets: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-# Range lookups
-
-
-#: Ranges up to this number are looked up in place, as one literal; more are joined by dyadic blocks.
-FEW = 1000
-
-
-def range_lookup(rows: DataFrame, number: str, ranges: DataFrame, values: list[str], otherwise: str = "last") -> DataFrame:
-    """rows with the values of the first range (pos, lo, hi, values) in order of pos that holds `number`.
-
-    otherwise: what a number without a range gets, the values of the `last` range or `null`. Up to FEW ranges become one row
-    that is broadcast, and each row is looked up in place. More ranges are cut into dyadic blocks, at most two of each size, and
-    the distinct numbers are joined to the blocks that hold them by equality, so nothing is compared pair by pair.
-    """
-    names = ["pos", "lo", "hi", *values]
-    few = ranges.limit(FEW + 1).count() <= FEW
-    final = ranges.agg(F.max_by(F.struct(*values), "pos").alias("_final"))
-    if few:
-        table = ranges.agg(F.sort_array(F.collect_list(F.struct(*names))).alias("_ranges"))
-        hit = F.try_element_at(F.filter("_ranges", lambda r: F.col(number).between(r["lo"], r["hi"])), F.lit(1))
-        found = F.coalesce(hit, F.try_element_at("_ranges", F.lit(-1))) if otherwise == "last" else hit
-        got = rows.join(F.broadcast(table), F.lit(True), "left").withColumn("_hit", found)
-    else:
-        numbers = rows.select(F.col(number).cast("long").alias("_n")).where("_n is not null").distinct()
-        blocks = dyadic(ranges.where("lo <= hi"))
-        at = numbers.withColumn("_level", F.explode(F.expr("sequence(0, 62)"))).withColumn("_block", F.expr("shiftright(_n, _level)"))
-        first = at.join(blocks, ["_level", "_block"]).groupBy("_n").agg(F.min_by(F.struct(*values), "pos").alias("_hit"))
-        got = rows.withColumn("_n", F.col(number).cast("long")).join(first, "_n", "left")
-        if otherwise == "last":
-            got = got.join(F.broadcast(final), F.lit(True), "left").withColumn("_hit", F.coalesce("_hit", "_final"))
-    return got.select(*[F.col(c) for c in rows.columns], *[F.col("_hit")[v].alias(v) for v in values])
-
-
-def dyadic(ranges: DataFrame) -> DataFrame:
-    """ranges with a row for each of their largest blocks: _level and _block, the numbers from _block << _level on, 1 << _level
-    of them. Of each level a range has two at most, its leftmost and its rightmost."""
-    level = ranges.withColumns({"_lo": F.col("lo").cast("long"), "_hi": F.col("hi").cast("long")}).withColumn("_level", F.explode(F.expr("sequence(0, CAST(floor(log2(_hi - _lo + 1)) AS INT))")))
-    ends = level.withColumn("_block", F.explode(F.expr("array_distinct(array(shiftright(_lo + shiftleft(1L, _level) - 1, _level), shiftright(_hi + 1, _level) - 1))")))
-    inside = lambda b, n: f"(shiftleft({b}, {n}) >= _lo AND shiftleft({b} + 1, {n}) - 1 <= _hi)"
-    return ends.where(f"{inside('_block', '_level')} AND NOT {inside('shiftright(_block, 1)', '(_level + 1)')}").drop("_lo", "_hi")
+# Range lookups (of ranges in a table: quire.operators.ranges)
 
 
 def case_ranges(number: Column, limits: list[tuple[int, object]], otherwise: object) -> Column:
@@ -150,8 +114,8 @@ def resolve_in_order(rows: DataFrame, key: str, tables: list[DataFrame], value:
 
 
 def pair_by_position(a: DataFrame, a_order: str, b: DataFrame, b_order: str) -> DataFrame:
-    """The i-th row of a with the i-th of b. Positions need a total order in one task: for small lists only."""
-    n = lambda df, by: df.withColumn("position", F.row_number().over(W.orderBy(by)))
+    """The i-th row of a with the i-th of b, from 1 on."""
+    n = lambda df, by: numbered(df, [by], "position").withColumn("position", F.col("position") + 1)
     return n(a, a_order).join(n(b, b_order), "position")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import html as H
 from quire.functions import text as T
+from quire.operators import gates as G
 from quire.operators import ledger as L
 from quire.operators import ordered as O
 from quire.operators import relational as R
@@ -134,6 +135,17 @@ def range_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("p_partkey", F.coalesce("image", F.lit("fallback")).alias("image"))
 
 
+@query("""
+with r as (select c_custkey as pos, c_acctbal as lo, c_acctbal + c_nationkey * 7.5 as hi, c_name from customer)
+select o_orderkey, arg_min(c_name, pos) as c_name from (select o_orderkey, o_totalprice / 40 - 900 as x from orders) left join r on x between lo and hi group by o_orderkey
+""")
+def range_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first of overlapping ranges of balances, negative ones too, that holds a price."""
+    ranges = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pos"), F.col("c_acctbal").alias("lo"), (F.col("c_acctbal") + F.col("c_nationkey") * 7.5).alias("hi"), "c_name")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") / 40 - 900).alias("x"))
+    return R.range_lookup(rows, "x", ranges, ["c_name"], "null").select("o_orderkey", "c_name")
+
+
 @query("""
 select p_partkey, case when p_size <= 10 then 'small' when p_size <= 30 then 'medium' when p_size <= 45 then 'large' else 'huge' end as kind from part
 """)
@@ -470,13 +482,26 @@ def ledger_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.next_item(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), orders.where("o_orderstatus = 'F'"), orders.where("o_totalprice > 100000"), ["c_custkey"], ["c_custkey"])
 
 
-@query("""
-select event_id, allowed, round(case when allowed then 0 else 600 - p end, 3) as wait_seconds from (select event_id, p, p is null or p >= 600 as allowed
-  from (select event_id, (epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts))) / 1e6 as p from events))
-""")
+#: SQL for a gate with a gap in seconds: KEY's events one after the other.
+_GATE = """
+with recursive e as (select event_id, KEY as k, ts, row_number() over (partition by KEY order by ts, event_id) as i from events),
+     a as (select k, i, ts from e where i = 1 union all select a.k, n.i, n.ts from a join lateral (select e.i, e.ts from e where e.k = a.k and e.ts >= a.ts + to_seconds(GAP) order by e.i limit 1) n on true),
+     g as (select e.event_id, e.ts, a.i is not null as allowed, last_value(a.ts ignore nulls) over (partition by e.k order by e.i) as l from e left join a on a.k = e.k and a.i = e.i)
+select event_id, allowed, case when allowed then 0 else (GAP * 1000000 - (epoch_us(ts) - epoch_us(l))) / 1e6 end as wait_seconds from g
+"""
+
+
+@query(_GATE.replace("KEY", "user_id").replace("GAP", "600"))
 def rate_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = O.rate_gate(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", "ts", None)
-    return got.select("event_id", "allowed", F.round("wait_seconds", 3).alias("wait_seconds"))
+    got = G.rate_gate(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", "ts", None, ("event_id",))
+    return got.select("event_id", "allowed", "wait_seconds")
+
+
+@query(_GATE.replace("KEY", "event_type").replace("GAP", "43200"))
+def gated_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event of each type in twelve hours, and how long the others wait."""
+    got = G.rate_gate(table(spark, sf_dir, "events").select("event_id", "event_type", "ts"), "event_type", "ts", 1 / 12, ("event_id",))
+    return got.select("event_id", "allowed", "wait_seconds")
 
 
 @query("""

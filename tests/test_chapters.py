@@ -103,25 +103,6 @@ def test_pronounce_takes_one_pass(spark, rules):
     assert got == [*[plain_spoken(t, rules) for t in texts], None]
 
 
-def test_many_ranges(spark, monkeypatch):
-    monkeypatch.setattr(R, "FEW", 2)
-    ranges = [(1, 5, 9, "a"), (2, 0, 100, "b"), (3, -20, -3, "c"), (4, 7, 7, "d"), (5, 50, 40, "e"), (6, 1000, 10**12, "f")]
-    numbers = [-21, -20, -3, -2, 0, 5, 7, 9, 10, 64, 100, 101, 999, 1000, 10**12, None]
-    want = {n: next((v for _, lo, hi, v in ranges if n is not None and lo <= n <= hi), None) for n in numbers}
-    rows, table = spark.createDataFrame([(n,) for n in numbers], "n long"), spark.createDataFrame(ranges, "pos int, lo long, hi long, v string")
-    assert {r["n"]: r["v"] for r in R.range_lookup(rows, "n", table, ["v"], "null").collect()} == want
-    assert {r["n"]: r["v"] for r in R.range_lookup(rows, "n", table, ["v"]).collect()} == {n: v or "f" for n, v in want.items()}
-
-
-def test_chunks_follow_the_order(spark):
-    keys = [10 ** (i % 12) + i for i in range(600)]
-    got = O.numbered(spark.createDataFrame([(k,) for k in keys], "k long").repartition(3), "k", 50).collect()
-    assert [r["k"] for r in sorted(got, key=lambda r: r["n"])] == sorted(keys) and sorted(r["n"] for r in got) == list(range(600))
-    words = [f"name {i % 7} {i}" for i in range(300)]
-    got = O.numbered(spark.createDataFrame([(w,) for w in words], "k string"), "k", 40).collect()
-    assert [r["k"] for r in sorted(got, key=lambda r: r["n"])] == sorted(words)
-
-
 def test_outlines(spark):
     raw = [("a", '[{"title": "V1", "page": 1}, [{"title": "C1", "page": 2}, {"no": 1}, [{"title": "S"}]], {"title": "V2", "page": 9}]'), ("b", "[{"), ("c", None)]
     rows = S.flatten_outline(spark.createDataFrame(raw, "path string, outline string"))
