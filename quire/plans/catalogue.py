@@ -487,7 +487,7 @@ _GATE = """
 with recursive e as (select event_id, KEY as k, ts, row_number() over (partition by KEY order by ts, event_id) as i from events),
      a as (select k, i, ts from e where i = 1 union all select a.k, n.i, n.ts from a join lateral (select e.i, e.ts from e where e.k = a.k and e.ts >= a.ts + to_seconds(GAP) order by e.i limit 1) n on true),
      g as (select e.event_id, e.ts, a.i is not null as allowed, last_value(a.ts ignore nulls) over (partition by e.k order by e.i) as l from e left join a on a.k = e.k and a.i = e.i)
-select event_id, allowed, case when allowed then 0 else (GAP * 1000000 - (epoch_us(ts) - epoch_us(l))) / 1e6 end as wait_seconds from g
+select event_id, allowed, case when allowed then 0 else (GAP * 1000000::bigint - (epoch_us(ts) - epoch_us(l))) / 1e6 end as wait_seconds from g
 """
 
 
