@@ -134,23 +134,24 @@ class Vocabulary:
 
     def propose(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Greedy longest match of all pieces side by side: token ids and the piece of each, in order."""
-        at, live, owners, ids = start.copy(), np.flatnonzero(start < end), [], []
+        live, owners, ids = np.flatnonzero(start < end), [], []
+        at, stop = start[live], end[live]  # of the live pieces only, so that a long piece costs its own steps
         while len(live):
-            walk, node, p = live, np.zeros(len(live), dtype=np.int64), at[live]
-            best, stop = np.full(len(start), -1, dtype=np.int64), at.copy()
+            walk, node, p = np.arange(len(live)), np.zeros(len(live), dtype=np.int64), at
+            best, after = np.full(len(live), -1, dtype=np.int64), at.copy()
             while len(walk):
                 node = self.children.get(node << 8 | buf[p])
                 on = node >= 0
                 walk, node, p = walk[on], node[on], p[on] + 1
                 token = self.ends[node]
                 hit = token >= 0
-                best[walk[hit]], stop[walk[hit]] = token[hit], p[hit]
-                on = p < end[walk]
+                best[walk[hit]], after[walk[hit]] = token[hit], p[hit]
+                on = p < stop[walk]
                 walk, node, p = walk[on], node[on], p[on]
             owners.append(live)
-            ids.append(best[live])
-            at[live] = stop[live]
-            live = live[at[live] < end[live]]
+            ids.append(best)
+            on = after < stop
+            live, at, stop = live[on], after[on], stop[on]
         owner = np.concatenate([*owners, np.zeros(0, np.int64)])
         order = np.argsort(owner, kind="stable")
         return np.concatenate([*ids, np.zeros(0, np.int64)])[order], owner[order]

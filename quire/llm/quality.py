@@ -15,13 +15,15 @@ label, with none it is 0.5. A column that has the output's name is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm._common import cut, scratch
+from quire.llm._common import WORD_BASE, cut, mix, scratch
 
 #: Labelled rows learned from, per class, and blocks that train a dictionary.
 SAMPLE, BLOCKS = 3000, 8000
@@ -114,13 +116,14 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
         return Model(None, None, 0.0, 60.0 if classes == {1} else -60.0 if classes else 0.0)
     # One half makes the dictionaries and the other fits the curve; a class that lacks a half gives all its rows to both.
     halves = {c: [0] if (c, 0) in held else [0, 1] for c in classes}
-    part = F.lit(False)
+    share = {}
     for c in classes:
         total = sum(held.get((c, h), (0, 0))[1] for h in halves[c])
-        at = F.pmod(F.xxhash64(F.col("k").cast("string"), "i"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        part = part | ((F.col("y") == c) & F.col("half").isin(*halves[c]) & (at < min(1.0, BLOCKS / max(1, total))))
-    pieces = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)).cast("int") - 1))).where(part)
-    got = pieces.select("y", F.substring(F.encode("t", "UTF-8"), F.col("i") * BLOCK + 1, F.lit(BLOCK)).alias("b"), "k", "i").orderBy("y", "k", "i").toArrow()
+        share[c] = min(1.0, BLOCKS / max(1, total))
+    part = F.lit(False)
+    for c in classes:
+        part = part | ((F.col("y") == c) & F.col("half").isin(*halves[c]))
+    got = sampled_blocks(rows.where(part), share).orderBy("y", "h", "i").toArrow()
     made = {c: dictionary([b for y, b in zip(got.column("y").to_pylist(), got.column("b").to_pylist(), strict=True) if y == c]) for c in (0, 1)}
     model = Model(made[1], made[0], 0.0, 0.0)
     both = all((c, 1) in held for c in classes)
@@ -133,6 +136,24 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
     return model
 
 
+def sampled_blocks(rows: DataFrame, share: dict[int, float]) -> DataFrame:
+    """y, h, i and b: of the texts (t) of each class the share of their blocks, drawn by a hash of the key (k) and the block's number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        kinds = {"y": pa.int32(), "h": pa.int64(), "i": pa.int32(), "b": pa.binary()}
+        for batch in batches:
+            for y, h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), pc.cast(batch.column(2), pa.binary()).to_pylist(), strict=True):
+                i = np.arange(max(1, -(-len(t) // BLOCK)))
+                draw = mix(np.uint64(h & (1 << 64) - 1) + i.astype(np.uint64) * WORD_BASE) >> np.uint64(44)
+                i = i[draw < share[y] * (1 << 20)].tolist()
+                columns = [[y] * len(i), [h] * len(i), i, [t[j * BLOCK : (j + 1) * BLOCK] for j in i]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+    return rows.select("y", F.xxhash64(F.col("k").cast("string")).alias("h"), "t").mapInArrow(run, "y int, h long, i int, b binary")
+
+
 def difference_column(spark: SparkSession, model: Model, text: str | Column) -> Column:
     cast = spark.sparkContext.broadcast(model)
 

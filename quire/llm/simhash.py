@@ -19,7 +19,8 @@ found by alternating star contractions in Spark. Equal fingerprints count once t
 
 Defined cases: null text and text without words have fingerprint 0, which links like any other; a text with fewer words
 than a shingle has its whole word sequence as its only shingle; ties (half the shingles) give a 0 bit; rows with a null key
-get a null component unless an equal or linked fingerprint has a key; an empty table gives no rows.
+get a null component unless an equal or linked fingerprint has a key; keys may have any type that has an order; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -204,9 +205,9 @@ def allowed(budget: list[int], depth: int, bits: int, err: int) -> list[int]:
 
 
 def links(vertices: DataFrame, radius: int = RADIUS, most: int | None = None, searched: int = 1) -> DataFrame:
-    """A spanning forest (u, w: vertex numbers, u > w) of the links between distinct fingerprints.
+    """A spanning forest (u, w: vertices, u > w) of the links between distinct fingerprints.
 
-    vertices: fp (array of longs, distinct) and v long. most: bits that may differ over all words; by default the first decides.
+    vertices: fp (array of longs, distinct) and v, of any type that has an order. most: bits that may differ over all words; by default the first decides.
     searched: how many of the words are searched, each for pairs within the radius.
 
     A group is what meets at one prefix of one trie. A group of more than CROWD members goes STEP levels deeper, until none is
@@ -244,20 +245,25 @@ def links(vertices: DataFrame, radius: int = RADIUS, most: int | None = None, se
         level = cut(below.withColumn("err", F.col("err") + F.col("errs")).select(level.columns), folder, f"level{depth}")
 
     def join(table: pa.Table) -> pa.Table:
-        keys, v = table.column("key").to_numpy().view(np.uint64), table.column("v").to_numpy()
+        table = table.sort_by("v")  # a smaller place is a smaller vertex
+        keys = table.column("key").to_numpy().view(np.uint64)
         trie, prefix, depth = (table.column(c)[0].as_py() for c in ("trie", "prefix", "depth"))
         order = np.argsort(keys)
-        keys, v = keys[order], v[order]
-        whole = None
+        keys, whole = keys[order], None
         if most is not None:
-            whole = np.array(table.column("fp").combine_chunks().flatten()).view(np.uint64).reshape(len(v), -1)[order]
+            whole = np.array(table.column("fp").combine_chunks().flatten()).view(np.uint64).reshape(len(keys), -1)[order]
         home = int((keys >> np.uint64(64 - depth) == np.uint64(prefix)).sum())
         root = walk(keys, home, radius, depth, budgets(radius, trie % tries), whole, 64 if most is None else most)
         moved = np.flatnonzero(root != np.arange(len(root)))
-        a, b = v[moved], v[root[moved]]
-        return pa.table({"u": np.maximum(a, b), "w": np.minimum(a, b)})
+        a, b, v = order[moved], order[root[moved]], table.column("v")
+        return pa.table({"u": v.take(np.maximum(a, b)), "w": v.take(np.minimum(a, b))})
 
-    return dealt.drop("err").groupBy("trie", "depth", "prefix").applyInArrow(join, "u long, w long").distinct()
+    return dealt.drop("err").groupBy("trie", "depth", "prefix").applyInArrow(join, pair_of(vertices)).distinct()
+
+
+def pair_of(vertices: DataFrame) -> T.StructType:
+    kind = vertices.schema["v"].dataType
+    return T.StructType([T.StructField("u", kind), T.StructField("w", kind)])
 
 
 def components(forest: DataFrame, folder: str) -> DataFrame:
@@ -296,8 +302,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     return rows.join(whole, "fp").select(F.col("k").alias(key), "fp", "component")
 
 
-def similar(v: np.ndarray, prints: np.ndarray, texts: list[bytes], shingle: int, most: int) -> np.ndarray:
-    """For texts in the order of v, the place of the first member of each one's component.
+def similar(prints: np.ndarray, texts: list[bytes], shingle: int, most: int) -> np.ndarray:
+    """For texts in the order of their keys, the place of the first member of each one's component.
 
     Two texts link if they share ALIKE of their distinct shingles; fingerprints more than `most` bits apart aren't compared.
     """
@@ -308,8 +314,8 @@ def similar(v: np.ndarray, prints: np.ndarray, texts: list[bytes], shingle: int,
     size = np.array([len(x) for x in sets], dtype=np.int64)
     start = np.cumsum(size) - size
     known, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    label, marked, (part, whole) = np.arange(len(v)), np.zeros(len(known), dtype=bool), ALIKE
-    for i in range(len(v) - 1):
+    label, marked, (part, whole) = np.arange(len(texts)), np.zeros(len(known), dtype=bool), ALIKE
+    for i in range(len(texts) - 1):
         j = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
         j = j[whole * np.minimum(size[j], size[i]) >= part * np.maximum(size[j], size[i])]
         j = j[np.bitwise_count(prints[j] ^ prints[i]).sum(axis=1, dtype=np.int64) <= most]
@@ -338,13 +344,13 @@ def verified(members: DataFrame, shingle: int, most: int) -> DataFrame:
 
     def join(table: pa.Table) -> pa.Table:
         table = table.sort_by("v")
-        v = table.column("v").to_numpy()
+        v = table.column("v")
         prints = np.array(table.column("fp").combine_chunks().flatten()).view(np.uint64).reshape(len(v), -1)
-        root = similar(v, prints, utf8(table.column("text")), shingle, most)
+        root = similar(prints, utf8(table.column("text")), shingle, most)
         moved = np.flatnonzero(root != np.arange(len(root)))
-        return pa.table({"u": v[moved], "w": v[root[moved]]})
+        return pa.table({"u": v.take(moved), "w": v.take(root[moved])})
 
-    return dealt.groupBy("candidate", "a", "b").applyInArrow(join, "u long, w long").distinct()
+    return dealt.groupBy("candidate", "a", "b").applyInArrow(join, pair_of(members)).distinct()
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, radius: int = 13, words: int = 4, most: int = 63, searched: int = 2) -> DataFrame:

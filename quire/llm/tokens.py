@@ -12,8 +12,9 @@ Sections are arrays of (name, start, stop) in code points, disjoint and in order
 Lines are the default; `fields` lays the columns of a row end to end.
 
 Defined cases: a null or empty text has no tokens, its sections count 0; without given sections an empty text has one empty
-line and a null text no row; a null array of sections gives no rows; a token of which several make up one character (as for rare scripts) covers that character; rows that repeat are counted each.
-Extra columns don't matter except for the ids asked for.
+line and a null text no row; a null array of sections gives no rows; a token of which several make up one character (as for rare scripts) covers that
+character; rows that repeat are counted each. Extra columns don't matter except for the ids asked for; an id named like an output
+is given as `<name>_id`.
 """
 
 from __future__ import annotations
@@ -101,8 +102,9 @@ def attribute(df: DataFrame, ids: list[str], vocabulary: str, text: str = "text"
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     source = Shipped(df.sparkSession, vocabulary)
-    kept = [df.schema[c] for c in ids]
     made = ["section", "first_char", "n_chars", "n_tokens", "n_partial"]
+    names_of = [f"{c}_id" if c in made else c for c in ids]
+    kept = [T.StructField(n, df.schema[c].dataType) for n, c in zip(names_of, ids, strict=True)]
     schema = T.StructType([*kept, T.StructField("section", T.StringType()), T.StructField("first_char", T.LongType()), T.StructField("n_chars", T.LongType()), T.StructField("n_tokens", T.DoubleType()), T.StructField("n_partial", T.LongType())])
     place = len(ids)
 
@@ -129,9 +131,10 @@ def attribute(df: DataFrame, ids: list[str], vocabulary: str, text: str = "text"
                 rows = pa.array(np.repeat(np.arange(hi - lo), count))
                 columns = [part.column(i).take(rows) for i in range(place)]
                 columns += [names, pa.array(start), pa.array(stop - start), pa.array(tokens), pa.array(partial)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*ids, *made])
+                yield pa.RecordBatch.from_arrays(columns, names=[*names_of, *made])
 
-    return df.select(*ids, text, *[sections] * (sections is not None)).mapInArrow(run, schema)
+    spans = [F.col(sections).alias("_sections")] if sections is not None else []
+    return df.select(*[F.col(c).alias(f"_id{i}") for i, c in enumerate(ids)], F.col(text).alias("_text"), *spans).mapInArrow(run, schema)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

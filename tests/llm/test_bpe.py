@@ -98,6 +98,29 @@ def test_lines_and_fields(spark, library):
     assert total == len(library.encode("Hello interesting x", add_special_tokens=False).ids)
 
 
+def test_clashing_ids(spark, library):
+    df = spark.createDataFrame([(1, "a", "ab\ncd"), (1, "a", "ab\ncd"), (2, None, "long text " * 30_000)], "doc_id long, section string, text string")
+    got = tokens.attribute(df.withColumn("n_tokens", F.lit("x")), ["doc_id", "section", "n_tokens", "text"], PATH)
+    assert got.columns == ["doc_id", "section_id", "n_tokens_id", "text", "section", "first_char", "n_chars", "n_tokens", "n_partial"]
+    rows = got.collect()
+    assert sorted((r["doc_id"], str(r["section_id"]), r["section"], r["n_tokens_id"]) for r in rows) == [(1, "a", "0", "x"), (1, "a", "0", "x"), (1, "a", "1", "x"), (1, "a", "1", "x"), (2, "None", "0", "x")]
+    assert sum(r["n_tokens"] for r in rows if r["doc_id"] == 2) == len(library.encode("long text " * 30_000, add_special_tokens=False).ids)
+
+
+def test_long_word_beside_many(known, library):
+    """A word of 100,000 letters costs its own steps, not those times all other new words."""
+    import random
+    import time
+
+    rng = random.Random(1)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    texts = [word, *["".join(rng.choice("etaoinshr") for _ in range(9)) for _ in range(50_000)]]
+    began = time.process_time()
+    got = list(known.encode(texts))
+    assert time.process_time() - began < 30
+    assert [list(x) for x in got[:200]] == [library.encode(t, add_special_tokens=False).ids for t in texts[:200]]
+
+
 def test_query_is_whole(spark, library):
     sf = "/root/testdata/sf0.001"
     got = bpe.op2_bpe_round_trip(spark, sf)

@@ -105,6 +105,25 @@ def test_near_duplicates_edges(spark):
     assert sorted((str(r["doc_id"]), r["component"]) for r in got) == [("4", 4), ("6", 6), ("6", 6), ("8", 6), ("None", 4)]
 
 
+@pytest.mark.parametrize("kind", ["int", "string", "date"])
+def test_near_duplicates_of_any_keys(spark, kind):
+    """Keys of other types, null and repeated ones, give the components and the kept rows of whole numbers."""
+    texts = [*near_texts()[:40], *["same text here"] * 3]
+    base = " ".join(f"v{i}" for i in range(100))
+    texts += [base, base, base + " more"]
+    key = {"int": F.col("n"), "string": F.when(F.col("n").isNotNull(), F.format_string("k%04d", "n")), "date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("n").cast("int"))}[kind]
+    rows = [(i if i % 10 else None, t) for i, t in enumerate(texts)] + [(5, texts[5])]
+    df = spark.createDataFrame(rows, "n int, text string").select("n", key.alias("doc_id"), "text").repartition(3)
+    named = df.select("doc_id", F.col("n").cast("long").alias("n")).where("n is not null").distinct()
+    name = {r["doc_id"]: r["n"] for r in named.collect()} | {None: None}
+    plain = df.select(F.col("n").cast("long").alias("doc_id"), "text")
+    found = lambda d, of: sorted((str(of(r["doc_id"])), str(r["fp"]), str(of(r["component"]))) for r in simhash.near_duplicates(d).collect())
+    assert found(df, name.get) == found(plain, lambda x: x)
+    kept = lambda d, of: sorted(str(of(r["doc_id"])) for r in simhash.keep_one(d).collect())
+    assert kept(df, name.get) == kept(plain, lambda x: x)
+    assert len(kept(plain, lambda x: x)) < len(rows)
+
+
 def test_recall_of_near_duplicates(spark):
     """Against exact similarity of all pairs that share a shingle, on whole tables."""
     rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect())

@@ -118,6 +118,32 @@ def test_quality_edges(spark):
     assert quality.score(docs.limit(0), none).count() == 0
 
 
+def test_quality_learns_in_linear_time(spark):
+    """A labelled text of 20 MB among short ones: its blocks are drawn in one pass over it."""
+    import time
+
+    rng = np.random.default_rng(1)
+    word = lambda base: "".join(chr(base + c) for c in rng.integers(0, 8, 6))
+    texts = [" ".join(word(97 + 8 * (i % 2)) for _ in range(60)) for i in range(100)]
+    long = " ".join(texts[::2]) + " "
+    docs = spark.createDataFrame([*enumerate(texts), (100, long * (20_000_000 // len(long)))], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(101)], "doc_id long, quality int")
+    quality.learn(docs.where("doc_id < 100"), labels)
+    began = time.time()
+    model = quality.learn(docs, labels)
+    assert time.time() - began < 40
+    scored = {r["doc_id"]: r["score"] for r in quality.score(docs.where("doc_id < 100"), model).collect()}
+    assert np.mean([(scored[i] >= 0.5) == (i % 2 == 0) for i in range(100)]) > 0.95
+
+
+def test_blocks_are_drawn_by_key_and_number(spark):
+    rows = spark.createDataFrame([(1, 1, "a" * 5000), (2, 0, ""), (3, 0, "b" * 100_000)], "k long, y int, t string")
+    whole = quality.sampled_blocks(rows, {0: 1.0, 1: 1.0}).collect()
+    assert sorted((r["y"], len(r["b"])) for r in whole) == sorted([(1, 1024)] * 4 + [(1, 904), (0, 0)] + [(0, 1024)] * 97 + [(0, 672)])
+    half = quality.sampled_blocks(rows.repartition(3), {0: 0.5, 1: 0.0}).collect()
+    assert {(r["h"], r["i"]) for r in half} < {(r["h"], r["i"]) for r in whole} and 30 < len(half) < 70
+
+
 def check_shards(rows, text_of, shards, spread):
     """Bytes, tokens and rows of all shards, gapless slots, and groups of equal texts in one shard wherever one can hold them."""
     load, slots, groups = np.zeros((shards, 3)), defaultdict(list), defaultdict(list)
@@ -293,7 +319,8 @@ def test_quotations(spark):
 
 
 def plain_links(rows):
-    """For each row the source of each passage: whole hashes first, then the message with most lines, at least half."""
+    """For each row its passages, links, first source, reply, thread and depth: whole hashes first, then the message with most
+    lines, at least half."""
     parsed = [(c, t, *quotes.parse(x)) for c, t, x in rows]
     known = defaultdict(set)
     for c, t, _, names, _ in parsed:
@@ -303,7 +330,7 @@ def plain_links(rows):
     out = []
     for c, t, _, _, passages in parsed:
         found = []
-        for q in passages:
+        for place, q in enumerate(passages):
             def source(name):
                 inner = [m for m in known[name] if m[0] == c and t is not None and m[1] < t]
                 outer = [m for m in known[name] if m[0] != c]
@@ -322,9 +349,29 @@ def plain_links(rows):
                 n, m = a if a and (not b or a[0] >= b[0]) else b if b else (0, None)
                 best = m if 2 * n >= len(lines) and n else None
             if best is not None:
-                found.append((q["level"], best))
-        out.append((c, t, len(passages), len(found)))
-    return Counter(out)
+                found.append((q["level"], place, *best))
+        first = min(found, default=(None,) * 4)
+        inner = min((f for f in found if f[2] == c), default=None)
+        out.append((c, t, len(passages), len(found), first[2], first[3], inner))
+    turns, up = defaultdict(set), {}
+    for c, t, *_ in out:
+        if c is not None and t is not None:
+            turns[c].add(t)
+    for i, (c, t, n, linked, sc, st, inner) in enumerate(out):
+        parent = inner[3] if inner else None
+        if parent is None and c is not None and t is not None:
+            parent = max((x for x in turns[c] if x < t), default=None)
+        out[i] = c, t, n, linked, sc, st, parent
+        if c is not None and t is not None and parent is not None:
+            up[c, t] = min(up.get((c, t), parent), parent)
+
+    def root(c, t):
+        depth = 0
+        while (c, t) in up:
+            t, depth = up[c, t], depth + 1
+        return t, depth
+
+    return Counter((*r, *(root(*r[:2]) if None not in r[:2] else (r[1], 0))) for r in out)
 
 
 @pytest.mark.parametrize("kind", ["long", "string"])
@@ -346,8 +393,27 @@ def test_quotations_by_brute_force(spark, kind):
             rows.append((c if kind == "long" else f"c{c:02d}", t, text))
     rows += [(None, 1, "> " + lines[0]), (rows[0][0], None, "> " + lines[1]), (rows[0][0], 99, None), (rows[0][0], 98, "> x\n" * 20_000)]
     df = spark.createDataFrame([(*r[:2], "u", r[2], "clash") for r in rows], f"conv_id {kind}, turn long, role string, text string, depth string")
-    got = quotes.reply_order(df).collect()
-    assert Counter((r["conv_id"], r["turn"], r["n_quotes"], r["n_linked"]) for r in got if r["conv_id"] is not None and r["turn"] is not None) == Counter({k: n for k, n in plain_links(rows).items() if k[0] is not None and k[1] is not None})
+    assert answers(quotes.reply_order(df)) == plain_links(rows)
+
+
+def answers(df):
+    return Counter(tuple(r[c] for c in ("conv_id", "turn", "n_quotes", "n_linked", "source_conv", "source_turn", "reply_to", "thread", "depth")) for r in df.collect())
+
+
+def test_quotations_in_whole_conversations(spark):
+    """The given conversations, in which every turn quotes what stands before it: the turn before, lines of another conversation,
+    or what that quoted in turn."""
+    given = sorted((r["conv_id"], r["turn"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").collect())
+    rows = []
+    for i, (c, t, text) in enumerate(given):
+        before, far = given[i - 1][2] if i else "", given[i * 7 % len(given)][2]
+        quoted = [f"> {x}" for x in before.split("\n")] if i % 3 else [f"> {x}" for x in far.split("\n")[:2]]
+        nested = [f">> {x}" for x in far.split("\n")[-1:]] if i % 4 == 0 else []
+        rows.append((c, t, "\n".join([*nested, *quoted, text])))
+    df = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string").repartition(3)
+    want = plain_links(rows)
+    assert answers(quotes.reply_order(df)) == want
+    assert sum(k[3] * n for k, n in want.items()) > 300
 
 
 def test_quotations_of_other_conversations(spark):
