@@ -337,3 +337,30 @@ def parse_range(spec: Column) -> tuple[Column, Column]:
     lo, hi = F.split_part(spec, F.lit("-"), F.lit(1)), F.split_part(spec, F.lit("-"), F.lit(2))
     a = F.trim(lo).try_cast("int")
     return a, F.when(spec.contains("-"), F.trim(hi).try_cast("int")).otherwise(a)
+
+
+# The words and numerals of volume labels, and the letters of roman numerals with their values.
+_LABEL = r"(?is)^\s*(volume|book|part)\s+(\d+|[ivxlcdm]+)\b"
+_ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
+
+
+def roman(numeral: Column) -> Column:
+    """The number of a roman numeral in standard form (1 to 3999), in either case; null otherwise."""
+    low = F.lower(numeral)
+    count = lambda c: F.length(low) - F.length(F.replace(low, F.lit(c), F.lit("")))
+    total = F.lit(0)
+    for c, v in _ROMAN.items():
+        total = total + count(c) * v
+    pair = {"i": "i[vx]", "x": "x[lc]", "c": "c[dm]"}
+    for c in pair:  # a letter before one of the next two is taken off instead of added
+        total = total - F.when(low.rlike(pair[c]), 2 * _ROMAN[c]).otherwise(0)
+    good = low.rlike("^(?=.)m{0,3}(cm|cd|d?c{0,3})(xc|xl|l?x{0,3})(ix|iv|v?i{0,3})$")
+    return F.when(good, total.cast("long"))
+
+
+def volume_label(title: Column) -> tuple[Column, Column]:
+    """kind (volume, book or part in lower case) and number of a title that begins with a label; the number is null where the
+    numeral isn't well-formed or too large."""
+    kind = F.nullif(F.lower(F.regexp_extract(title, _LABEL, 1)), F.lit(""))
+    text = F.regexp_extract(title, _LABEL, 2)
+    return kind, F.when(kind.isNotNull(), F.coalesce(text.try_cast("long"), roman(text)))

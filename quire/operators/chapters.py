@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import html as H
@@ -23,17 +24,13 @@ def bodies(rows: DataFrame, key: str, source: str, chapter: str, title: str, mar
     Documents read by regular expressions keep noise lines and repeats. A document without paragraphs has an empty body.
     """
     read = rows.select(key, chapter, title, H.body_blocks(F.col(source), compat).alias("_b"))
-    # Every document keeps a row, so that one without paragraphs is answered for, and nothing is parsed twice.
-    lines = read.select(key, chapter, title, F.col("_b.way").alias("way"), F.posexplode_outer("_b.blocks").alias("seq", "text"))
-    echo = T.echoes_title(F.col("text"), F.col(chapter), F.col(title))
-    noise = (F.col("way") != "regex") & T.is_noise_line(F.col("text"), markers)
-    marked = lines.withColumn("_kept", F.col("text").isNotNull() & ~echo & ~noise)
-    none = marked.groupBy(key).agg(F.first("way").alias("way"), F.max("_kept").alias("_any")).where("NOT _any").select(key, F.lit("").alias("body"), F.lit(0).cast("long").alias("paragraphs"), "way")
-    kept = O.trim_leading(marked.where("_kept"), key, "seq", echo)
-    kept = O.drop_consecutive(kept, key, "seq", "text", F.col("way") != "regex")
-    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), "\n\n")
-    made = kept.groupBy(key).agg(joined.alias("body"), F.count("*").alias("paragraphs"), F.first("way").alias("way"))
-    return made.unionByName(none.select(made.columns))
+    # All in the document's row: its blocks are parsed once and need no shuffle.
+    held = read.select(key, F.col("_b.way").alias("way"), F.col(chapter).alias("_n"), F.col(title).alias("_t"), F.coalesce("_b.blocks", F.array().cast("array<string>")).alias("_x"))
+    plain = F.col("way") != "regex"
+    kept = F.filter("_x", lambda x: x.isNotNull() & ~T.echoes_title(x, F.col("_n"), F.col("_t")) & ~(plain & T.is_noise_line(x, markers)))
+    marked = held.withColumn("_k", kept)
+    once = F.filter("_k", lambda x, i: ~plain | (i == 0) | (F.get("_k", i - 1) != x))
+    return marked.withColumn("_o", once).select(key, F.array_join("_o", "\n\n").alias("body"), F.size("_o").cast("long").alias("paragraphs"), "way")
 
 
 def files(rows: DataFrame, volume: str, volume_name: str, chapter: str, title: str, series: Column, body: str) -> DataFrame:
@@ -45,6 +42,54 @@ def files(rows: DataFrame, volume: str, volume_name: str, chapter: str, title: s
     return rows.select(F.concat(folder, F.lit("/"), name).alias("path"), chapter_content(series, F.col(chapter), F.col(title), F.col(body)).alias("content"))
 
 
+def paged_files(pages: DataFrame, slices: DataFrame, doc: str, series: str) -> DataFrame:
+    """path and content of volumes and chapters cut from pages (doc, page, text), from slices as O.clip_slices gives them.
+
+    slices: doc, kind (volume or chapter), number, title, volume_number, volume_title, clip_start, clip_end, status. A failed slice
+    has no file; a page that is missing is empty. A volume's file lies beside the folder of its chapters.
+    """
+    cut = slices.where("status <> 'failed'").withColumn("page", F.explode(F.sequence("clip_start", "clip_end")))
+    held = cut.join(pages.select(doc, "page", "text"), [doc, "page"], "left")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", F.coalesce("text", F.lit("")).alias("text")))), lambda x: x["text"]), "\n\n")
+    whole = held.groupBy(doc, "kind", "number", "title", "volume_number", "volume_title").agg(joined.alias("body"))
+    name, number = T.clean_title(F.col("title")), F.col("number").cast("string")
+    head = F.when(F.col("kind") == "volume", F.concat(F.lit("Volume "), number, F.lit(": "), name)).otherwise(F.concat(F.lit("Chapter "), number, F.lit("\n"), name))
+    folder = F.when(F.col("kind") == "volume", "").otherwise(F.concat(T.volume_folder(F.col("volume_title"), F.col("volume_number")), F.lit("/")))
+    file = T.chapter_file(F.col("title"), F.col("number"), F.when(F.col("kind") == "volume", 0).otherwise(1), F.col("volume_number"))
+    return whole.select(doc, F.concat(F.col(doc).cast("string"), F.lit("/"), folder, file).alias("path"), F.concat(F.lit(f"{series}\n"), head, F.lit("\n\n"), "body").alias("content"))
+
+
+def label_stats(toc: DataFrame, doc: str, most: int = 15) -> DataFrame:
+    """Volume labels in tables of contents (doc, seq, title, level), per document: entries, structural (top entries with entries
+    below them), labels, valid (labels with a number, in digits or a well-formed roman numeral), rising (whether each valid
+    label of a kind has a greater number than the one before) and sample, the first `most` labels."""
+    inside = W.partitionBy(doc).orderBy("seq")
+    below = F.lead("level").over(inside)
+    kind, number = T.volume_label(F.col("title"))
+    rows = toc.select(doc, "seq", "title", "level", kind.alias("kind"), number.alias("number"), below.alias("_below"))
+    before = F.last("number", ignorenulls=True).over(W.partitionBy(doc, "kind").orderBy("seq").rowsBetween(W.unboundedPreceding, -1))
+    rows = rows.withColumn("_falls", F.col("kind").isNotNull() & (F.col("number") <= before))
+    rank = F.row_number().over(W.partitionBy(doc).orderBy(F.col("kind").isNull(), "seq"))
+    shown = F.when(F.col("kind").isNotNull() & (F.col("_rank") <= most), F.struct("seq", F.trim("title").alias("title")))
+    return rows.withColumn("_rank", rank).groupBy(doc).agg(
+        F.count("*").alias("entries"),
+        F.count_if((F.col("level") == 0) & (F.col("_below") > 0)).alias("structural"),
+        F.count("kind").alias("labels"),
+        F.count_if(F.col("kind").isNotNull() & F.col("number").isNotNull()).alias("valid"),
+        (F.count_if("_falls") == 0).alias("rising"),
+        F.transform(F.sort_array(F.collect_list(shown)), lambda x: x["title"]).alias("sample"),
+    )
+
+
+def scene_texts(scenes: DataFrame, texts: DataFrame, key: str, text: str) -> DataFrame:
+    """scenes (key, line_start, line_end, ...) with `scene_text`: the chapter's lines from start to end, counted from 1, joined by
+    spaces in lower case; lines outside the chapter aren't there, and a scene without a chapter has the empty text."""
+    lines = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), r"\r\n|\r|\n"), lambda x: x)
+    held = scenes.join(texts.select(key, text), key, "left").withColumn("_l", lines)
+    kept = F.filter("_l", lambda x, i: (i + 1).between(F.col("line_start"), F.col("line_end")))
+    return held.withColumn("scene_text", F.lower(F.array_join(kept, " "))).select(*scenes.columns, "scene_text")
+
+
 def split_outline(outline: DataFrame, doc: str) -> DataFrame:
     """Outline rows (doc, seq, title, level) with `kind`: volume, chapter, or null for covers; all rows of a document without
     two volumes and a chapter are `single`, to be written as one text."""

@@ -206,10 +206,17 @@ def official_images(files: DataFrame, file: str, bad: list[str]) -> DataFrame:
     return kept.withColumn("name", name).withColumn("row_viable", viable)
 
 
-def registry_coverage(names: DataFrame, images: DataFrame, override: DataFrame) -> DataFrame:
-    """names (name) with the image found under the override's name (name, use) or their own, if any."""
+def registry_coverage(names: DataFrame, images: DataFrame, override: DataFrame, protagonists: list[str] | None = None, personas: list[str] | None = None) -> DataFrame:
+    """names (name) with the image found under the override's name (name, use) or their own, if any.
+
+    Protagonists count as having an image, that of one of their personas, which differs by scene and isn't named here; a
+    persona's image is nobody else's.
+    """
+    leads, worn = F.col("name").isin(*(protagonists or []), "\0"), F.col("name").isin(*(personas or []), "\0")
     use = names.join(override, "name", "left").withColumn("_n", F.coalesce("use", "name"))
-    return use.join(images.select(F.col("name").alias("_n"), "image").dropDuplicates(["_n"]), "_n", "left").select("name", "image", F.col("image").isNotNull().alias("has_image"))
+    held = images.where(~worn).select(F.col("name").alias("_n"), "image").dropDuplicates(["_n"])
+    got = use.join(held, "_n", "left").select("name", F.when(~leads, F.col("image")).alias("image"))
+    return got.withColumn("has_image", leads | F.col("image").isNotNull())
 
 
 def unused_images(images: DataFrame, covered: DataFrame, personas: list[str]) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Iterator
-from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.operators.scans import cut, scratch
+from quire.sources import archives
+from quire.sources.archives import toc_tree  # noqa: F401
+from quire.sources.channel import attempted
+from quire.sources.named import write_named
 
 SCENES = "chapter INT, scenes ARRAY<STRUCT<line_start INT, line_end INT, protagonist_present BOOLEAN, protagonist_persona STRING, other_characters ARRAY<STRING>, setting STRING, text_anchor STRING>>"
 DURATIONS = "Ch INT, Sec DOUBLE"
@@ -20,7 +22,7 @@ MANIFEST = "title STRING, name STRING, kind STRING, row_viable BOOLEAN, url STRI
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """path, folder, filename and size of files below `path`; contents aren't read."""
+    """path, folder, filename and size of files below `path`; contents aren't read. Spark lists no files of zero bytes."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
     name = F.element_at(F.split("path", "/"), -1)
     return files.select("path", F.element_at(F.split("path", "/"), -2).alias("folder"), name.alias("filename"), F.col("length").alias("size"))
@@ -120,87 +122,40 @@ def durations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def books(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of EPUB archives: path, opf, id, href, media, properties, spine (null: not in it), content (bytes)."""
-    schema = "path string, opf string, id string, href string, media string, properties string, spine int, content binary"
-
-    def one(path: str, data: bytes) -> list[dict]:
-        space = {"c": "urn:oasis:names:tc:opendocument:xmlns:container", "o": "http://www.idpf.org/2007/opf"}
-        with zipfile.ZipFile(io.BytesIO(data)) as z:
-            opf = ElementTree.fromstring(z.read("META-INF/container.xml")).find(".//c:rootfile", space).get("full-path")
-            root, names = ElementTree.fromstring(z.read(opf)), set(z.namelist())
-            order = {x.get("idref"): i for i, x in enumerate(root.iterfind(".//o:spine/o:itemref", space))}
-            base = opf.rpartition("/")[0]
-            rows = []
-            for x in root.iterfind(".//o:manifest/o:item", space):
-                full = f"{base}/{x.get('href')}" if base else x.get("href")
-                rows.append({"path": path, "opf": opf, "id": x.get("id"), "href": x.get("href"), "media": x.get("media-type"), "properties": x.get("properties"), "spine": order.get(x.get("id")), "content": z.read(full) if full in names else None})
-            return rows
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = pa.schema([("path", pa.string()), ("opf", pa.string()), ("id", pa.string()), ("href", pa.string()), ("media", pa.string()), ("properties", pa.string()), ("spine", pa.int32()), ("content", pa.binary())])
-        for batch in batches:
-            for p, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_pylist(one(p, data), schema=kinds)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
-
-
-def toc_location(entries: DataFrame) -> DataFrame:
-    """Per book, where its table of contents is: the item with property nav, else the NCX."""
-    nav = F.array_contains(F.split(F.coalesce("properties", F.lit("")), r"\s+"), "nav")
-    rank = F.when(nav, 0).when(F.col("media") == "application/x-dtbncx+xml", 1)
-    return entries.withColumn("_r", rank).where("_r is not null").groupBy("path").agg(F.min_by("href", F.struct("_r", "href")).alias("toc"))
-
-
-def toc_tree(content: bytes | None) -> list[tuple[int, str, str, int]]:
-    """(seq, href, title, level) of a nav document or NCX in pre-order; entries without link or title only pass their children."""
-    if not content:
-        return []
-    local = lambda e: e.tag.rpartition("}")[2] if isinstance(e.tag, str) else ""
-    words = lambda e: " ".join("".join(e.itertext()).split())
-    out: list[tuple[int, str, str, int]] = []
-
-    def add(href, title, level):
-        if href and title:
-            out.append((len(out), href, title, level))
-
-    def nav(ol, level):
-        for li in (x for x in ol if local(x) == "li"):
-            link = next((x for x in li.iter() if local(x) == "a"), None)
-            head = link if link is not None and link in list(li) else next((x for x in li if local(x) in ("a", "span")), None)
-            if head is not None:
-                add(head.get("href"), words(head), level)
-            for sub in (x for x in li if local(x) == "ol"):
-                nav(sub, level + 1)
-
-    def ncx(point, level):
-        for p in (x for x in point if local(x) == "navPoint"):
-            label = next((x for x in p.iter() if local(x) == "text"), None)
-            target = next((x for x in p if local(x) == "content"), None)
-            add(target.get("src") if target is not None else None, words(label) if label is not None else "", level)
-            ncx(p, level + 1)
-
-    root = ElementTree.fromstring(content)
-    for e in root.iter():
-        if local(e) == "navMap":
-            ncx(e, 0)
-        elif local(e) == "nav":
-            for ol in (x for x in e if local(x) == "ol"):
-                nav(ol, 0)
-    return out
+    """Entries of EPUB archives with their content: the columns of archives.BOOK, path, content, status and reason."""
+    return archives.contents(archives.entries(listing(spark, path)))
 
 
 def toc_entries(rows: DataFrame) -> DataFrame:
-    """path, seq, href, title, level from rows (path, content) of tables of contents."""
+    """path, seq, href, title, level from rows (path, content) of tables of contents; malformed ones give a row with the reason."""
+    return attempted(rows, ["content"], archives.toc_tree, "seq long, href string, title string, level int", ["path"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(p, *x) for p, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for x in toc_tree(c)]
-            columns = list(zip(*found, strict=True)) or [[]] * 5
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["path", "seq", "href", "title", "level"])
 
-    return rows.select("path", "content").mapInArrow(run, "path string, seq long, href string, title string, level int")
+def formatted(files: DataFrame, root: str, heads: list[str]) -> DataFrame:
+    """Texts for speech of files (path, content: bytes) below `root`: path relative to it, content, status and reason.
+
+    Lines are those of C.spoken_lines, each ended by a line feed. A file that isn't UTF-8 has no content and says so; one without
+    words becomes empty.
+    """
+    from quire.operators import chapters as C
+
+    name = F.expr(f"substring(path, length('{root.rstrip('/')}') + 2)") if root else F.col("path")
+    read = attempted(files.select(name.alias("path"), F.col("content").alias("raw")), ["raw"], lambda raw: [((raw or b"").decode(),)], "text string", ["path"])
+    lines = read.where("status = 'ok'").select("path", F.posexplode(F.split("text", "\n")).alias("n", "line")).withColumn("line", F.regexp_replace("line", "\r$", ""))
+    spoken = C.spoken_lines(lines, "path", "n", "line", heads)
+    each = F.transform(F.sort_array(F.collect_list(F.struct("par", "line"))), lambda x: F.concat(x["line"], F.lit("\n")))
+    whole = spoken.groupBy("path").agg(F.array_join(each, "").alias("content"))
+    return read.join(whole, "path", "left").select("path", F.when(F.col("status") == "ok", F.coalesce("content", F.lit(""))).alias("content"), "status", "reason")
+
+
+def format_folder(spark: SparkSession, source: str, target: str, heads: list[str]) -> DataFrame:
+    """Write the texts for speech of all .txt files below `source` to the same relative paths below `target`; the status of each."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(source).select("path", "content")
+    top = spark._jvm.org.apache.hadoop.fs.Path(source)
+    root = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString()
+    done = cut(formatted(files, root, heads), scratch(spark), "formatted")
+    write_named(done.where("status = 'ok'").select("path", "content"), target)
+    return done.select("path", "status", "reason")
 
 
 # Sinks
@@ -231,29 +186,6 @@ def write_report(records: DataFrame, summary: DataFrame, path: str) -> None:
     records.write.mode("overwrite").json(f"{path}/records")
 
 
-def write_named(rows: DataFrame, path: str) -> int:
-    """Text files with the names in rows (path `folder/name`, content), unique; returns how many.
-
-    Spark writes each as a part file of its own, ended by a line feed; the driver then only renames, through the file system of
-    the path.
-    """
-    spark = rows.sparkSession
-    parts = rows.select(F.substring_index("path", "/", 1).alias("_folder"), F.substring_index("path", "/", -1).alias("_file"), F.col("content").alias("value"))
-    parts.write.mode("overwrite").partitionBy("_folder", "_file").text(f"{path}/_parts")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    at = hadoop.Path(path)
-    fs, done = at.getFileSystem(spark._jsc.hadoopConfiguration()), 0
-    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    for f in fs.globStatus(hadoop.Path(f"{path}/_parts/*/*/part-*")):
-        folder, name = (unescape(p.getName().partition("=")[2]) for p in (f.getPath().getParent().getParent(), f.getPath().getParent()))
-        fs.mkdirs(hadoop.Path(at, folder))
-        target = hadoop.Path(hadoop.Path(at, folder), name)
-        fs.delete(target, False)
-        done += bool(fs.rename(f.getPath(), target))
-    fs.delete(hadoop.Path(f"{path}/_parts"), True)
-    return done
-
-
 def write_ledgers(ledgers: dict[str, DataFrame], path: str) -> None:
     """Each ledger (progress, completed, failed, ...) as JSON in a folder of its name, replacing what was there."""
     for name, rows in ledgers.items():

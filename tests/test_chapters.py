@@ -114,7 +114,7 @@ def test_outlines(spark):
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(1, "Birds: a", n, f"T {n}?", f"body {n}\nend") for n in (2, 1)], "v int, name string, n int, title string, b string")
     assert S.write_named(C.files(rows, "v", "name", "n", "title", F.lit("S"), "b"), f"file://{tmp_path}/out") == 2
-    assert (tmp_path / "out/Volume_1_Birds_a/Chapter_1_T_1.txt").read_text() == "S\nChapter 1: T 1?\n\nbody 1\nend\n"
+    assert (tmp_path / "out/Volume_1_Birds_a/Chapter_1_T_1.txt").read_text() == "S\nChapter 1: T 1?\n\nbody 1\nend"
     ledger = spark.createDataFrame([("a", "failed"), ("b", "done"), ("c", None)], "k string, state string")
     S.write_ledgers({"completed": ledger.where("state = 'done'"), "all": ledger}, f"file://{tmp_path}/ledgers")
     assert spark.read.json(f"file://{tmp_path}/ledgers/all").count() == 3
