@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators import chapters as C
 from quire.operators import ledger as L
+from quire.operators import names as N
 from quire.operators import ordered as O
 from quire.operators import relational as R
 from quire.plans.catalogue import _LINES, lines_of, query, table
@@ -435,3 +436,13 @@ def range_many(spark: SparkSession, sf_dir: str) -> DataFrame:
 def project_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = _listing(spark, sf_dir).withColumn("filename", F.when(F.col("filename").endswith(".md"), "project.json").otherwise(F.col("filename")))
     return S.projects(files)
+
+
+@query(r"""
+with n as (select distinct lower(unnest(regexp_extract_all(text, '[A-Za-z]{4,}'))) as name from benchmark), t as (select conv_id, turn, lower(text) as low from conversations)
+select conv_id, turn, name, strpos(low, name) - 1 as first from t, n where contains(low, name)
+""")
+def names_in_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of the benchmark that each message holds, also as parts of words."""
+    names = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{4,}"), F.lit(0))).alias("name"))
+    return N.occurrences(table(spark, sf_dir, "conversations"), names, ["conv_id", "turn"]).select("conv_id", "turn", "name", "first")
