@@ -25,15 +25,18 @@ gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm._common import Words, cut, drop_path, grams, mix, scratch, utf8
+from quire.operators import scans
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints below one prefix, roughly; node pairs in a chunk; member pairs at which a node pair is compared directly.
@@ -302,19 +305,28 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     return rows.join(whole, "fp").select(F.col("k").alias(key), "fp", "component")
 
 
-def similar(prints: np.ndarray, texts: list[bytes], shingle: int, most: int) -> np.ndarray:
+def shingles(text: bytes, shingle: int) -> np.ndarray:
+    """The names of a text's distinct shingles, sorted."""
+    name = Words([text.lower()]).name
+    return np.unique(grams(name, min(shingle, len(name)))) if len(name) else name
+
+
+def similar(prints: np.ndarray, texts: list[bytes], shingle: int, most: int, label: np.ndarray | None = None) -> np.ndarray:
     """For texts in the order of their keys, the place of the first member of each one's component.
 
-    Two texts link if they share ALIKE of their distinct shingles; fingerprints more than `most` bits apart aren't compared.
+    Two texts link if they share ALIKE of their distinct shingles; fingerprints more than `most` bits apart aren't compared, nor
+    are texts that are known to be in one component (label).
     """
-    sets = []
-    for text in texts:
-        name = Words([text.lower()]).name
-        sets.append(np.unique(grams(name, min(shingle, len(name)))) if len(name) else name)
+    sets = [shingles(text, shingle) for text in texts]
     size = np.array([len(x) for x in sets], dtype=np.int64)
     start = np.cumsum(size) - size
     known, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    label, marked, (part, whole) = np.arange(len(texts)), np.zeros(len(known), dtype=bool), ALIKE
+    marked, (part, whole) = np.zeros(len(known), dtype=bool), ALIKE
+    if label is None:
+        label = np.arange(len(texts))
+    else:
+        _, first, same = np.unique(label, return_index=True, return_inverse=True)
+        label = first[same]
     for i in range(len(texts) - 1):
         j = i + 1 + np.flatnonzero(label[i + 1 :] != label[i])
         j = j[whole * np.minimum(size[j], size[i]) >= part * np.maximum(size[j], size[i])]
@@ -333,24 +345,79 @@ def similar(prints: np.ndarray, texts: list[bytes], shingle: int, most: int) ->
     return label
 
 
-def verified(members: DataFrame, shingle: int, most: int) -> DataFrame:
+def confirmed(pairs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
+    """The pairs (u, w) whose texts are alike."""
+    part, whole = ALIKE
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            on = []
+            for a, b in zip(utf8(batch.column(2)), utf8(batch.column(3)), strict=True):
+                x, y = shingles(a, shingle), shingles(b, shingle)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                on.append(whole * shared >= part * (len(x) + len(y) - shared))
+            yield batch.select([0, 1]).filter(pa.array(on, pa.bool_()))
+
+    of = lambda end, name: members.select(F.col("v").alias(end), F.col("text").alias(name))
+    # A hub's text is one row on its side, so that a skewed join is split.
+    return pairs.select("u", "w").join(of("u", "a"), "u").join(of("w", "b"), "w").select("u", "w", "a", "b").mapInArrow(check, pair_of(members))
+
+
+def block_pairs(blocks: DataFrame) -> DataFrame:
+    """candidate, a and b: the blocks that have to be compared, a <= b. blocks: candidate, block, lo and hi (the least and greatest
+    label in it); a candidate's blocks are in order of labels.
+
+    Blocks of one and the same label aren't, so a component of any size costs its blocks times the blocks with other labels.
+    """
+    inside = W.partitionBy("candidate").orderBy("block")  # a row for each block, not for its members
+    change = F.when(~F.col("hi").eqNullSafe(F.lag("hi").over(inside)), F.col("block"))
+    marked = blocks.withColumn("change", change).withColumn("last", F.max("block").over(W.partitionBy("candidate")))
+    after = F.min("change").over(inside.rowsBetween(1, W.unboundedFollowing))
+    first = marked.withColumn("first", F.when(F.col("lo") == F.col("hi"), after).otherwise(F.col("block"))).where("first is not null")
+    return first.select("candidate", F.col("block").alias("a"), F.explode(F.sequence("first", "last")).alias("b"))
+
+
+def verified(members: DataFrame, forest: DataFrame, shingle: int, most: int, folder: str) -> DataFrame:
     """Links (u, w: u > w) that connect the same members as all pairs of one `candidate` with a similarity of ALIKE do.
 
-    members: candidate, v, fp, text. A candidate of more than BLOCK bytes is dealt into blocks, and a task takes two of them.
+    members: candidate, v, fp, text. forest: links between fingerprints that make the candidates (u, w: the least v of each).
+    A candidate of BLOCK bytes or less is one task's work. Of a larger one the links of the forest are verified first, which
+    connects nearly all of a group of copies; then members are dealt into blocks in order of what is connected, and a task takes two
+    blocks, unless all their members are connected already.
     """
-    size = members.groupBy("candidate").agg(F.ceil(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8) / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(size, "candidate").withColumn("mine", F.expr("CAST(pmod(xxhash64(v), blocks) AS INT)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = dealt.select("candidate", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "v", "fp", "text")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
+    whole = members.groupBy("candidate").agg(F.sum(size).alias("bytes"))
+    sized = members.join(whole, "candidate")
 
     def join(table: pa.Table) -> pa.Table:
         table = table.sort_by("v")
         v = table.column("v")
         prints = np.array(table.column("fp").combine_chunks().flatten()).view(np.uint64).reshape(len(v), -1)
-        root = similar(prints, utf8(table.column("text")), shingle, most)
+        label = None
+        if "label" in table.column_names:
+            label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        root = similar(prints, utf8(table.column("text")), shingle, most, label)
         moved = np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"u": v.take(moved), "w": v.take(root[moved])})
 
-    return dealt.groupBy("candidate", "a", "b").applyInArrow(join, pair_of(members)).distinct()
+    few = sized.where(F.col("bytes") <= BLOCK).select("candidate", "v", "fp", "text").groupBy("candidate").applyInArrow(join, pair_of(members))
+    large = cut(sized.where(F.col("bytes") > BLOCK).select(*members.columns), folder, "large")
+    if not large.limit(1).count():
+        return few
+    ends = large.select(F.col("v").alias("u"))
+    least = large.groupBy("fp").agg(F.min("v").alias("w"))
+    twins = large.select("fp", F.col("v").alias("u")).join(least, "fp").where("u <> w").select("u", "w")
+    sure = cut(confirmed(forest.join(ends, "u", "left_semi").unionByName(twins), large, shingle), folder, "sure")
+    known = components(sure, f"{folder}/sure_of")
+    labelled = cut(large.select("candidate", "v", size.alias("bytes")).join(known, "v", "left").select("candidate", F.coalesce("root", "v").alias("label"), "v", "bytes"), folder, "labelled")
+    run = scans.scan(labelled, ["candidate", "label", "v"], {"_s": scans.Running("sum", F.col("bytes"))})
+    placed = cut(run.select("candidate", "label", "v", F.floor((F.col("_s") - F.col("bytes")) / BLOCK).alias("block")), folder, "placed")
+    blocks = placed.groupBy("candidate", "block").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    pairs = cut(block_pairs(blocks), folder, "pairs")
+    ways = pairs.select("candidate", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    dealt = placed.join(ways, ["candidate", "block"]).join(large.select("v", "fp", "text"), "v")
+    many = dealt.groupBy("candidate", "a", "b").applyInArrow(join, pair_of(members))
+    return few.unionByName(sure).unionByName(many).distinct()
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 5, radius: int = 13, words: int = 4, most: int = 63, searched: int = 2) -> DataFrame:
@@ -360,14 +427,15 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     `searched` words differs in `radius` bits at most and all words in `most` bits at most. Texts of similarity 0.8 differ in 39
     of 256 bits on average, with a standard deviation of 6, and in 9.8 bits of a word, with one of 2.9, so about one pair in a
     hundred at exactly 0.8 and far fewer above it aren't candidates. What candidates link, directly or in chains, is compared
-    exactly (by 64-bit names of shingles). Rows with a null key are kept; an empty table gives no rows.
+    exactly (by 64-bit names of shingles; `verified`). Rows with a null key are kept; an empty table gives no rows.
     """
     folder = scratch(docs.sparkSession)
     named = docs.select(F.col(key).alias("k"), fingerprint_column(F.col(text), shingle, words, True).alias("fp"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("same"))
     rows = cut(named.where("k is not null"), folder, "rows")
     texts = cut(rows.groupBy("fp", "same").agg(F.min("k").alias("v")), folder, "texts")
     prints = cut(texts.groupBy("fp").agg(F.min("v").alias("v")), folder, "prints")
-    near = components(links(prints, radius, most, searched), f"{folder}/near")
+    forest = cut(links(prints, radius, most, searched), folder, "forest")
+    near = components(forest, f"{folder}/near")
     candidates = prints.join(near, "v", "left").select("fp", F.coalesce("root", "v").alias("candidate"))
     dealt = cut(texts.join(candidates, "fp").drop("same"), folder, "dealt")
     several = dealt.groupBy("candidate").agg(F.count("*").alias("n")).where("n > 1").select("candidate")
@@ -376,9 +444,11 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     compared = cut(members.select("v"), folder, "compared")
     sent = docs.select(F.col(key).alias("v"), F.col(text).alias("text")).join(compared, "v", "left_semi")
     whole = cut(sent.join(members, "v").dropDuplicates(["v"]), folder, "whole")
-    found = components(verified(whole, shingle, most), f"{folder}/found")
+    found = components(verified(whole, forest, shingle, most, folder), f"{folder}/found")
     first = texts.join(found, "v", "left").select("fp", "same", F.coalesce("root", "v").alias("component"))
     gone = cut(rows.join(first, ["fp", "same"]).where("k <> component").select(F.col("k").alias(key)).distinct(), folder, "gone")
+    for name in ("rows", "texts", "prints", "forest", "near", "dealt", "members", "compared", "whole", "found", "large", "sure", "sure_of", "labelled", "placed", "pairs"):
+        drop_path(docs.sparkSession, f"{folder}/{name}")
     return docs.join(gone, key, "left_anti")
 
 

@@ -357,3 +357,34 @@ def test_query_on_small_tables(spark):
     prints = [plain_fingerprint(docs[k]) for k in keys]
     assert found == {k: (p, keys[r]) for k, p, r in zip(keys, prints, plain_components(prints, 4), strict=True)}
     assert decontaminate.op3_decontaminate(spark, sf).select(F.min("similarity")).first()[0] >= 0.8
+
+
+def test_block_pairs(spark):
+    """Blocks of one label are compared with those of others only, each pair once."""
+    rng = random.Random(2)
+    for _ in range(6):
+        labels = sorted(rng.choice([1, 1, 1, 1, 2, 3, 9]) for _ in range(40))
+        blocks = {}
+        for i, x in enumerate(labels):
+            blocks.setdefault(i // 3, []).append(x)
+        rows = [(7, b, min(x), max(x)) for b, x in blocks.items()] + [(8, 50, 4, 4), (8, 51, 4, 4), (9, 60, 1, 2)]
+        got = sorted((r["candidate"], r["a"], r["b"]) for r in simhash.block_pairs(spark.createDataFrame(rows, "candidate int, block long, lo int, hi int")).collect())
+        want = [(7, a, b) for a in blocks for b in blocks if a <= b and len({*blocks[a], *blocks[b]}) > 1 and (a < b or len({*blocks[a]}) > 1)]
+        assert got == sorted([*want, (9, 60, 60)])
+
+
+def test_large_groups_of_copies(spark, monkeypatch):
+    """A group of many blocks: near copies in a chain and around a hub, with others that only their fingerprints bring in."""
+    monkeypatch.setattr(simhash, "BLOCK", 4000)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for k in range(60):
+        w = list(base)
+        for _ in range(2):
+            w[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(w)))
+    rows += [(100 + k, " ".join([*base[:225], *[f"y{k}.{i}" for i in range(75)]])) for k in range(15)]  # similarity below 0.8 to all
+    rows += [(200 + k, " ".join([*base[:225], *[f"y{k}.{i}" for i in range(74)], "z"])) for k in range(0, 15, 2)]  # alike to one each
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert {r["doc_id"] for r in kept.collect()} == plain_kept(rows)
