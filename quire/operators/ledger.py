@@ -62,6 +62,13 @@ def finished_videos(base: DataFrame, update: DataFrame, audio: DataFrame, key: s
     return got.withColumns(fill).select(base.columns)
 
 
+def uploads(log: DataFrame, filename: str, seq: str, playlist: str) -> tuple[DataFrame, DataFrame]:
+    """The upload ledger, the last record of each file (without a playlist that is null: `playlist` then is null), and its totals:
+    total_uploaded (files), in_playlist and last_upload (the greatest seq)."""
+    held = latest(log.where(F.col(filename).isNotNull()), filename, seq)
+    return held, held.agg(F.count("*").alias("total_uploaded"), F.count(playlist).alias("in_playlist"), F.max(seq).alias("last_upload"))
+
+
 def latest(log: DataFrame, key: str, seq: str) -> DataFrame:
     """One row per key: the last record."""
     picked = log.groupBy(key).agg(F.max_by(F.struct(*[c for c in log.columns if c != key]), F.col(seq)).alias("_r"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -180,16 +181,42 @@ def write_queue(rows: DataFrame, made: DataFrame, path: str) -> None:
     pending.select(F.concat_ws("|", "filename", "title").alias("value")).write.mode("overwrite").text(path)
 
 
+def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> None:
+    """Each table as JSON lines in a folder of its name below `path`, all at once: they are written beside it, and one rename puts
+    them in the place of what was there. If one can't be written, what was there stays."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, staging, old = (hadoop.Path(path.rstrip("/") + end) for end in ("", f"-{uuid.uuid4().hex}", f"-{uuid.uuid4().hex}-old"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        for name, rows in tables.items():
+            rows.write.json(f"{staging}/{name}")
+        if fs.exists(target):
+            fs.rename(target, old)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(staging, target):
+            raise OSError(f"{path} can't be published")
+        fs.delete(old, True)
+    finally:
+        fs.delete(staging, True)
+
+
 def write_report(records: DataFrame, summary: DataFrame, path: str) -> None:
     """A JSON report: the summary row in `summary`, the records in `records`, a document each line."""
-    summary.write.mode("overwrite").json(f"{path}/summary")
-    records.write.mode("overwrite").json(f"{path}/records")
+    publish(records.sparkSession, {"summary": summary, "records": records}, path)
 
 
 def write_ledgers(ledgers: dict[str, DataFrame], path: str) -> None:
-    """Each ledger (progress, completed, failed, ...) as JSON in a folder of its name, replacing what was there."""
-    for name, rows in ledgers.items():
-        rows.write.mode("overwrite").json(f"{path}/{name}")
+    """Each ledger (progress, completed, failed, ...) as JSON in a folder of its name, replacing what was there as a whole."""
+    if ledgers:
+        publish(next(iter(ledgers.values())).sparkSession, ledgers, path)
+
+
+def checked_inputs(wanted: DataFrame, files: DataFrame, extension: str, key: str = "path") -> DataFrame:
+    """wanted (key) with `problem`: missing, empty, wrong type (not the extension, in any case), or null for a file that is there."""
+    held = files.select(F.col("path").alias(key), F.col("size").alias("_size")).dropDuplicates([key])
+    wrong = ~F.lower(F.col(key)).endswith(extension.lower())
+    problem = F.when(F.col("_size").isNull(), "missing").when(wrong, "wrong type").when(F.col("_size") == 0, "empty")
+    return wanted.join(held, key, "left").withColumn("problem", problem).drop("_size")
 
 
 def markdown_rows(rows: DataFrame, columns: list[str]) -> DataFrame:

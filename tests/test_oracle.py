@@ -3,7 +3,7 @@
 import pytest
 from oracle import connect, differences
 
-from quire.plans import books, catalogue, media  # noqa: F401
+from quire.plans import books, catalogue, media, trips  # noqa: F401
 
 SF_DIR = "/root/testdata/sf0.001"
 
