@@ -1,52 +1,26 @@
-"""Shared helpers: the shared scratch folder, lineage cuts and vectorised word arrays."""
+"""Shared helpers: folders and vectorised word arrays."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from xxhash import xxh3_128_digest
 
+from quire.operators.scans import cut, scratch  # noqa: F401
+
 #: Odd multipliers of the polynomial word hash and its finaliser (arbitrary fixed values).
 WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX_A = np.uint64(0xFF51AFD7ED558CCD)
 MIX_B = np.uint64(0xC4CEB9FE1A85EC53)
 
 
-def scratch(spark: SparkSession) -> str:
-    """A fresh folder under the shared folder named by spark.checkpoint.dir.
-
-    Only where that setting is absent, and only on a local master, a temporary folder stands in.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = held.get() if held.isDefined() else None
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="quire-")
-    path = f"{root.rstrip('/')}/quire-{uuid.uuid4().hex}"
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
-    return path
-
-
 def drop_path(spark: SparkSession, path: str) -> None:
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def cut(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it again, which ends its lineage."""
-    path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

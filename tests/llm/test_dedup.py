@@ -356,7 +356,15 @@ def test_query_on_small_tables(spark):
     keys = sorted(docs)
     prints = [plain_fingerprint(docs[k]) for k in keys]
     assert found == {k: (p, keys[r]) for k, p, r in zip(keys, prints, plain_components(prints, 4), strict=True)}
-    assert decontaminate.op3_decontaminate(spark, sf).select(F.min("similarity")).first()[0] >= 0.8
+    items = sorted((r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect())
+    grams = lambda t: {tuple(w[i : i + 5]) for w in [(t or "").lower().split()] for i in range(len(w) - 4)}
+    of_items, want = [(i, t, grams(t)) for i, t in items], {}
+    for k, t in docs.items():
+        mine = grams(t)  # an item of five words or more without a shingle in common has no similarity
+        near = [(i, u) for i, u, g in of_items if g & mine or len(u.split()) < 5]
+        want |= plain_matches([(k, t)], near) if near else {}
+    reported = {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in decontaminate.op3_decontaminate(spark, sf).collect()}
+    assert reported == want and want
 
 
 def test_block_pairs(spark):

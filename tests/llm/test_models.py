@@ -15,21 +15,21 @@ from quire.llm import fingerprints, language_id, quality, quotes, sharding
 SF = "/root/testdata/sf0.001"
 
 
-def test_code_lengths_are_those_of_a_plain_model(spark):
-    rows = [(1, "the cat sat on the mat", "en"), (2, "der hund und die katze", "de"), (3, None, "en"), (4, "x", None)]
-    trees = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    counts = {"en": defaultdict(Counter), "de": defaultdict(Counter)}
+def plain_trees(rows):
+    """A function for the bits of a text in a language, by contexts counted one by one. rows: text and language."""
+    counts = defaultdict(lambda: defaultdict(Counter))
 
     def contexts(text):
-        data, last = (b" " + text.encode()), 0
+        data, last = b" " + re.sub(rb"[\x09-\x0D]", b" ", text.encode()), 0
         for i, byte in enumerate(data):
-            last = i if byte in b" \n" else last
+            last = i if byte == 32 else last
             yield data, i, min(i - last, language_id.ORDER)
 
-    for _, t, lang in rows[:2]:
+    for t, lang in rows:
         for data, i, place in contexts(t):
             for k in range(place + 1):
                 counts[lang][data[i - k : i]][data[i]] += 1
+    sums = {lang: {c: (sum(x.values()), len(x)) for c, x in found.items()} for lang, found in counts.items()}
 
     def bits(text, lang):
         total = 0.0
@@ -41,18 +41,44 @@ def test_code_lengths_are_those_of_a_plain_model(spark):
                 seen = counts[lang].get(data[i - k : i])
                 if not seen:
                     continue
-                n, d = sum(seen.values()), len(seen)
+                n, d = sums[lang][data[i - k : i]]
                 if data[i] in seen:
                     total -= math.log2(seen[data[i]] / (n + d))
                     break
                 total -= math.log2(d / (n + d))
         return total
 
+    return bits
+
+
+def test_code_lengths_are_those_of_a_plain_model(spark):
+    rows = [(1, "the cat sat on the mat", "en"), (2, "der hund und die katze", "de"), (3, None, "en"), (4, "x", None)]
+    trees = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    bits = plain_trees([r[1:] for r in rows[:2]])
     for text in ("the mat", "die katze sat", "zzz éa", ""):
         got, _ = trees.measure([text.encode()])
         assert got[0] == pytest.approx([bits(text, lang) for lang in trees.langs], rel=1e-4)
 
 
+def test_language_query_by_a_plain_model(spark):
+    """Predictions and scores of all documents by counting and looking up every context by itself."""
+    docs = sorted(tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect())
+    held = lambda k: zlib.crc32(str(k).encode()) % 3 == 1
+    rows = [(t, lang) for k, t, lang in docs if not held(k) and lang is not None and t is not None]
+    bits, langs = plain_trees(rows), sorted({lang for _, lang in rows})
+    got = {r["doc_id"]: r for r in language_id.op7_language_id(spark, SF).collect()}
+    assert len(got) == len(docs)
+    for k, t, _ in docs:
+        r = got[k]
+        assert r["held_out"] == held(k)
+        if not any(c.isalpha() for c in t or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+        elif len(t) < 4000 or k % 10 == 0:  # the plain model takes about a second for 20,000 characters
+            b = [bits(t, lang) for lang in langs]
+            assert r["lang_pred"] == langs[b.index(min(b))]
+            assert r["score"] == pytest.approx(1 / sum(2 ** -min((x - min(b)) / (len(t.encode()) + 1) * 8, 60) for x in b), abs=1e-3)
+
+
 def test_language_edges(spark):
     rows = [(1, "the cat sat on the mat", "en"), (2, "der hund und die katze", "de")]
     trees = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
@@ -175,6 +201,18 @@ def test_sharding(spark):
     assert sharding.assign(spark.createDataFrame([], "doc_id long, text string"), 16).count() == 0
 
 
+def test_sharding_of_long_texts(spark):
+    """A text larger than a shard's part stays whole in one shard; the others share what is left."""
+    rows = [(0, "long text " * 100_000), *[(k, f"short {k} " * 20) for k in range(1, 400)], (400, "long text " * 100_000)]
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert len(got) == 401 and {r["size"] for r in got if r["doc_id"] in (0, 400)} == {1_000_001}
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(len(s) for s in slots.values()) < 300
+
+
 def test_sharding_of_null_and_repeated_keys(spark):
     rows = [(None if i % 2 else 7, f"text {i} " * (i % 9)) for i in range(4000)]
     got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect()
