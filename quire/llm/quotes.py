@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from quire.llm._common import cut, drop_path, scratch
 from quire.llm.fingerprints import successors
+from quire.operators import scans
 
 _QUOTED = re.compile(r"[ \t]*((?:>[ \t]?)+)(.*)", re.DOTALL)
 _KINDS = "own string, own_hashes array<long>, quotes array<struct<level:int,text:string,hash:long,lines:array<long>>>"
@@ -89,11 +90,12 @@ def parsed(messages: DataFrame, text: str, ids: list[str]) -> DataFrame:
 
 def sources(wanted: DataFrame, known: DataFrame) -> DataFrame:
     """wanted (q, conv, turn, hash) with the source of each hash: src_conv, src_turn (null: none). known: conv, turn, hash."""
-    # Within the conversation: the latest earlier turn, over the turns of one conversation and hash only.
+    # Within the conversation: the latest earlier turn, by one scan over all turns in order, so that no task gets a whole conversation.
     events = known.select("conv", "hash", "turn", F.lit(1).alias("is_source"), F.lit(None).cast("string").alias("q")).distinct()
     asked = wanted.select("conv", "hash", "turn", F.lit(0).alias("is_source"), "q")
-    before = W.partitionBy("conv", "hash").orderBy("turn", "is_source").rowsBetween(W.unboundedPreceding, -1)
-    near = events.unionByName(asked).withColumn("src_turn", F.last(F.when(F.col("is_source") == 1, F.col("turn")), ignorenulls=True).over(before)).where("is_source = 0")
+    source = F.when(F.col("is_source") == 1, F.struct(F.col("conv").alias("c"), F.col("hash").alias("h"), F.col("turn").alias("t")))
+    near = scans.scan(events.unionByName(asked), ["conv", "hash", "turn", "is_source"], {"_s": scans.Running("last", source)}).where("is_source = 0")
+    near = near.withColumn("src_turn", F.when((F.col("_s.c") == F.col("conv")) & (F.col("_s.h") == F.col("hash")), F.col("_s.t"))).drop("_s")
     each = known.groupBy("hash", "conv").agg(F.min("turn").alias("turn"))
     first = each.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("first"))
     # The first message of the next conversation, for those who ask from the conversation of the first.
