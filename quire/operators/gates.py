@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 
 from quire.operators import scans as S
 
+#: Events handled by one task at a time, as a power of two.
+CHUNK = 17
+
 
 def segments(keys: pa.ChunkedArray) -> np.ndarray:
     """Where runs of equal keys start, and the end of the last; null is a key."""
@@ -76,7 +79,7 @@ def entries_of(table: DataFrame, key: str, gap: int, folder: str) -> DataFrame:
     return first.select("_m").unionByName(follow.join(reached, "u").select("_m")).distinct()
 
 
-def rate_gate(rows: DataFrame, key: str, ts: str, per_hour: float | None, tie: tuple[str, ...] = (), chunk: int = S.CHUNK) -> DataFrame:
+def rate_gate(rows: DataFrame, key: str, ts: str, per_hour: float | None, tie: tuple[str, ...] = (), chunk: int = CHUNK) -> DataFrame:
     """rows with allowed and wait_seconds: an event may follow the last allowed one of its key after an hour / rate, or ten
     minutes by default; others wait for the rest of it.
 

@@ -77,6 +77,7 @@ def first_holding(values: DataFrame, ranges: DataFrame) -> DataFrame:
     changes = winners(ranges.select(F.col("lo").cast(common).alias("lo"), F.col("hi").cast(common).alias("hi"), "rank"))
     none = F.lit(None).cast("struct<rank:bigint>")
     rows = changes.select("v", "k", "m", F.struct("rank").alias("w")).unionByName(values.select(F.col("v").cast(common).alias("v"), F.lit(1).alias("k"), F.lit(0).cast("long").alias("m"), none.alias("w")))
+    rows = S.cut(rows, S.scratch(values.sparkSession), "marks")  # counted, sampled and sorted: written once
     got = S.scan(rows, ["v", "k", "m"], {"w": S.Running("last", F.col("w"))})
     return got.where("k = 1").select(F.col("v"), F.col("w.rank").alias("rank")).where("rank is not null")
 

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Rows of a chunk as a power of two.
-CHUNK = 17
+CHUNK = 18
 
 
 def scratch(spark: SparkSession) -> str:

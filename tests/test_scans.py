@@ -58,8 +58,9 @@ def test_no_window_holds_all_rows(spark):
     """400,000 names with a common beginning: chunks stay within their size."""
     names = spark.range(400_000).select(F.concat(F.lit("Chapter_"), F.col("id").cast("string"), F.lit("_x.txt")).alias("k"))
     table = S.sorted_table(names, ["k"])
-    sizes = [r["n"] for r in table.groupBy(F.shiftright("_m", S.CHUNK)).agg(F.count("*").alias("n")).collect()]
-    assert sum(sizes) == 400_000 and max(sizes) <= 1 << S.CHUNK and len(sizes) >= 4
+    assert len({r["p"] for r in table.select(F.shiftright("_m", 33).alias("p")).distinct().collect()}) == 4
+    sizes = [r["n"] for r in table.groupBy(F.shiftright("_m", 15)).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 400_000 and max(sizes) <= 1 << 15 and len(sizes) >= 13
     got = O.batches(names, "k", 100_000).groupBy("batch").count().collect()
     assert sorted((r["batch"], r["count"]) for r in got) == [(b, 100_000) for b in range(4)]
 
