@@ -146,3 +146,14 @@ def pair_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two long lists paired by position."""
     customers = table(spark, sf_dir, "customer").select("c_name", F.struct((-F.col("c_acctbal")).alias("b"), "c_custkey").alias("o"))
     return R.pair_by_position(table(spark, sf_dir, "part").select("p_name", "p_partkey"), "p_partkey", customers, "o").select("position", "p_name", "c_name")
+
+
+@query(r"""
+select path as file_path, row_number() over (order by volume_number, chapter_number, filename) as place from (
+  select filename, path, case when folder = 'Side_Stories' then 9 else try_cast(regexp_extract(folder, '^(\d+)', 1) as int) end as volume_number, cast(regexp_extract(filename, '(?i)Chapter_(\d+)', 1) as int) as chapter_number
+  from FILES where filename like 'Chapter%.txt' and folder <> 'notes')
+""".replace("FILES", _FILES))
+def catalogue_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every chapter in the order of the catalogue."""
+    found = S.catalogue(_listing(spark, sf_dir))
+    return scans.numbered(found, ["volume_number", "chapter_number", "filename"], "place").select("file_path", (F.col("place") + 1).alias("place"))
