@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import html as H
 from quire.functions import text as T
+from quire.operators import names as N
 from quire.operators import ordered as O
 
 
@@ -119,12 +120,14 @@ def verify_tags(tags: DataFrame, texts: DataFrame, on: list[str], name: str, tex
     """
     renamed = aliases.select(F.col("alias").alias(name), F.col("canonical").alias("_c")).dropDuplicates([name])
     got = tags.join(renamed, name, "left").withColumn("_n", F.coalesce("_c", name))
-    got = got.join(texts.select(*on, F.lower(F.col(text)).alias("_t")), on, "left")
+    low = F.lower("_n")
+    words = F.transform(T.tokens(F.col("_n")), lambda w: F.lower(w))
+    got = N.held(got, texts, on, text, F.concat(F.array(low), F.coalesce(words, F.array().cast("array<string>"))), "_h")
     got = got.join(known.select(F.col("name").alias("_n")).distinct().withColumn("_k", F.lit(True)), "_n", "left")
     got = got.join(confirmed.select(*on, name).distinct().withColumn("_v", F.lit(True)), [*on, name], "left")
-    held = F.coalesce("_t", F.lit(""))
-    word = F.exists(T.tokens(F.col("_n")), lambda w: held.contains(F.lower(w)))
-    verdict = F.when(F.col(name).startswith("[") | F.col("_n").isin(*excluded, "\0"), "skipped").when(held.contains(F.lower("_n")), "grounded").when(word & F.col("_k").isNotNull(), "canonical").when(word, "invented").when(F.col("_v").isNotNull(), "verified").otherwise("notfound")
+    word = F.coalesce(F.arrays_overlap("_h", words), F.lit(False))
+    exact = F.coalesce(F.array_contains("_h", low), low == "")  # without a text only the empty name is there
+    verdict = F.when(F.col(name).startswith("[") | F.col("_n").isin(*excluded, "\0"), "skipped").when(exact, "grounded").when(word & F.col("_k").isNotNull(), "canonical").when(word, "invented").when(F.col("_v").isNotNull(), "verified").otherwise("notfound")
     return got.withColumn("verdict", verdict).select(*tags.columns, "verdict")
 
 

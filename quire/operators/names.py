@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,3 +83,17 @@ def answer(batch: pa.RecordBatch, of: list[int], rows: list[tuple], fields: T.St
     at, kinds = pa.array(of), (pa.string(), pa.int64(), pa.int64())
     made = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
     return pa.RecordBatch.from_arrays([*[batch.column(j).take(at) for j in range(batch.num_columns - 1)], *made], names=fields.names)
+
+
+def held(tags: DataFrame, texts: DataFrame, on: list[str], text: str, needles: Column, name: str = "held") -> DataFrame:
+    """tags with `name`: which of its needles (an array of lower-case strings) the text with the same keys `on` holds, null where
+    there is no such text. texts: a row for each key. Each text is read once, however many tags it has."""
+    asked = tags.withColumn("_needles", F.array_sort(F.array_distinct(F.filter(needles, lambda x: x.isNotNull()))))
+    wanted = asked.select(F.explode("_needles").alias("name"))
+    found = occurrences(texts, wanted, on, text).select(*on, F.col("name").alias("_x"))
+    each = asked.select(*on, "_needles").distinct().withColumn("_x", F.explode("_needles")).join(found, [*on, "_x"]).groupBy(*on, "_needles").agg(F.collect_set("_x").alias("_found"))
+    there = texts.where(F.col(text).isNotNull()).select(*on, F.lit(True).alias("_there"))
+    got = asked.join(each, [*on, "_needles"], "left").join(there, on, "left")
+    # Every text holds the empty needle.
+    whole = F.concat(F.coalesce("_found", F.array().cast("array<string>")), F.filter("_needles", lambda x: x == ""))
+    return got.withColumn(name, F.when(F.col("_there"), whole)).drop("_needles", "_found", "_there")

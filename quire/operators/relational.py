@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.operators.names import held
 from quire.operators.ranges import range_lookup  # noqa: F401
 from quire.operators.scans import numbered
 
@@ -122,9 +123,10 @@ def pair_by_position(a: DataFrame, a_order: str, b: DataFrame, b_order: str) ->
 def grounded(tags: DataFrame, texts: DataFrame, key: str, name: str, text: str) -> DataFrame:
     """Tags with whether the name, or one of its words of more than two letters, occurs in the text of the same key."""
     words = F.filter(F.regexp_extract_all(F.lower(F.col(name)), F.lit("[a-z']+"), F.lit(0)), lambda w: F.length(w) > 2)
-    low = F.lower(F.col(text))
-    got = tags.join(texts, key, "left")
-    return got.withColumn("exact", F.coalesce(low.contains(F.lower(F.col(name))), F.lit(False))).withColumn("by_word", F.coalesce(F.exists(words, lambda w: low.contains(w)), F.lit(False))).drop(text)
+    needles = F.concat(F.array(F.lower(F.col(name))), F.coalesce(words, F.array().cast("array<string>")))
+    got = held(tags, texts, [key], text, needles, "_held")
+    none = F.lit(False)
+    return got.withColumn("exact", F.coalesce(F.array_contains("_held", F.lower(F.col(name))), none)).withColumn("by_word", F.coalesce(F.arrays_overlap("_held", words), none)).drop("_held")
 
 
 def availability(scraped: DataFrame, curated: DataFrame) -> DataFrame:

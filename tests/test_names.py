@@ -37,3 +37,21 @@ def test_no_names(spark):
     df = spark.createDataFrame([(1, "a")], "k long, text string")
     none = spark.createDataFrame([(None,), ("",)], "name string")
     assert N.occurrences(df, none, ["k"]).count() == 0 and N.occurrences(df.limit(0), df.selectExpr("text as name"), ["k"]).count() == 0
+
+
+def test_held(spark):
+    from pyspark.sql import functions as F
+
+    from quire.operators import relational as R
+
+    texts = spark.createDataFrame([(1, "Ann met Bob. ANN left"), (2, ""), (3, None)], "k long, text string")
+    rows = [(1, "Ann"), (1, "ann"), (1, "Carl"), (1, "Carl Bob"), (1, ""), (1, None), (2, "Ann"), (2, ""), (3, ""), (4, "Bob"), (None, "Bob"), (1, "xx it"), (1, "Ann")]
+    tags = spark.createDataFrame(rows, "k long, name string")
+    got = R.grounded(tags, texts, "k", "name", "text")
+    want = []
+    for k, n in rows:
+        t = {1: "ann met bob. ann left", 2: ""}.get(k)
+        words = [w for w in (n or "").lower().split() if len(w) > 2]
+        want.append((str(k), str(n), t is not None and n is not None and n.lower() in t, t is not None and any(w in t for w in words)))
+    assert sorted((str(r["k"]), str(r["name"]), r["exact"], r["by_word"]) for r in got.collect()) == sorted(want)
+    assert N.held(tags, texts, ["k"], "text", F.array(F.lower("name"))).columns == ["k", "name", "held"]
