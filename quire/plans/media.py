@@ -9,7 +9,6 @@ from quire.functions import text as T
 from quire.operators import chapters as C
 from quire.operators import ledger as L
 from quire.operators import names as N
-from quire.operators import ordered as O
 from quire.operators import relational as R
 from quire.plans.catalogue import _LINES, lines_of, query, table
 from quire.sources import files as S

@@ -10,8 +10,6 @@ from quire.functions import html as H
 from quire.functions import text as T
 from quire.operators import chapters as C
 from quire.operators import ledger as L
-from quire.operators import ordered as O
-from quire.operators import relational as R
 from quire.sources import files as S
 from quire.streaming import ledger as streaming
 
