@@ -140,8 +140,10 @@ select 'Volume_' || p_size || '_' || replace(p_brand, '#', '#') || '/Chapter_' |
 def published_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chapter files, published at once and read back."""
     folder = f"{scans.scratch(spark)}/published"
-    S.write_named(C.files(table(spark, sf_dir, "part"), "p_size", "p_brand", "p_partkey", "p_name", F.lit("Series"), "p_type"), folder)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(folder)
+    # The table is a few MB for a million rows: without an exchange one task would write all files.
+    parts = table(spark, sf_dir, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    S.write_named(C.files(parts, "p_size", "p_brand", "p_partkey", "p_name", F.lit("Series"), "p_type"), folder)
+    files = S.trees.read_below(spark, folder, "*.txt")
     return files.select(F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)).alias("path"), F.md5("content").alias("content"))
 
 

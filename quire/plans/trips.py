@@ -51,8 +51,8 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("g") % 2 == 0, F.col("items")).otherwise(F.concat(F.lit('{"version": 2, "records": '), F.col("items"), F.lit("}")))
     folder = f"{scans.scratch(spark)}/json"
     S.write_named(items.select(F.format_string("part_%d.json", "g").alias("path"), text.alias("content")), folder)
-    files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
-    read = files.select(F.explode(S.wrapped_or_bare(F.col("value"), "records", "struct<doc_id: bigint, quality: int, toxic: int>")).alias("r")).select("r.*")
+    files = S.trees.read_below(spark, folder, "*.json")
+    read = files.select(F.explode(S.wrapped_or_bare(F.col("content").cast("string"), "records", "struct<doc_id: bigint, quality: int, toxic: int>")).alias("r")).select("r.*")
     return read.unionByName(S.json_or_empty(spark, f"{folder}/none.json", "doc_id long, quality int, toxic int"))
 
 

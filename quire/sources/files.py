@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators.scans import cut, scratch
-from quire.sources import archives
+from quire.sources import archives, trees
 from quire.sources.archives import toc_tree  # noqa: F401
 from quire.sources.channel import attempted
 from quire.sources.named import write_named
@@ -23,10 +23,9 @@ MANIFEST = "title STRING, name STRING, kind STRING, row_viable BOOLEAN, url STRI
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """path, folder, filename and size of files below `path`; contents aren't read. Spark lists no files of zero bytes."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    """path, folder, filename and size of files below `path`; contents aren't read. Files of zero bytes aren't listed, as by Spark."""
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select("path", F.element_at(F.split("path", "/"), -2).alias("folder"), name.alias("filename"), F.col("length").alias("size"))
+    return trees.below(spark, path, pattern).select("path", F.element_at(F.split("path", "/"), -2).alias("folder"), name.alias("filename"), "size")
 
 
 def projects(files: DataFrame) -> DataFrame:
@@ -63,8 +62,7 @@ def flatten_outline(rows: DataFrame) -> DataFrame:
 
 def texts(spark: SparkSession, path: str) -> DataFrame:
     """path, folder, filename, size and content of text files, a row each."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(path, wholetext=True)
-    meta = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("value").alias("content"))
+    meta = trees.read_below(spark, path, "*.txt").select("path", "size", F.col("content").cast("string").alias("content"))
     return meta.withColumn("folder", F.element_at(F.split("path", "/"), -2)).withColumn("filename", F.element_at(F.split("path", "/"), -1))
 
 
@@ -151,7 +149,7 @@ def formatted(files: DataFrame, root: str, heads: list[str]) -> DataFrame:
 
 def format_folder(spark: SparkSession, source: str, target: str, heads: list[str]) -> DataFrame:
     """Write the texts for speech of all .txt files below `source` to the same relative paths below `target`; the status of each."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(source).select("path", "content")
+    files = trees.read_below(spark, source, "*.txt").select("path", "content")
     top = spark._jvm.org.apache.hadoop.fs.Path(source)
     root = top.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(top).toString()
     done = cut(formatted(files, root, heads), scratch(spark), "formatted")

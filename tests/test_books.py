@@ -144,6 +144,35 @@ def test_named_files(spark, tmp_path):
     assert N.write_named(df.limit(0), target) == 0 and read() == {}
 
 
+def test_listings_pass_by_the_driver(spark, tmp_path):
+    names = [f"v {i % 7}/{'deep/' * (i % 3)}ü%20{i}.txt" for i in range(300)] + ["top.txt", "x.md", "a=1/_k=2.txt", "_no/a.txt", ".no/a.txt", "v 1/_no.txt", "v 1/.no.txt", "v 1/no.txt._COPYING_", "v 1/[a] {b}.txt"]
+    for n in names:
+        (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / n).write_text(n)
+    (tmp_path / "v 1/empty.txt").write_bytes(b"")
+    (tmp_path / "v 1/gone.txt").symlink_to(tmp_path / "nowhere")
+    (tmp_path / "v 1/none").mkdir()
+    for pattern in ("*", "*.txt", "{top,x}.*", "ü?20[12]?.t*"):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(f"file://{tmp_path}")
+        want = sorted((r["path"], r["length"], bytes(r["content"])) for r in files.collect())
+        listed = S.listing(spark, f"file://{tmp_path}", pattern)
+        assert want and sorted((r["path"], r["size"]) for r in listed.collect()) == [w[:2] for w in want]
+        assert len(listed.inputFiles()) < 50  # tables of files, not the files, are what the driver knows
+        assert sorted((r["path"], r["size"], bytes(r["content"])) for r in S.trees.read_below(spark, f"file://{tmp_path}", pattern).collect()) == want
+    assert S.listing(spark, f"{tmp_path}/v 1/none").count() == 0 and S.listing(spark, f"{tmp_path}/top.txt").count() == 1
+    assert {r["folder"] for r in S.listing(spark, f"{tmp_path}/v*", "*1.txt").collect()} == {"deep", *[f"v {i}" for i in range(7)]}
+    with pytest.raises(FileNotFoundError):
+        S.listing(spark, f"{tmp_path}/nowhere")
+
+
+@pytest.mark.parametrize("query", ["published_files", "json_documents"])
+def test_files_read_back_pass_by_the_driver(spark, query):
+    from quire.plans import catalogue, trips  # noqa: F401
+
+    got = catalogue.QUERIES[query](spark, "/root/testdata/sf0.001")
+    assert not [f for f in got.inputFiles() if not f.endswith(".parquet")]
+
+
 def test_format_folder(spark, tmp_path):
     texts = {"a/1.txt": "Head\nThe first\n\nline one\nline two\n\n\nnext", "a/b/2.txt": "\n", "c.txt": "one\r\ntwo\r\n", "bad/x.txt": None}
     for name, text in texts.items():
