@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 
 from quire.sources.channel import attempted
 
-#: Bytes of an archive that one task reads, and of a member at most.
-RUN, MOST = 64 << 20, 1 << 30
+#: Bytes of an archive that one task reads, and of a member at most; members that a task holds at once.
+RUN, MOST, SOME = 64 << 20, 1 << 30, 512
 PLACE = "offset long, packed long, size long, crc long, method int"
 MEMBERS = f"member string, {PLACE}"
 BOOK = f"opf string, id string, href string, member string, media string, properties string, spine int, is_toc boolean, place int, {PLACE}"
@@ -159,7 +159,7 @@ def contents(rows: DataFrame, run: int = RUN, most: int = MOST, whole: DataFrame
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, file = None, None
-        for batch in batches:
+        for batch in (b.slice(k, SOME) for b in batches for k in range(0, b.num_rows, SOME)):
             out, lo, held = [], 0, 0
             for i, r in enumerate(batch.select(place).to_pylist()):
                 got = (None, r["status"], r["reason"])

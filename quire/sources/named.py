@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 SCHEMA = "path string, content binary"
+#: Rows that a task is handed at once: a task holds so many contents, whatever its part of the table.
+HANDED = 256
 
 
 def system_of(path: str):
@@ -53,7 +55,9 @@ class NamedWriter(DataSourceArrowWriter):
         system, top = system_of(self.staging)
         made, files, size = set(), 0, 0
         for batch in iterator:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i in range(batch.num_rows):
+                # A content at a time: a copy of the batch as a list would double it.
+                name, content = (batch.column(c)[i].as_py() for c in (0, 1))
                 folder = f"{top}/{checked(name)}".rpartition("/")[0]
                 if folder not in made:
                     system.create_dir(folder, recursive=True)
@@ -64,6 +68,7 @@ class NamedWriter(DataSourceArrowWriter):
                     out.write(content or b"")
                 system.move(part, f"{top}/{name}")
                 files, size = files + 1, size + len(content or b"")
+            del batch  # not beside the next one
         return Written(files, size)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
@@ -115,7 +120,13 @@ def write_named(rows: DataFrame, path: str) -> int:
     if twice:
         raise ValueError(f"{twice[0]['path']!r} is no name of one file")
     spark.dataSource.register(NamedFiles)
-    rows.select(F.col("path").cast("string"), F.col("content").cast("binary")).write.format("named_files").mode("overwrite").save(path)
+    key, named = "spark.sql.execution.arrow.maxRecordsPerBatch", rows.select(F.col("path").cast("string"), F.col("content").cast("binary"))
+    before = spark.conf.get(key)
+    spark.conf.set(key, HANDED)
+    try:
+        named.write.format("named_files").mode("overwrite").save(path)
+    finally:
+        spark.conf.set(key, before)
     system, top = system_of(path.rstrip("/"))
     with system.open_input_stream(f"{top}/_published.json") as f:
         return json.loads(f.read())["files"]

@@ -173,6 +173,28 @@ def test_files_read_back_pass_by_the_driver(spark, query):
     assert not [f for f in got.inputFiles() if not f.endswith(".parquet")]
 
 
+def test_named_files_are_written_a_few_at_a_time(spark, tmp_path):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"path": [f"{i % 3}/{i}" for i in range(400)], "content": pa.array([b"x" * 100_000] * 400, pa.binary())})
+    tracemalloc.start()
+    done = N.NamedWriter(f"file://{tmp_path}/direct", True).write(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (done.files, done.size) == (400, 40_000_000) and peak < 4_000_000
+    # A task isn't handed its part of the table at once, and the setting is as it was.
+    def counted(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"path": [f"{i}.txt" for i in b.column(0).to_pylist()], "content": [str(b.num_rows)] * b.num_rows})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert N.write_named(spark.range(0, 3000, 1, 1).mapInArrow(counted, "path string, content string"), f"file://{tmp_path}/out") == 3000
+    handed = {int(p.read_text()) for p in (tmp_path / "out").iterdir() if p.suffix == ".txt"}
+    assert max(handed) == N.HANDED and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_format_folder(spark, tmp_path):
     texts = {"a/1.txt": "Head\nThe first\n\nline one\nline two\n\n\nnext", "a/b/2.txt": "\n", "c.txt": "one\r\ntwo\r\n", "bad/x.txt": None}
     for name, text in texts.items():
